@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR  folder of the tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
-BENCH_RUNS    timed runs per query after one warm-up (default 3, median kept)
+BENCH_RUNS    timed runs per query after one warm-up (default 1, median kept)
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def timed(spark, name: str, folder: str) -> float:
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
     seconds, shuffles = {}, {}
     for name in sys.argv[1:] or HEADLINE:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-ISO_DATE = "yyyy-MM-dd"
 
+def iso_date(c: Column) -> Column:
+    """Text of the form yyyy-MM-dd to date; anything else becomes null.
 
-def iso_date(c: Column | str) -> Column:
-    """ISO text to date; anything else becomes null instead of an error."""
-    return F.try_to_date(c, ISO_DATE)
+    A cast parses several times faster than a pattern does, but also takes
+    looser spellings: the shape is tested first.
+    """
+    dashes = (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-")
+    return F.when((F.char_length(c) == 10) & dashes, c.try_cast("date"))
 
 
 def exercise_months(start: Column, end: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql.types import DecimalType
 # Sums run in decimal so that the result depends neither on row order nor on
 # the number of partitions; results leave as double.
 MONEY = DecimalType(20, 2)
+MONEY_SQL = MONEY.simpleString()
 
 
 def scaled(value: Column, scale: Column) -> Column:

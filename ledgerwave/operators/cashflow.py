@@ -8,8 +8,9 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerwave.functions.calendar import quarter_end, quarter_end_pinned
+from ledgerwave.functions.money import MONEY_SQL
 from ledgerwave.functions.text import label_slug_spaced
-from ledgerwave.operators.charts import cash_flow_matches
+from ledgerwave.operators.charts import cash_flow_test
 from ledgerwave.operators.statements import cash_flow_lines
 from ledgerwave.sources.schemas import CASH_FLOW_AMOUNTS, CASH_FLOW_KEYS
 
@@ -67,11 +68,10 @@ def cash_flow_quarterly(itr: DataFrame, dfp: DataFrame, own_year: bool = False)
     dates each quarter in its own year, which is what later joins need.
     """
     accounts = cash_flow_accounts(itr, dfp)
-    code, label = F.col("id_account"), F.col("txt_account")
 
     def measure(target: str, q: int) -> Column:
-        hit = cash_flow_matches(target, code, label)
-        return F.sum(F.when(hit, F.col(f"Q{q}").cast("decimal(20,2)"))).cast("double")
+        test = cash_flow_test(target)
+        return F.expr(f"cast(sum(case when {test} then cast(Q{q} as {MONEY_SQL}) end) as double)")
 
     # All 28 sums in one aggregation, then four rows per company-year.
     wide = accounts.groupBy(*COMPANY_KEYS).agg(*[

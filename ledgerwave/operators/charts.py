@@ -1,6 +1,10 @@
 """Charts of accounts as data: which line decides a company's type, and which
 lines add up to which amount. All entries are fixed values.
 
+Rules turn into SQL conditions over a cleaned line's ``cd_conta`` (account
+code), ``ds_conta`` (label key) and ``vl_conta`` (value): one expression per
+rule set, however many rules it has.
+
 ``GENERAL``, ``BANK`` and ``INSURER`` are the three charts. An amount rule names
 its target, the chart it belongs to (``ANY`` for all, including unclassified)
 and the line it takes: by account code, by exact label or by a part of the label.
@@ -10,8 +14,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
-
 from ledgerwave.sources.schemas import ASSET_AMOUNTS, INCOME_AMOUNTS, LIABILITY_AMOUNTS
 
 GENERAL, BANK, INSURER = "type_01", "type_02", "type_03"
@@ -25,8 +27,8 @@ class TypeRule:
     code: str
     label: str
 
-    def matches(self, code: Column, label: Column) -> Column:
-        return (code == self.code) & (label == self.label)
+    def test(self) -> str:
+        return f"(cd_conta = '{self.code}' and ds_conta = '{self.label}')"
 
 
 @dataclass(frozen=True)
@@ -38,14 +40,14 @@ class AmountRule:
     label_part: str | None = None
     non_zero: bool = False
 
-    def matches(self, code: Column, label: Column, value: Column) -> Column:
+    def test(self) -> str:
         if self.code is not None:
-            hit = code == self.code
+            hit = f"cd_conta = '{self.code}'"
         elif self.label is not None:
-            hit = label == self.label
+            hit = f"ds_conta = '{self.label}'"
         else:
-            hit = label.contains(self.label_part)
-        return hit & (value != 0) if self.non_zero else hit
+            hit = f"contains(ds_conta, '{self.label_part}')"
+        return f"({hit} and vl_conta <> 0)" if self.non_zero else f"({hit})"
 
 
 @dataclass(frozen=True)
@@ -56,9 +58,15 @@ class Chart:
     amounts: list[AmountRule]
     targets: list[str]
 
-    def rules_for(self, target: str, chart: str | None) -> list[AmountRule]:
-        """Rules filling ``target`` for rows of one chart (None: unclassified)."""
-        return [r for r in self.amounts if r.target == target and r.chart in (ANY, chart)]
+    def test_for(self, target: str, chart: str | None) -> str | None:
+        """Lines adding to ``target`` in rows of one chart (None: unclassified)."""
+        rules = [r for r in self.amounts if r.target == target and r.chart in (ANY, chart)]
+        return " or ".join(r.test() for r in rules) or None
+
+    def type_of_line(self) -> str:
+        """Chart that one line points to, null for most lines."""
+        cases = " ".join(f"when {r.test()} then '{r.chart}'" for r in self.types)
+        return f"case {cases} end"
 
 
 def _by_code(chart: str | None, pairs: list[tuple[str, str]]) -> list[AmountRule]:
@@ -185,10 +193,11 @@ DEPRECIATION = "amt_depreciation_amortization"
 DEPRECIATION_WORDS = "depreciacao|depreciacoes"
 
 
-def cash_flow_matches(target: str, code: Column, label: Column) -> Column:
+def cash_flow_test(target: str) -> str:
+    """Condition over ``id_account`` and ``txt_account``."""
     if target == DEPRECIATION:
-        return label.rlike(DEPRECIATION_WORDS)
-    return code == dict(CASH_FLOW_CODES)[target]
+        return f"txt_account rlike '{DEPRECIATION_WORDS}'"
+    return f"id_account = '{dict(CASH_FLOW_CODES)[target]}'"
 
 
 # Accounts a company of each chart should report: account codes, or patterns
@@ -208,14 +217,6 @@ COVERAGE = {
 }
 
 
-def covers(item: str, code: Column, label: Column) -> Column:
+def covers(item: str) -> str:
     """Whether a line is the account that a coverage entry asks for."""
-    return code == item if item[0].isdigit() else label.rlike(item)
-
-
-def first_type(types: list[TypeRule], code: Column, label: Column) -> Column:
-    """Chart that one line points to, null for most lines."""
-    hit = F.lit(None).cast("string")
-    for rule in reversed(types):
-        hit = F.when(rule.matches(code, label), rule.chart).otherwise(hit)
-    return hit
+    return f"cd_conta = '{item}'" if item[0].isdigit() else f"ds_conta rlike '{item}'"

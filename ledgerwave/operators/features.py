@@ -3,7 +3,7 @@
 A feature is described, not executed: it names the window helpers it needs and
 the expression that combines them. ``with_features`` gathers the helpers of all
 requested features, computes each distinct helper once, and leaves one exchange
-and one sort for the whole set, in two window levels at most.
+and one sort for the whole set.
 
 Frames count rows. ``moving`` and ``beta`` look at the current row and the n
 before it; breakouts and strength look at the n rows before the current one.
@@ -13,141 +13,173 @@ suffix ``_fixed``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ledgerwave.functions.money import change_ratio
+from ledgerwave.operators.moving import Moving, SHORT_FRAME, add_moving
 from ledgerwave.operators.series import MAX_ROWS, Series, over_series
 
-Helper = Callable[[Series], Column]
+
+@dataclass(frozen=True)
+class Lag:
+    """A column some rows back."""
+
+    variable: str
+    rows: int
+
+    @property
+    def name(self) -> str:
+        return f"_lag_{self.variable}_{self.rows}"
+
+    def sql(self, series: Series) -> str:
+        return f"lag({self.variable}, {self.rows}) over ({series.sql})"
 
 
 @dataclass(frozen=True)
-class Feature:
+class FrameSum:
+    """Sum of a non-negative expression over helpers, for the ``length`` rows
+    that end ``shift`` rows back.
+
+    Long sums are differences of a running total. Terms are never negative and
+    a zero leaves the total as it is, so a sum of zeros is exactly zero.
+    """
+
     name: str
-    value: Column
-    lookback: int
-    first: dict[str, Helper] = field(default_factory=dict)
-    second: dict[str, Helper] = field(default_factory=dict)
+    term: str
+    length: int
+    shift: int
 
 
-_MEASURES = {
-    "mean": ("avg", F.avg),
-    "std": ("std", F.stddev_samp),
-    "var": ("var", F.var_samp),
-    "min": ("min", F.min),
-    "max": ("max", F.max),
-}
+@dataclass(frozen=True)
+class Feature:
+    """A named expression over input columns and helpers."""
+
+    name: str
+    value: str
+    lookback: int
+    lags: tuple[Lag, ...] = ()
+    moving: tuple[Moving, ...] = ()
+    sums: tuple[FrameSum, ...] = ()
+    # Window expressions over input columns and helpers: (name, before, frame).
+    windows: tuple[tuple[str, str, int], ...] = ()
 
 
-def _before(variable: str, n: int) -> tuple[str, Helper]:
-    return f"_lag_{variable}_{n}", lambda s: F.lag(variable, n).over(s.ordered())
+_MEASURES = {"mean": "avg", "std": "std", "var": "var", "min": "min", "max": "max"}
 
 
-def _over(measure: str, variable: str, first: int, last: int) -> tuple[str, Helper]:
-    short, function = _MEASURES[measure]
-    name = f"_{short}_{variable}_{-first}_{-last}"
-    return name, lambda s: function(variable).over(s.frame(first, last))
+def _change(variable: str, before: str) -> str:
+    return f"try_divide({variable} - {before}, abs({before}))"
 
 
 def lag_feature(
     variable: str, n: int, period: str = "", period_text: str | None = None,
     kind: str = "amt", measure: str = "tot",
 ) -> Feature:
-    helper, make = _before(variable, n)
+    lag = Lag(variable, n)
     span = period_text if period_text is not None else f"{n}{period}"
-    return Feature(f"{kind}_{measure}_{variable}_{span}_lag", F.col(helper), n, {helper: make})
+    return Feature(f"{kind}_{measure}_{variable}_{span}_lag", lag.name, n, lags=(lag,))
 
 
 def pct_change(
     variable: str, n: int, period: str = "", period_text: str | None = None
 ) -> Feature:
-    helper, make = _before(variable, n)
+    """Change relative to the size of the earlier value; null on 0 or null."""
+    lag = Lag(variable, n)
     span = period_text if period_text is not None else f"{n}{period}"
-    value = change_ratio(F.col(variable), F.col(helper))
-    return Feature(f"pct_tx_{variable}_{span}", value, n, {helper: make})
+    return Feature(f"pct_tx_{variable}_{span}", _change(variable, lag.name), n, lags=(lag,))
 
 
 def moving(variable: str, n: int, measure: str) -> Feature:
-    helper, make = _over(measure, variable, -n, 0)
-    return Feature(f"amt_{_MEASURES[measure][0]}_{variable}_{n}", F.col(helper), n, {helper: make})
+    stat = Moving(_MEASURES[measure], variable, n + 1)
+    return Feature(f"amt_{_MEASURES[measure]}_{variable}_{n}", stat.name, n, moving=(stat,))
 
 
 def beta(variable: str, n: int, fixed: bool = False) -> Feature:
     """Distance from the own mean against distance from the lagged mean.
 
     The mean of the one-row-lagged values over the frame is the mean of the
-    values over the frame moved back by one row, so one level is enough. The
-    fixed variant is the slope of the value on the lagged value.
+    values over the frame moved back by one row, so no second window level is
+    needed. The fixed variant is the slope of the value on the lagged value.
     """
     name = f"amt_beta_{variable}_{n + 1}"
-    v = F.col(variable)
     if fixed:
-        lagged, make = _before(variable, 1)
-        pair = (F.when(F.col(lagged).isNotNull(), v), F.when(v.isNotNull(), F.col(lagged)))
+        lag = Lag(variable, 1)
         cov, var = f"_cov_{variable}_{n}", f"_varlag_{variable}_{n}"
+        x = f"if({variable} is null, null, {lag.name})"
         return Feature(
-            f"{name}_fixed", F.try_divide(F.col(cov), F.col(var)), n + 1, {lagged: make},
-            {
-                cov: lambda s: F.covar_samp(*pair).over(s.frame(-n, 0)),
-                var: lambda s: F.var_samp(pair[1]).over(s.frame(-n, 0)),
-            },
+            f"{name}_fixed", f"try_divide({cov}, {var})", n + 1, lags=(lag,),
+            windows=((cov, f"covar_samp({variable}, {lag.name})", n), (var, f"var_samp({x})", n)),
         )
-    own, make_own = _over("mean", variable, -n, 0)
-    earlier, make_earlier = _over("mean", variable, -n - 1, -1)
-    x, y = v - F.col(own), v - F.col(earlier)
-    return Feature(
-        name, F.try_divide(x * y, x * x), n + 1, {own: make_own, earlier: make_earlier}
-    )
+    own, earlier = Moving("avg", variable, n + 1), Moving("avg", variable, n + 1, 1)
+    x, y = f"({variable} - {own.name})", f"({variable} - {earlier.name})"
+    return Feature(name, f"try_divide({x} * {y}, {x} * {x})", n + 1, moving=(own, earlier))
 
 
 def broke_high(variable: str, n: int) -> Feature:
-    helper, make = _over("max", variable, -n, -1)
-    value = F.when(F.col(variable) > F.col(helper), 1).otherwise(0)
-    return Feature(f"cat_{variable}_broke_high_{n}", value, n, {helper: make})
+    high = Moving("max", variable, n, 1)
+    return Feature(
+        f"cat_{variable}_broke_high_{n}", f"if({variable} > {high.name}, 1, 0)", n, moving=(high,)
+    )
 
 
 def broke_low(variable: str, n: int, fixed: bool = False) -> Feature:
     """Flag against the lowest of the n rows before: set when above it; the
     fixed variant is set when below it."""
-    helper, make = _over("min", variable, -n, -1)
-    v, low = F.col(variable), F.col(helper)
-    value = F.when(v < low if fixed else v > low, 1).otherwise(0)
+    low, sign = Moving("min", variable, n, 1), "<" if fixed else ">"
     name = f"cat_{variable}_broke_low_{n}" + ("_fixed" if fixed else "")
-    return Feature(name, value, n, {helper: make})
+    return Feature(name, f"if({variable} {sign} {low.name}, 1, 0)", n, moving=(low,))
 
 
 def ifr(variable: str, n: int, fixed: bool = False) -> Feature:
     """Strength index: the mean price of the n rows before, booked as up or down
     by the sign of the day's change, and summed over the n rows before. The
     fixed variant sums gains and losses over the last n changes."""
-    lagged, make_lag = _before(variable, 1)
-    v, before = F.col(variable), F.col(lagged)
-    suffix = "_fixed" if fixed else ""
-    up, down = f"_up_{variable}_{n}{suffix}", f"_down_{variable}_{n}{suffix}"
+    lag, v = Lag(variable, 1), variable
     if fixed:
-        gain = F.when(v > before, v - before).when(before.isNotNull(), 0.0)
-        loss = F.when(v < before, before - v).when(before.isNotNull(), 0.0)
-        first, span, lookback = {lagged: make_lag}, (-n + 1, 0), n
+        suffix, helpers, shift, lookback = "_fixed", (), 0, n
+        gain, loss = (
+            f"if({lag.name} is null, null, greatest({a} - {b}, 0D))"
+            for a, b in ((v, lag.name), (lag.name, v))
+        )
     else:
-        mean, make_mean = _over("mean", variable, -n, -1)
-        change = change_ratio(v, before)
-        gain = F.when(change > 0, F.coalesce(F.col(mean), F.lit(0.0))).otherwise(0.0)
-        loss = F.when(change < 0, F.coalesce(F.col(mean), F.lit(0.0))).otherwise(0.0)
-        first, span, lookback = {lagged: make_lag, mean: make_mean}, (-n, -1), 2 * n + 1
-    ratio = F.try_divide(F.col(up), F.col(down))
-    value = F.lit(100.0) - F.try_divide(F.lit(100.0), F.lit(1.0) + ratio)
+        mean = Moving("avg", v, n, 1)
+        suffix, helpers, shift, lookback = "", (mean,), 1, 2 * n + 1
+        gain, loss = (
+            f"if({_change(v, lag.name)} {sign} 0, coalesce({mean.name}, 0D), 0D)"
+            for sign in "><"
+        )
+    up = FrameSum(f"_up_{v}_{n}{suffix}", gain, n, shift)
+    down = FrameSum(f"_down_{v}_{n}{suffix}", loss, n, shift)
+    value = f"100D - try_divide(100D, 1D + try_divide({up.name}, {down.name}))"
     return Feature(
-        f"amt_IFR_{variable}_{n}{suffix}", value, lookback, first,
-        {
-            up: lambda s: F.sum(gain).over(s.frame(*span)),
-            down: lambda s: F.sum(loss).over(s.frame(*span)),
-        },
+        f"amt_IFR_{v}_{n}{suffix}", value, lookback, lags=(lag,), moving=helpers, sums=(up, down)
     )
 
 
+def _add_sums(df: DataFrame, sums: list[FrameSum], series: Series) -> DataFrame:
+    short = {
+        s.name: f"sum({s.term}) over ({series.sql} rows between {s.length - 1 + s.shift} preceding "
+        f"and {f'{s.shift} preceding' if s.shift else 'current row'})"
+        for s in sums if s.length <= SHORT_FRAME
+    }
+    long = [s for s in sums if s.length > SHORT_FRAME]
+    totals = {
+        f"_t{s.name}": f"sum({s.term}) over ({series.sql} rows unbounded preceding)" for s in long
+    }
+    df = df.withColumns({n: F.expr(e) for n, e in {**short, **totals}.items()})
+    if not long:
+        return df
+
+    def total(s: FrameSum, back: int) -> str:
+        return f"lag(_t{s.name}, {back}) over ({series.sql})" if back else f"_t{s.name}"
+
+    return df.withColumns({
+        s.name: F.expr(f"{total(s, s.shift)} - coalesce({total(s, s.shift + s.length)}, 0D)")
+        for s in long
+    })
+
+
 def with_features(
     df: DataFrame,
     features: list[Feature],
@@ -159,15 +191,28 @@ def with_features(
 
     ``max_rows`` as in ``over_series``.
     """
-    first = {k: h for f in features for k, h in f.first.items()}
-    second = {k: h for f in features for k, h in f.second.items()}
     columns = df.columns
 
+    def gathered(kind: str) -> list:
+        return list(dict.fromkeys(x for f in features for x in getattr(f, kind)))
+
+    lags, stats, sums, windows = (gathered(k) for k in ("lags", "moving", "sums", "windows"))
+
     def compute(data: DataFrame, series: Series) -> DataFrame:
         extra = [c for c in data.columns if c not in columns]
-        data = data.withColumns({k: h(series) for k, h in first.items()})
-        if second:
-            data = data.withColumns({k: h(series) for k, h in second.items()})
-        return data.select(*columns, *[f.value.alias(f.name) for f in features], *extra)
+        if stats:
+            data = add_moving(data, stats, series)
+        if lags:
+            data = data.withColumns({x.name: F.expr(x.sql(series)) for x in lags})
+        if sums:
+            data = _add_sums(data, sums, series)
+        if windows:
+            data = data.withColumns({
+                name: F.expr(f"{call} over ({series.sql} rows between {n} preceding and current row)")
+                for name, call, n in windows
+            })
+        return data.select(
+            *columns, *[F.expr(f.value).alias(f.name) for f in features], *extra
+        )
 
     return over_series(df, keys, order, max(f.lookback for f in features), compute, max_rows)

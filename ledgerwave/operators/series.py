@@ -14,7 +14,7 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerwave.session import scratch_path
 
@@ -25,16 +25,13 @@ _BLOCK, _OWN = "_block", "_own"
 
 
 class Series:
-    """Window specs over one entity key and one order."""
+    """The window of one entity key and one order, as SQL text."""
 
     def __init__(self, keys: list[str], order: list[str]):
-        self.keys, self.order = keys, order
-
-    def ordered(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(*self.order)
-
-    def frame(self, first: int, last: int) -> WindowSpec:
-        return self.ordered().rowsBetween(first, last)
+        self.sql = (
+            f"partition by {', '.join(f'`{k}`' for k in keys)} "
+            f"order by {', '.join(f'`{o}`' for o in order)}"
+        )
 
 
 def _numeric_order(df: DataFrame, name: str) -> Column:

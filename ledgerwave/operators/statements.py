@@ -11,13 +11,10 @@ holding a third of all lines costs no more than any other.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_, or_
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerwave.functions.calendar import exercise_months, iso_date
-from ledgerwave.functions.money import MONEY, exact, scaled
+from ledgerwave.functions.money import MONEY_SQL, exact, scaled
 from ledgerwave.functions.text import label_slug, tax_id_digits, transliterate
 from ledgerwave.operators import charts
 from ledgerwave.operators.columns import lower_names, rename_catalog
@@ -34,11 +31,18 @@ def current_exercise(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("ordem_exerc") == CURRENT_EXERCISE)
 
 
-def clean_lines(lines: DataFrame, months: int | None = None, fill_label: bool = False) -> DataFrame:
+def clean_lines(
+    lines: DataFrame,
+    months: int | None = None,
+    fill_label: bool = False,
+    label_codes: list[str] | None = None,
+) -> DataFrame:
     """Current lines with typed dates, period, unit-scale value and label key.
 
     ``months`` keeps exercises of that length only; the other accumulated
-    exercises in the same file would count a quarter twice.
+    exercises in the same file would count a quarter twice. ``label_codes``
+    builds the label key for those account codes alone (null elsewhere), where
+    no rule reads it on other lines.
     """
     df = current_exercise(lower_names(lines))
     dates = [c for c in ("dt_refer", "dt_ini_exerc", "dt_fim_exerc") if c in df.columns]
@@ -46,99 +50,71 @@ def clean_lines(lines: DataFrame, months: int | None = None, fill_label: bool =
     if months is not None:
         df = df.filter(exercise_months(F.col("dt_ini_exerc"), F.col("dt_fim_exerc")) == months)
     label = F.coalesce(F.col("ds_conta"), F.lit("")) if fill_label else F.col("ds_conta")
+    code, key = F.trim(F.col("cd_conta")), label_slug(label)
     return df.withColumns({
         "dt_year": F.year("dt_refer"),
         "dt_quarter": F.quarter("dt_refer"),
         "vl_conta": scaled(F.col("vl_conta"), F.col("escala_moeda")),
-        "cd_conta": F.trim(F.col("cd_conta")),
-        "ds_conta": label_slug(label),
+        "cd_conta": code,
+        "ds_conta": key if label_codes is None else F.when(code.isin(label_codes), key),
     })
 
 
-def _line_keys(keys: list[str]) -> list[str]:
+def line_keys(keys: list[str]) -> list[str]:
     """Key names as the raw lines carry them."""
     raw = {new: old for old, new in STATEMENT_NAMES.items()}
     return [raw.get(k, k) for k in keys if k != "cat_type_dre"]
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(or_, conditions)
-
-
-def _types_found(chart: charts.Chart, keys: list[str]) -> list[Column]:
+def types_found(chart: charts.Chart, keys: list[str]) -> list[Column]:
     """One flag per chart type: some line of the group points to it.
 
     A group with a null key never finds its type, as an equality join on those
     keys would not either.
     """
-    whole_key = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    pointed = charts.first_type(chart.types, F.col("cd_conta"), F.col("ds_conta"))
+    whole_key = " and ".join(f"{k} is not null" for k in keys)
     return [
-        F.max(whole_key & F.equal_null(pointed, F.lit(rule.chart))).alias(f"is_{rule.chart}")
+        F.expr(f"max({whole_key} and ({chart.type_of_line()}) <=> '{rule.chart}')")
+        .alias(f"is_{rule.chart}")
         for rule in chart.types
     ]
 
 
-def _unfold_types(df: DataFrame) -> DataFrame:
+def unfold_types(df: DataFrame) -> DataFrame:
     """One row per chart type found; one untyped row where none was."""
-    found = F.array_compact(F.array(*[
-        F.when(F.col(f"is_{c}"), F.lit(c)) for c in charts.CHARTS
-    ]))
-    return df.withColumn("cat_type_dre", F.explode_outer(found)).drop(
-        *[f"is_{c}" for c in charts.CHARTS]
-    )
+    found = ", ".join(f"if(is_{c}, '{c}', null)" for c in charts.CHARTS)
+    return df.withColumn(
+        "cat_type_dre", F.expr(f"explode_outer(array_compact(array({found})))")
+    ).drop(*[f"is_{c}" for c in charts.CHARTS])
 
 
 def chart_types(lines: DataFrame, chart: charts.Chart, keys: list[str]) -> DataFrame:
     """Company-periods with each chart type they match (null when none)."""
-    raw_keys = _line_keys(keys)
-    return _unfold_types(lines.groupBy(*raw_keys).agg(*_types_found(chart, raw_keys)))
+    raw_keys = line_keys(keys)
+    return unfold_types(lines.groupBy(*raw_keys).agg(*types_found(chart, raw_keys)))
 
 
 def wide_statement(lines: DataFrame, chart: charts.Chart, keys: list[str]) -> DataFrame:
     """Cleaned lines -> keys, chart type and the chart's amounts."""
-    raw_keys = _line_keys(keys)
-    code, label, value = F.col("cd_conta"), F.col("ds_conta"), F.col("vl_conta")
-
-    # Rules shared by several charts (same lines) are summed once.
-    sums: dict[tuple, str] = {}
-    by_target: dict[str, dict[str | None, str | None]] = {}
-    for target in chart.targets:
-        by_target[target] = {}
-        for kind in [*charts.CHARTS, None]:
-            rules = chart.rules_for(target, kind)
-            tests = tuple(sorted(
-                (str(r.code), str(r.label), str(r.label_part), r.non_zero) for r in rules
-            ))
-            if not rules:
-                by_target[target][kind] = None
-                continue
-            if tests not in sums:
-                sums[tests] = f"s{len(sums)}"
-            by_target[target][kind] = sums[tests]
-
-    conditions = {}
-    for target in chart.targets:
-        for kind, name in by_target[target].items():
-            if name is not None:
-                conditions[name] = _any(
-                    [r.matches(code, label, value) for r in chart.rules_for(target, kind)]
-                )
+    raw_keys = line_keys(keys)
+    kinds = [*charts.CHARTS, None]
+    tests = {(t, k): chart.test_for(t, k) for t in chart.targets for k in kinds}
+    # Charts that take the same lines share one sum.
+    sums = {test: f"s{i}" for i, test in enumerate(dict.fromkeys(filter(None, tests.values())))}
     partial = lines.groupBy(*raw_keys).agg(
-        *_types_found(chart, raw_keys),
-        *[F.sum(F.when(hit, exact(value))).alias(name) for name, hit in conditions.items()],
+        *types_found(chart, raw_keys),
+        *[F.expr(f"sum(case when {test} then cast(vl_conta as {MONEY_SQL}) end)").alias(name)
+          for test, name in sums.items()],
     )
 
-    def amount(target: str) -> Column:
-        picked = by_target[target]
-        col = F.col(picked[None]) if picked[None] else F.lit(None).cast(MONEY)
-        for kind in charts.CHARTS:
-            if picked[kind] != picked[None]:
-                own = F.col(picked[kind]) if picked[kind] else F.lit(None).cast(MONEY)
-                col = F.when(F.col("cat_type_dre") == kind, own).otherwise(col)
-        return col.alias(target)
+    def amount(target: str) -> str:
+        picked = {k: sums.get(tests[target, k], f"cast(null as {MONEY_SQL})") for k in kinds}
+        cases = " ".join(
+            f"when '{k}' then {picked[k]}" for k in charts.CHARTS if picked[k] != picked[None]
+        )
+        return f"case cat_type_dre {cases} else {picked[None]} end as {target}"
 
-    typed = _unfold_types(partial).select(
+    typed = unfold_types(partial).selectExpr(
         *raw_keys, "cat_type_dre", *[amount(t) for t in chart.targets]
     ).withColumnsRenamed(STATEMENT_NAMES)
     # Two spellings of one tax id were two groups above and are one row here;
@@ -146,7 +122,7 @@ def wide_statement(lines: DataFrame, chart: charts.Chart, keys: list[str]) -> Da
     return (
         typed.withColumn("id_cnpj", tax_id_digits(F.col("id_cnpj")))
         .groupBy(*keys)
-        .agg(*[F.sum(t).cast("double").alias(t) for t in chart.targets])
+        .agg(*[F.expr(f"cast(sum({t}) as double)").alias(t) for t in chart.targets])
     )
 
 
@@ -156,7 +132,7 @@ def typed_lines(lines: DataFrame, chart: charts.Chart, keys: list[str]) -> DataF
     The types side has one row per company-period; a company with very many
     lines is split by the adaptive skew join.
     """
-    raw_keys = _line_keys(keys)
+    raw_keys = line_keys(keys)
     types = chart_types(lines, chart, keys).filter(F.col("cat_type_dre").isNotNull())
     df = lines.join(types, raw_keys, "left").withColumnsRenamed(STATEMENT_NAMES)
     return df.withColumn("id_cnpj", tax_id_digits(F.col("id_cnpj")))
@@ -175,12 +151,19 @@ def income_lines(lines: DataFrame, annual: bool) -> DataFrame:
     return typed_lines(cleaned, charts.INCOME, INCOME_KEYS)
 
 
+def balance_lines(lines: DataFrame, chart: charts.Chart) -> DataFrame:
+    """Balance sheets read labels only on the lines that decide the chart."""
+    return clean_lines(lines, label_codes=sorted({rule.code for rule in chart.types}))
+
+
 def balance_assets(lines: DataFrame) -> DataFrame:
-    return wide_statement(clean_lines(lines), charts.ASSETS, BALANCE_KEYS)
+    return wide_statement(balance_lines(lines, charts.ASSETS), charts.ASSETS, BALANCE_KEYS)
 
 
 def balance_liabilities(lines: DataFrame) -> DataFrame:
-    return wide_statement(clean_lines(lines), charts.LIABILITIES, BALANCE_KEYS)
+    return wide_statement(
+        balance_lines(lines, charts.LIABILITIES), charts.LIABILITIES, BALANCE_KEYS
+    )
 
 
 def cash_flow_lines(lines: DataFrame) -> DataFrame:
@@ -206,9 +189,7 @@ def cash_flow_annual(lines: DataFrame) -> DataFrame:
     label = F.lower(transliterate(F.coalesce(F.col("txt_account"), F.lit(""))))
     df = df.withColumn("txt_account", label)
     return df.groupBy(*CASH_FLOW_KEYS).agg(*[
-        F.sum(F.when(
-            charts.cash_flow_matches(t, F.col("id_account"), F.col("txt_account")),
-            F.col("amt_account"),
-        )).cast("double").alias(t)
+        F.expr(f"cast(sum(case when {charts.cash_flow_test(t)} then amt_account end) as double)")
+        .alias(t)
         for t in CASH_FLOW_AMOUNTS
     ])

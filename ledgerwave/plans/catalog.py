@@ -37,10 +37,10 @@ def query(run: Query) -> Query:
     return run
 
 
-def rounded(c: Column | str, digits: int) -> Column:
+def rounded(name: str, digits: int) -> Column:
     """Rounded, with negative zero turned into zero."""
-    c = F.round(F.col(c) if isinstance(c, str) else c, digits)
-    return F.when(c == 0, F.lit(0.0)).otherwise(c)
+    r = f"round({name}, {digits})"
+    return F.expr(f"if({r} = 0, 0D, {r})")
 
 
 def round_features(df: DataFrame, mean_digits: int = 6) -> DataFrame:
@@ -239,7 +239,8 @@ def sorted_output(spark: SparkSession, folder: str) -> DataFrame:
 
 def _document_text(spark: SparkSession, folder: str, clean: Callable[[Column], Column]) -> DataFrame:
     cleaned = clean(F.col("text"))
-    return src.table(spark, folder, "documents").select("doc_id", cleaned.alias("t")).select(
+    documents = src.spread(src.table(spark, folder, "documents"))
+    return documents.select("doc_id", cleaned.alias("t")).select(
         "doc_id", F.md5("t").alias("txt_hash"), F.char_length("t").cast("long").alias("n_chars")
     )
 
@@ -366,7 +367,8 @@ def _cash_flow(spark: SparkSession, folder: str, annual: bool) -> DataFrame:
 
 @query
 def classify_chart(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = statements.clean_lines(src.statement_lines(spark, folder, "assets", annual=False))
+    lines = src.statement_lines(spark, folder, "assets", annual=False)
+    cleaned = statements.balance_lines(lines, charts.ASSETS)
     return statements.chart_types(cleaned, charts.ASSETS, schemas.BALANCE_KEYS)
 
 
@@ -437,10 +439,18 @@ def account_coverage(spark: SparkSession, folder: str) -> DataFrame:
 # --- quarters ----------------------------------------------------------------
 
 def _income_pair(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return tuple(
-        columns.stamp_processed_at(_income(spark, folder, annual), PROCESSED)
-        for annual in (False, True)
-    )
+    """Quarterly and annual income as stored tables, as the jobs leave them.
+
+    The quarter operators read each table more than once; stored, the lines
+    behind it are aggregated once, and joins plan on real sizes.
+    """
+    pair = []
+    for annual in (False, True):
+        path = scratch_path(spark, "income-annual" if annual else "income-quarterly")
+        income = columns.stamp_processed_at(_income(spark, folder, annual), PROCESSED)
+        income.write.parquet(path)
+        pair.append(spark.read.parquet(path))
+    return pair[0], pair[1]
 
 
 @query

@@ -116,6 +116,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small table over the cores before per-row text work.
+
+    A small file arrives in fewer tasks than there are cores. Tables that
+    arrive in at least one task per core stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def company_id(supplier: Column) -> Column:
     """Punctuated tax id of a supplier."""
     digits = F.lpad(supplier.cast("string"), 10, "0")
@@ -128,14 +138,17 @@ def company_id(supplier: Column) -> Column:
 
 def _account(kind: str, pick: Column, supplier: Column, part: int) -> Column:
     """Code (part 0) or label (part 1) of the account that ``pick`` points to."""
-    chosen = F.lit(None).cast("string")
-    for company_kind, accounts in enumerate(ACCOUNTS[kind]):
-        values = F.array(*[F.lit(a[part]).cast("string") for a in accounts])
-        index = F.when(F.col("l_linenumber") == 1, 1).otherwise(2 + pick % (len(accounts) - 1))
-        chosen = F.when(
-            supplier % 4 == company_kind, F.element_at(values, index.cast("int"))
-        ).otherwise(chosen)
-    return chosen
+    values = [a[part] for accounts in ACCOUNTS[kind] for a in accounts]
+    sizes = [len(accounts) for accounts in ACCOUNTS[kind]]
+    start, others, offset = F.lit(0), F.lit(1), 0
+    for company_kind, size in enumerate(sizes):
+        mine = supplier % 4 == company_kind
+        start, others = F.when(mine, offset).otherwise(start), F.when(mine, size - 1).otherwise(others)
+        offset += size
+    index = start + F.when(F.col("l_linenumber") == 1, 1).otherwise(2 + pick % others)
+    # One constant array and one lookup keep the generated code small.
+    literals = ", ".join("null" if v is None else f"'{v}'" for v in values)
+    return F.element_at(F.expr(f"array({literals})"), index.cast("int"))
 
 
 def statement_lines(spark: SparkSession, folder: str, kind: str, annual: bool) -> DataFrame:
@@ -145,7 +158,7 @@ def statement_lines(spark: SparkSession, folder: str, kind: str, annual: bool) -
     hold every line, some with a half-year exercise. Lines of returned items
     play the prior-year comparison.
     """
-    df = table(spark, folder, "lineitem")
+    df = spread(table(spark, folder, "lineitem"))
     year, quarter = F.year("l_shipdate"), F.quarter("l_shipdate")
     supplier, number = F.col("l_suppkey"), F.col("l_linenumber")
     if not annual:
