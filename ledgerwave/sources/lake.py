@@ -53,9 +53,15 @@ def scan_delimited(
     return reader.csv(path)
 
 
-def scan_delimited_text(spark: SparkSession, path: str | list[str], names: list[str]) -> DataFrame:
-    """The same with every column as text."""
-    return scan_delimited(spark, path, text_schema(names))
+def scan_delimited_text(
+    spark: SparkSession, path: str | list[str], names: list[str] | None = None
+) -> DataFrame:
+    """The same with every column as text. Without ``names`` the header names
+    the columns; either way nothing is inferred from the rows."""
+    if names is not None:
+        return scan_delimited(spark, path, text_schema(names))
+    reader = spark.read.option("header", True).option("sep", ";")
+    return reader.option("encoding", "ISO-8859-1").option("inferSchema", False).csv(path)
 
 
 def with_file_year(df: DataFrame) -> DataFrame:
