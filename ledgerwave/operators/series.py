@@ -14,13 +14,13 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerwave.session import scratch_path
 
 MAX_ROWS = 2_000_000
 # A long entity is measured in GRID x GRID slices of about equal row count.
-GRID = 32
+GRID = 16
 _BLOCK, _OWN = "_block", "_own"
 
 
@@ -45,17 +45,19 @@ def _numeric_order(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def _slice_of(splits: Column, position: Column) -> Column:
+def _slice_of(position: Column) -> Column:
     """Number of split points below a position, by a two-level search."""
 
     def below(points: Column) -> Column:
         return F.size(F.filter(points, lambda s: s < position))
 
-    coarse = F.filter(splits, lambda _, i: i % GRID == GRID - 1)
-    passed = below(coarse) * GRID
-    return F.when(
-        position.isNotNull(), passed + below(F.slice(splits, passed + 1, GRID))
-    ).otherwise(0)
+    passed = below(F.col("_coarse")) * GRID
+    fine = F.slice(F.col("_splits"), passed + 1, GRID)
+    return F.when(position.isNull(), 0).otherwise(passed + below(fine)).cast("int")
+
+
+def _kept(keys: list[str]) -> list[str]:
+    return [f"_k_{k}" for k in keys]
 
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -65,74 +67,58 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 def _long_entities(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
-    return counts.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    return counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
 
 
-def _block_table(
-    df: DataFrame, long: DataFrame, keys: list[str], order: str, lookback: int, max_rows: int
-) -> DataFrame:
-    """One row per long entity: its split points and, per slice, the blocks the
-    slice goes to (its own first). At most GRID x GRID entries each."""
-    renamed = [f"_k_{k}" for k in keys]
-    hot = df.select(*keys, _numeric_order(df, order).alias("_pos"))
-    hot = hot.join(long, _same_keys(hot, long, keys)).drop(*keys)
-    shares = [i / (GRID * GRID) for i in range(1, GRID * GRID)]
-    splits = hot.groupBy(*renamed).agg(
-        F.array_sort(F.array_distinct(
-            F.percentile_approx("_pos", shares, 20 * GRID * GRID)
-        )).alias("_splits")
-    )
-    joined = hot.alias("h").join(splits.alias("s"), reduce(and_, [
-        F.col(f"h.{k}").eqNullSafe(F.col(f"s.{k}")) for k in renamed
-    ])).select(
-        *[F.col(f"h.{k}").alias(k) for k in renamed], "_splits",
-        _slice_of(F.col("_splits"), F.col("_pos")).alias("_slice"),
-    )
-    slices = joined.groupBy(*renamed, "_splits", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    # From here on everything is bounded: GRID x GRID slices per long entity.
-    sized = slices.groupBy(*renamed, "_splits").agg(F.array_sort(F.collect_list(
-        F.struct("_slice", "_rows")
-    )).alias("_sizes"))
-    # Running totals: (slice, rows before, rows up to and including).
-    running = F.aggregate(
-        "_sizes",
-        F.struct(
-            F.lit(0).cast("long").alias("total"),
-            F.expr("cast(array() as array<struct<slice:int,before:bigint,after:bigint,block:bigint>>)")
-            .alias("done"),
-        ),
-        lambda acc, x: F.struct(
-            (acc["total"] + x["_rows"]).alias("total"),
-            F.concat(acc["done"], F.array(F.struct(
-                x["_slice"].cast("int").alias("slice"),
-                acc["total"].alias("before"),
-                (acc["total"] + x["_rows"]).alias("after"),
-                F.floor(acc["total"] / F.lit(max_rows)).cast("long").alias("block"),
-            ))).alias("done"),
-        ),
-        lambda acc: acc["done"],
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """Written and read back: the table's real size decides how joins with it
+    run, and nothing behind it is computed again."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _split_table(df: DataFrame, long: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One row per long entity: where its order splits into even slices."""
+    hot = df.join(long, _same_keys(df, long, keys)).select(
+        *_kept(keys), _numeric_order(df, order).alias("_pos")
     )
-    starts = F.filter(
-        F.col("_run"),
-        lambda x, i: (i == 0) | (x["block"] != F.col("_run")[F.greatest(i - 1, F.lit(0))]["block"]),
+    shares = [i / (GRID * GRID) for i in range(1, GRID * GRID)]
+    splits = F.array_sort(F.array_distinct(
+        F.percentile_approx("_pos", shares, 20 * GRID * GRID)
+    ))
+    return hot.groupBy(*_kept(keys)).agg(splits.alias("_splits")).withColumn(
+        "_coarse", F.filter("_splits", lambda _, i: i % GRID == GRID - 1)
     )
 
-    def targets(x: Column) -> Column:
-        borrowing = F.filter(
-            F.col("_starts"),
-            lambda s: (s["block"] > x["block"]) & (s["before"] - F.lit(lookback) < x["after"]),
-        )
-        return F.concat(F.array(x["block"]), F.transform(borrowing, lambda s: s["block"]))
 
-    return (
-        sized.withColumn("_run", running)
-        .withColumn("_starts", starts)
-        .select(
-            *renamed, "_splits",
-            F.map_from_entries(F.transform(
-                "_run", lambda x: F.struct(x["slice"].alias("k"), targets(x).alias("v"))
-            )).alias("_targets"),
-        )
+def _target_table(
+    df: DataFrame, splits: DataFrame, keys: list[str], order: str, lookback: int, max_rows: int
+) -> DataFrame:
+    """Per slice of a long entity, the blocks it goes to: its own first, then
+    every later block whose look-back reaches into it. Sizes are exact counts;
+    everything after the first aggregation has at most GRID x GRID rows per
+    entity."""
+    kept = _kept(keys)
+    sizes = (
+        df.join(splits, _same_keys(df, splits, keys))
+        .select(*kept, _slice_of(_numeric_order(df, order)).alias("_slice"))
+        .groupBy(*kept, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    entity = Window.partitionBy(*kept)
+    runs = sizes.withColumn(
+        "_after", F.sum("_rows").over(entity.orderBy("_slice"))
+    ).withColumn("_before", F.col("_after") - F.col("_rows"))
+    runs = runs.withColumn("_at", F.floor(F.col("_before") / F.lit(max_rows)).cast("long"))
+    starts = runs.withColumn(
+        "_start", F.min("_before").over(Window.partitionBy(*kept, "_at"))
+    ).withColumn("_starts", F.collect_set(F.struct("_at", "_start")).over(entity))
+    later = F.filter(
+        F.col("_starts"),
+        lambda s: (s["_at"] > F.col("_at")) & (s["_start"] - F.lit(lookback) < F.col("_after")),
+    )
+    return starts.select(
+        *kept, "_slice", F.concat(F.array("_at"), F.transform(later, lambda s: s["_at"])).alias("_to")
     )
 
 
@@ -157,20 +143,28 @@ def over_series(
     if long.isEmpty():
         return compute(df, Series(keys, order))
 
-    spark = df.sparkSession
-    path = scratch_path(spark, "blocks")
-    _block_table(df, long, keys, order[0], lookback, max_rows).write.parquet(path)
-    # Read back as a table: its real size decides between broadcast and shuffle.
-    blocks = spark.read.parquet(path)
-    position = _numeric_order(df, order[0])
-    targets = F.element_at("_targets", _slice_of(F.col("_splits"), position))
+    splits = _stored(_split_table(df, long, keys, order[0]), "splits")
+    targets = _stored(
+        _target_table(df, splits, keys, order[0], lookback, max_rows), "blocks"
+    )
+    columns = [df[c] for c in df.columns]
+    sliced = df.join(splits, _same_keys(df, splits, keys), "left").select(
+        *columns,
+        F.when(F.col("_splits").isNotNull(), _slice_of(_numeric_order(df, order[0]))).alias("_sl"),
+    )
     placed = (
-        df.join(blocks, _same_keys(df, blocks, keys), "left")
-        .withColumn("_to", F.when(F.col("_splits").isNull(), F.array(F.lit(0).cast("long")))
-                    .otherwise(targets))
-        .select(*[F.col(c) for c in df.columns], F.posexplode("_to").alias("_at", _BLOCK))
-        .withColumn(_OWN, F.col("_at") == 0)
-        .drop("_at")
+        sliced.join(
+            targets,
+            _same_keys(sliced, targets, keys) & (F.col("_sl") == targets["_slice"]),
+            "left",
+        )
+        .select(
+            *[sliced[c] for c in df.columns],
+            F.posexplode(F.coalesce(F.col("_to"), F.array(F.lit(0).cast("long"))))
+            .alias("_nth", _BLOCK),
+        )
+        .withColumn(_OWN, F.col("_nth") == 0)
+        .drop("_nth")
     )
     done = compute(placed, Series([*keys, _BLOCK], order))
     return done.filter(_OWN).drop(_BLOCK, _OWN)
