@@ -4,15 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerwave.llm import exact_dedup, mixing
+from ledgerwave.llm import decontamination, exact_dedup, mixing, secrets
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(
+        documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet")
+    )
+    return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
+
+
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.op2_columns(secrets.secret_spans(documents(spark, folder)))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
 
@@ -22,10 +33,14 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_secrets": op2_secrets,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_mix_sources": op8_mix_sources,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": decontamination.OP1_SQL,
+    "op2_secrets": secrets.op2_sql(),
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
 }
