@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerwave.llm import decontamination, exact_dedup, mixing, secrets
+from ledgerwave.llm import decontamination, exact_dedup, line_dedup, mixing, secrets
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = line_dedup.deduplicate_lines(documents(spark, folder))
+    return done.select("doc_id", "n_lines", F.size("gone").cast("long").alias("n_removed"), "text")
+
+
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).drop("source")
 
@@ -36,11 +41,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op8_mix_sources": op8_mix_sources,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": decontamination.OP1_SQL,
     "op2_secrets": secrets.op2_sql(),
     "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op6_line_dedup": line_dedup.OP6_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
 }
