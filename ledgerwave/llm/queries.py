@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerwave.llm import decontamination, exact_dedup, line_dedup, mixing, secrets
+from ledgerwave.llm import decontamination, exact_dedup, line_dedup, mixing, secrets, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,12 +37,19 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).drop("source")
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.op10_columns(
+        documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op8_mix_sources": op8_mix_sources,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": decontamination.OP1_SQL,
