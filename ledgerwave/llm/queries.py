@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerwave.llm import decontamination, exact_dedup, line_dedup, mixing, secrets, toxicity
+from ledgerwave.llm import decontamination, exact_dedup, line_dedup, mixing, secrets, sketch_join, toxicity
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.op2_columns(secrets.secret_spans(documents(spark, folder)))
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return sketch_join.jaccard_components(documents(spark, folder))
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, folder))
 
@@ -46,6 +50,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op8_mix_sources": op8_mix_sources,
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": decontamination.OP1_SQL,
     "op2_secrets": secrets.op2_sql(),
+    "op4_jaccard_join": sketch_join.OP4_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
