@@ -76,17 +76,17 @@ def _whole(texts: DataFrame, ids: list[str], length: int) -> DataFrame:
     return texts.select(*ids, F.explode(runs).alias("w")).select(*ids, "w.*")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_words, n_hit,
-    n_items, items (ids as text, sorted), contaminated.
+def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """doc_id, key (hash of the text), n_hit, items for every document of
+    ``docs`` (doc_id, text) that holds a window of ``benchmark`` (item_id, text).
 
-    ``benchmark`` holds item_id and text. Words are runs of a-z, 0-9 and
+    Words are runs of a-z, 0-9 and
     characters beyond ASCII, A-Z lower-cased. A word of a document is hit when
     it lies in an occurrence of ``span`` consecutive words of an item, or of a
     whole item that has fewer. Null or empty texts have no words and no hits.
     Items without an id hit words but cannot be listed; an id that repeats is
-    one item. Rows of ``docs`` that repeat doc_id and text get the same result
-    each. Without items nothing is hit; without documents the result is empty.
+    one item. Rows of ``docs`` that repeat doc_id and text are one document.
+    Without items, or without documents, the result is empty.
     """
     items = stored(
         benchmark.select(
@@ -119,7 +119,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
     short = [r[0] for r in windows.where(F.col("length") < span).select("length").distinct().collect()]
     for n in sorted(short):
         spans = spans.unionByName(_whole(texts, ids, n))
-    hits = (
+    return (
         spans.join(maybe_broadcast(windows), "words")
         .groupBy(*ids)
         .agg(
@@ -127,19 +127,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
             F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         )
         .select(
-            F.col("doc_id").alias("hit_id"),
-            F.col("key").alias("hit_key"),
+            *ids,
             F.size(F.array_distinct(F.flatten(F.expr("transform(at, a -> sequence(a.start, a.start + a.length - 1))")))).cast("long").alias("n_hit"),
             "items",
         )
     )
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items (ids
+    as text, sorted), contaminated; cases as in ``hits``. Rows that repeat doc_id
+    and text get the same result each."""
+    found = hits(docs, benchmark, span, gram).withColumnsRenamed({"doc_id": "hit_id", "key": "hit_key"})
     counted = docs.select(
         "doc_id",
         text_key(F.col("text")).alias("key"),
         F.coalesce(F.regexp_count("text", F.lit(TERM_ANY_CASE)), F.lit(0)).cast("long").alias("n_words"),
     )
     met = counted.join(
-        hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & F.col("key").eqNullSafe(F.col("hit_key")), "left"
+        found, F.col("doc_id").eqNullSafe(F.col("hit_id")) & F.col("key").eqNullSafe(F.col("hit_key")), "left"
     )
     none = F.array().cast("array<string>")
     return met.select(

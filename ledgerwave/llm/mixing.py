@@ -76,6 +76,7 @@ def mix(
     block: int = BLOCK,
     shard: int = SHARD,
     seed: str = SEED,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, source, size,
     source_size, target, taken.
@@ -84,10 +85,11 @@ def mix(
     included, from 0 to ``repeats`` times its size; null or empty texts have
     size and taken 0. A null source is a source of its own and comes last. Rows
     that repeat a doc_id are separate documents. Choices depend on the seed and
-    the rows alone. Without rows the result is empty.
+    the rows alone. Without rows the result is empty. Columns named in ``carry``
+    go along.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(NOT_SPACES)), F.lit(0)).cast("long")
-    sized = stored(docs.select("doc_id", "source", size.alias("size")), "sizes")
+    sized = stored(docs.select("doc_id", "source", size.alias("size"), *carry), "sizes")
     targets = stored(source_targets(sized, weights, share, repeats), "targets")
 
     t = targets.withColumnRenamed("source", "of")
@@ -144,9 +146,10 @@ def mix(
         F.first("size").alias("size"),
         F.first("source_size").alias("source_size"),
         F.first("target").alias("target"),
+        *[F.first(c).alias(c) for c in carry],
         F.sum(words * F.coalesce("times", F.lit(0))).alias("taken"),
     )
-    columns = ["doc_id", "source", "size", "source_size", "target", "taken"]
+    columns = ["doc_id", "source", *carry, "size", "source_size", "target", "taken"]
     return taken.select(columns).unionByName(
         rows.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(columns)
     )
