@@ -13,10 +13,13 @@ Three measures keep groups small and the join exact:
 
 - equal sets are one class, found by a map-side combined aggregation;
 - frequent shingles (a bounded Misra-Gries summary, merged over all tasks) are
-  left out of the sketches. This only lowers the difference, so the bound holds;
-- documents with too few filled words after that also meet in sketches of their
-  whole sets, and if those too have too few, by their smallest hashes (prefix
-  filter). Two such documents share both ways, so no pair is lost.
+  left out of the sketches. This only lowers the difference, so the bound holds
+  for any choice of shingles that is the same for all documents. The choice goes
+  by levels: level k keeps shingles with less than FREQUENT * 2^k occurrences;
+- a document whose sketch has too few filled words at one level also meets at
+  the next, and, if even its whole set has too few, by its smallest hashes (prefix
+  filter). Of two documents, the one that needs fewer levels has enough words at
+  its last, where the other meets it too; so no pair is lost.
 
 Rows under one word are linked through the smallest document of the group (a
 star), not in pairs; verified stars merge into components, and only pairs that
@@ -37,10 +40,10 @@ from ledgerwave.llm.shingles import ALIKE, OF, mixed, shingles, similar
 from ledgerwave.session import stored
 
 # Bounds of the summary of frequent shingles: counters held per task, and
-# shingles finally left out. FREQUENT is the least count of those.
-COUNTERS = 50_000
-LEFT_OUT = 20_000
-FREQUENT = 40
+# shingles kept in the end. FREQUENT is the least count of those.
+COUNTERS = 100_000
+KEPT = 500_000
+FREQUENT = 20
 
 # Lower limits of the size bands, each half as large again as the one before.
 BANDS = [1]
@@ -71,35 +74,48 @@ def _filled(tokens: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keys(slots: np.ndarray, values: np.ndarray, band: int, space: int) -> np.ndarray:
-    salt = mixed(slots * np.uint64(256) + np.uint64(band * 4 + space) + np.uint64(1))
+    salt = mixed(slots * np.uint64(1 << 14) + np.uint64(band * 64 + space) + np.uint64(1))
     return mixed(values ^ salt)
 
 
-def meeting_keys(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+class Frequent:
+    """Sorted frequent shingles and, for each, the level from which it counts."""
+
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
+        order = np.argsort(tokens, kind="stable")
+        self.tokens = tokens[order]
+        self.level = 1 + np.log2(np.maximum(counts[order], FREQUENT) / FREQUENT).astype(np.int8)
+
+    def levels(self, tokens: np.ndarray) -> np.ndarray:
+        if not len(self.tokens):
+            return np.zeros(len(tokens), np.int8)
+        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        return np.where(self.tokens[at] == tokens, self.level[at], 0)
+
+    @property
+    def last(self) -> int:
+        return int(self.level.max(initial=0))
+
+
+def meeting_keys(tokens: np.ndarray, frequent: Frequent) -> np.ndarray:
     """The keys under which a set meets every set that is similar to it."""
     n = len(tokens)
     own = int(np.searchsorted(_BANDS, n, side="right")) - 1
     bands = [own] + [own + 1] * (OF * n >= ALIKE * BANDS[own + 1])
-    rare = tokens
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        rare = tokens[frequent[at] != tokens]
+    level = frequent.levels(tokens)
     out = []
     for band in bands:
         d = most_differing(n, BANDS[band + 1] - 1)
         if d == 0:
             continue  # only equal sets are similar, and these are one class
-        size = sketch_size(band)
-        slots, values = _filled(rare, size)
-        out.append(_keys(slots, values, band, 0))
-        if len(slots) > d:
-            continue
-        slots, values = _filled(tokens, size)
-        out.append(_keys(slots, values, band, 1))
-        if len(slots) > d:
-            continue
-        prefix = tokens[: n - -(-ALIKE * n // OF) + 1]
-        out.append(_keys(np.zeros(len(prefix), np.uint64), prefix, 0, 2))
+        for k in range(frequent.last + 1):
+            slots, values = _filled(tokens[level <= k], sketch_size(band))
+            out.append(_keys(slots, values, band, k))
+            if len(slots) > d:
+                break
+        else:
+            prefix = tokens[: n - -(-ALIKE * n // OF) + 1]
+            out.append(_keys(np.zeros(len(prefix), np.uint64), prefix, 0, 63))
     return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
@@ -158,10 +174,10 @@ def describe_sets(docs: DataFrame) -> DataFrame:
     )
 
 
-def _meetings(docs: DataFrame, frequent: list[int]) -> DataFrame:
+def _meetings(docs: DataFrame, frequent: Frequent) -> DataFrame:
     """key, id: one row per key of each set. Within a task a set that came before
     is not repeated; its class is known from ``describe_sets``."""
-    left_out = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(frequent, np.int64).view(np.uint64)))
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: set[bytes] = set()
@@ -176,7 +192,7 @@ def _meetings(docs: DataFrame, frequent: list[int]) -> DataFrame:
                 if name in before:
                     continue
                 before.add(name)
-                k = meeting_keys(s, left_out.value)
+                k = meeting_keys(s, shared.value)
                 ids.append(np.full(len(k), doc, np.int64))
                 keys.append(k)
                 held += len(k)
@@ -202,8 +218,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     seen = stored(describe_sets(docs), "sets")
     sets = seen.where("n is not null")
     hot = seen.where("n is null").groupBy("one").agg(F.sum("two").alias("times")).where(F.col("times") >= FREQUENT)
-    # At most LEFT_OUT numbers.
-    frequent = [r[0] for r in hot.orderBy(F.desc("times"), "one").limit(LEFT_OUT).select("one").collect()]
+    # At most KEPT rows of two numbers.
+    top = hot.orderBy(F.desc("times"), "one").limit(KEPT).toArrow()
+    frequent = Frequent(top["one"].to_numpy().view(np.uint64), top["times"].to_numpy())
 
     named = sets.where("doc_id is not null and n > 0")
     reps = named.groupBy("n", "one", "two").agg(F.min("doc_id").alias("rep"))
@@ -241,8 +258,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         "links",
     )
 
-    def grown(links: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
-        return stored(links.unionByName(verified(pairs, texts, shingles, similar)), label)
+    def grown(links: DataFrame, pairs: DataFrame) -> DataFrame:
+        if pairs.isEmpty():
+            return links
+        return stored(links.unionByName(verified(pairs, texts, shingles, similar)), "links")
 
     def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
         """Pairs whose ends still lie in different components."""
@@ -254,13 +273,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         )
 
     # First each class with the partner it shares most with, then what is apart.
-    best = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", F.col("a") * -1)).alias("a"))
-    links = grown(links, best.select("a", "b"), "links")
+    best = stored(
+        stars.groupBy("b").agg(F.max_by("a", F.struct("shared", F.col("a") * -1)).alias("a")), "best"
+    )
+    links = grown(links, best.select("a", "b"))
     roots = stored(components(links), "roots")
     tried = best.select("a", "b")
     more = stored(apart(stars.select("a", "b").join(tried, ["a", "b"], "left_anti"), roots).select("a", "b"), "more")
-    links = grown(links, more, "links")
-    roots = stored(components(links), "roots")
+    if not more.isEmpty():
+        links = grown(links, more)
+        roots = stored(components(links), "roots")
     # Groups whose members are not yet one component: members beside the hub.
     member = groups.join(of, "id").join(roots, F.col("rep") == F.col("node"), "left").select(
         "key", "rep", "n", F.coalesce("root", "rep").alias("root")
@@ -273,9 +295,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .where(f"rep_a < rep_b and root_a != root_b and {OF} * least(n_a, n_b) >= {ALIKE} * greatest(n_a, n_b)")
         .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     )
-    cross = cross.join(stars, ["a", "b"], "left_anti")
-    links = grown(links, cross, "links")
-    roots = stored(components(links), "roots")
+    cross = stored(cross.join(stars, ["a", "b"], "left_anti"), "cross")
+    if not cross.isEmpty():
+        links = grown(links, cross)
+        roots = stored(components(links), "roots")
 
     out = sets.join(roots, F.col("doc_id") == F.col("node"), "left")
     return out.select(
