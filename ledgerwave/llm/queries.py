@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerwave.llm import decontamination, exact_dedup, line_dedup, mixing, secrets, sketch_join, toxicity
+from ledgerwave.llm import (
+    decontamination, exact_dedup, license_scan, line_dedup, mixing, pii, secrets, sketch_join,
+    substring_dedup, toxicity,
+)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +27,10 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.op2_columns(secrets.secret_spans(documents(spark, folder)))
 
 
+def op3_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.repeated_passages(documents(spark, folder))
+
+
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return sketch_join.jaccard_components(documents(spark, folder))
 
@@ -37,10 +44,18 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_lines", F.size("gone").cast("long").alias("n_removed"), "text")
 
 
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_labels(documents(spark, folder))
+
+
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder)).drop("source")
 
 
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.op9_columns(pii.personal_data(documents(spark, folder)))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.op10_columns(
         documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")
@@ -50,10 +65,13 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
+    "op3_repeated_passages": op3_repeated_passages,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_line_dedup": op6_line_dedup,
+    "op7_licenses": op7_licenses,
     "op8_mix_sources": op8_mix_sources,
+    "op9_personal_data": op9_personal_data,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {
