@@ -146,7 +146,7 @@ def ifr(variable: str, n: int, fixed: bool = False) -> Feature:
         mean = Moving("avg", v, n, 1)
         suffix, helpers, shift, lookback = "", (mean,), 1, 2 * n + 1
         gain, loss = (
-            f"if({_change(v, lag.name)} {sign} 0, coalesce({mean.name}, 0D), 0D)"
+            f"if({_change(v, lag.name)} {sign} 0, coalesce(nanvl({mean.name}, 0D), 0D), 0D)"
             for sign in "><"
         )
     up = FrameSum(f"_up_{v}_{n}{suffix}", gain, n, shift)
@@ -158,25 +158,14 @@ def ifr(variable: str, n: int, fixed: bool = False) -> Feature:
 
 
 def _add_sums(df: DataFrame, sums: list[FrameSum], series: Series) -> DataFrame:
-    short = {
-        s.name: f"sum({s.term}) over ({series.sql} rows between {s.length - 1 + s.shift} preceding "
-        f"and {f'{s.shift} preceding' if s.shift else 'current row'})"
-        for s in sums if s.length <= SHORT_FRAME
-    }
-    long = [s for s in sums if s.length > SHORT_FRAME]
-    totals = {
-        f"_t{s.name}": f"sum({s.term}) over ({series.sql} rows unbounded preceding)" for s in long
-    }
-    df = df.withColumns({n: F.expr(e) for n, e in {**short, **totals}.items()})
-    if not long:
-        return df
-
-    def total(s: FrameSum, back: int) -> str:
-        return f"lag(_t{s.name}, {back}) over ({series.sql})" if back else f"_t{s.name}"
-
+    """Plain frame sums: a NaN or infinity leaves with its row, and rounding does
+    not depend on where a long entity is cut."""
     return df.withColumns({
-        s.name: F.expr(f"{total(s, s.shift)} - coalesce({total(s, s.shift + s.length)}, 0D)")
-        for s in long
+        s.name: F.expr(
+            f"sum({s.term}) over ({series.sql} rows between {s.length - 1 + s.shift} preceding "
+            f"and {f'{s.shift} preceding' if s.shift else 'current row'})"
+        )
+        for s in sums
     })
 
 

@@ -16,7 +16,7 @@ YEARS = range(2011, 2023)
 
 
 def _years(spark: SparkSession, lake_: Lake, kind: str, years: Iterable[int], schema) -> DataFrame:
-    return lake.scan_years(spark, lake_.table(kind), years, schema)
+    return lake.scan_years(spark, lake_.table(kind), years, schema, "dt_file_year")
 
 
 def income_union(spark: SparkSession, lake_: Lake, years: Iterable[int]) -> DataFrame:

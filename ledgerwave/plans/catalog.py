@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {}
 PROCESSED = "2024-01-31"
 DAY_AFTER = "1998-06-16"
 PERIOD = 20
+LONG_BLOCK = 5_000  # rows of an entity from which it is cut here
 # Bars hold one row per company, ticker and calendar day, statements one per
 # company and quarter: those entities are short however large the tables are.
 SHORT = None
@@ -114,14 +115,16 @@ def sink_overwrite(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def price_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Two files that share their days, the second holding other tickers and a
+    repeated delivery; partitioned by month to keep the number of files low."""
     path = scratch_path(spark, "prices")
-    # By month here, so that the test tables do not become thousands of files.
     days = src.daily_prices(spark, folder).withColumn(
         "dt_month", F.trunc("dt_date", "month")
     ).select(*schemas.PRICE_COLUMNS, "dt_month")
-    lake.append_days(days, path, day="dt_month")
-    again = days.filter(F.col("dt_month") >= F.lit("2001-01-01").cast("date"))
-    lake.append_days(again.unionByName(again), path, day="dt_month")
+    first = F.crc32("id_ticker") % 2 == 0
+    keys = ["dt_date", "id_cnpj", "id_ticker"]
+    lake.append_days(days.filter(first), path, "dt_month", keys)
+    lake.append_days(days.filter(~first).unionByName(days), path, "dt_month", keys)
     return spark.read.parquet(path).select("dt_date", "id_ticker", "amt_adj_close", "qty_volume")
 
 
@@ -594,10 +597,7 @@ def features_long_entities(spark: SparkSession, folder: str) -> DataFrame:
         ft.moving("value", PERIOD, "mean"), ft.moving("value", PERIOD, "max"),
         ft.broke_high("value", PERIOD), ft.ifr("value", 10),
     ]
-    # Row counts come from the file footers; blocks stay a fixed share of the
-    # table here so that small tables are cut too.
-    block = max(300, min(2_000_000, events.count() // 100))
-    done = ft.with_features(events, wanted, ["event_type"], ["ts", "event_id"], block)
+    done = ft.with_features(events, wanted, ["event_type"], ["ts", "event_id"], LONG_BLOCK)
     return round_features(done.drop("ts"))
 
 

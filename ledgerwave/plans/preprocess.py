@@ -1,8 +1,7 @@
 """Raw files -> pre-processed tables, one entry per kind of filing.
 
-A run covers any number of years at once: the files are selected by name when
-they are listed, read in one scan, and written as one table per kind that is
-partitioned by year, replacing only the years it holds.
+Files are selected by name when they are listed. Each table is partitioned by the
+year of the source file, and a run replaces only the years it is given.
 """
 
 from __future__ import annotations
@@ -10,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerwave.operators import cashflow, columns, quarters, registry, statements
@@ -54,7 +54,7 @@ def _income(spark: SparkSession, lake_: Lake, kind: str, years: list[int]) -> Ta
     lines = _scan(spark, lake_, kind, years)
 
     def stored(name: str) -> DataFrame:
-        return lake.scan_years(spark, lake_.table(name), years, schemas.INCOME_WIDE)
+        return lake.scan_years(spark, lake_.table(name), years, schemas.INCOME_WIDE, FILE_YEAR)
 
     out = {
         kind: lambda: statements.income_statement(lines, annual),
@@ -89,6 +89,7 @@ JOBS = {
     "itr_dfc_table": _flow,
 }
 # Kinds whose table carries no processing day.
+FILE_YEAR = "dt_file_year"
 UNSTAMPED = {"dfp_dfc"}
 
 
@@ -97,16 +98,26 @@ def preprocess(
 ) -> list[str]:
     """Run one kind of filing for some years; returns the tables written.
 
-    Quarterly income reads the annual income table of the same years, so run
-    ``dfp_dre`` before ``itr_dre``.
+    Each source file is one slice of the table, named by the file's year and
+    replaced as a whole: late-dated or undated rows of one file never touch the
+    slice of another. A year without a file is left alone. Quarterly income
+    reads the annual income table of the same years, so run ``dfp_dre`` first.
     """
     written = []
-    for name, make in JOBS[kind](spark, lake_, kind, list(years)).items():
-        df = make()
-        if kind not in UNSTAMPED:
-            df = columns.stamp_processed_at(df, execution_date)
-        if "dt_year" not in df.columns:
-            df = df.withColumn("dt_year", F.year("dt_refer"))
-        lake.write_table(df, lake_.table(name), partition_by=["dt_year"])
-        written.append(lake_.table(name))
+    for year in years:
+        try:
+            tables = JOBS[kind](spark, lake_, kind, [year])
+            for name, make in tables.items():
+                df = make()
+                if kind not in UNSTAMPED:
+                    df = columns.stamp_processed_at(df, execution_date)
+                if "dt_year" not in df.columns:
+                    df = df.withColumn("dt_year", F.year("dt_refer"))
+                df = df.withColumn(FILE_YEAR, F.lit(year))
+                lake.write_table(df, lake_.table(name), partition_by=[FILE_YEAR])
+                if lake_.table(name) not in written:
+                    written.append(lake_.table(name))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     return written

@@ -8,6 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerwave.operators.quarters import dedupe_subset
+from ledgerwave.session import stored
+
 CORRUPT = "_corrupt_record"
 
 # How the published files of each statement kind are named.
@@ -96,10 +99,14 @@ def read_existing(
 
 
 def scan_years(
-    spark: SparkSession, table: str, years: Iterable[int], schema: StructType
+    spark: SparkSession, table: str, years: Iterable[int], schema: StructType, by: str = "dt_year"
 ) -> DataFrame:
-    """Some years of a table partitioned by ``dt_year``; absent years are absent."""
-    return read_existing(spark, table, schema).filter(F.col("dt_year").isin(list(years)))
+    """Some years of a table partitioned by ``by``; absent years are absent."""
+    df = read_existing(spark, table, schema)
+    if by not in df.columns:  # nothing is there yet
+        df = df.withColumn(by, F.lit(None).cast("int"))
+    df = df.filter(F.col(by).isin(list(years)))
+    return df if by in schema.names else df.drop(by)
 
 
 def scan_yearly_files(
@@ -137,10 +144,53 @@ def write_table(
     return True
 
 
-def append_days(days: DataFrame, path: str, day: str = "dt_date") -> None:
-    """Append whole days to a day-partitioned table, exact duplicates removed.
+# Days of a batch that are listed one by one in a partition filter; a batch with
+# more of them is bounded by its first and last day.
+LISTED_DAYS = 400
+
 
-    Each day is its own partition and is replaced, so running the same day
-    again changes nothing.
+def merge_new_rows(
+    batch: DataFrame, target: str, keys: list[str], day: str, schema: StructType
+) -> None:
+    """Append the rows of a batch whose keys the target does not hold yet.
+
+    Rows already stored stay. Of rows that repeat the keys one is kept. The
+    anti-join makes a repeated batch (a retry, a second delivery, a lost
+    checkpoint) add nothing, with no state to keep and no row ever too late.
+    ``day`` is the partition column and one of the keys: the batch is stored
+    once, and only partitions of its days are scanned.
     """
-    write_table(days.dropDuplicates(), path, partition_by=[day])
+    fresh = stored(dedupe_subset(batch, keys), "batch")
+    days = fresh.select(day).distinct()
+    named = [r[0] for r in days.limit(LISTED_DAYS + 1).collect()]
+    if not named:
+        return
+    known = [d for d in named if d is not None]
+    if len(named) <= LISTED_DAYS:
+        touched = F.col(day).isin(known) if known else F.lit(False)
+    else:
+        low, high = days.agg(F.min(day), F.max(day)).first()
+        touched = F.col(day).between(F.lit(low), F.lit(high))
+    if None in named or len(named) > LISTED_DAYS:
+        touched = touched | F.col(day).isNull()
+    held = read_existing(batch.sparkSession, target, schema).filter(touched).select(*keys)
+    same = F.lit(True)
+    for k in keys:
+        same = same & fresh[k].eqNullSafe(held[k])
+    (
+        fresh.join(held, same, "left_anti")
+        .hint("rebalance", F.col(day))
+        .write.mode("append").partitionBy(day).parquet(target)
+    )
+
+
+PRICE_KEYS = ("id_cnpj", "id_ticker")
+
+
+def append_days(
+    days: DataFrame, path: str, day: str = "dt_date", keys: Iterable[str] = PRICE_KEYS
+) -> None:
+    """Append a file of prices to a day-partitioned table. Rows of other
+    companies and tickers already stored for a day stay, and running the same
+    file again changes nothing."""
+    merge_new_rows(days, path, [day, *keys], day, days.schema)

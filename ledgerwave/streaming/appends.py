@@ -5,34 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ledgerwave.operators.quarters import dedupe_subset
-from ledgerwave.sources.lake import read_existing
+from ledgerwave.sources.lake import merge_new_rows
 
+FILES_PER_BATCH = 256
 
-def landing_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Files of a landing folder, each read once per checkpoint."""
-    return spark.readStream.schema(schema).parquet(path)
 
-
-def merge_new_rows(
-    batch: DataFrame, target: str, keys: list[str], day: str, schema: StructType
-) -> None:
-    """Append the rows of a batch whose keys the target does not hold yet.
-
-    The anti-join makes a repeated batch (a retry, a second delivery, a lost
-    checkpoint) add nothing, with no state to keep and no row ever too late.
-    ``day`` is the partition column and must be one of the keys: only the
-    partitions of days in the batch take part.
-    """
-    fresh = dedupe_subset(batch, keys)
-    days = fresh.select(day).distinct()
-    held = read_existing(batch.sparkSession, target, schema)
-    held = held.join(days, day, "left_semi").select(*keys)
-    (
-        fresh.join(held, keys, "left_anti")
-        .hint("rebalance", F.col(day))
-        .write.mode("append").partitionBy(day).parquet(target)
-    )
+def landing_stream(
+    spark: SparkSession, path: str, schema: StructType, files: int = FILES_PER_BATCH
+) -> DataFrame:
+    """Files of a landing folder, each read once per checkpoint, at most
+    ``files`` in one batch."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    return reader.parquet(path)
 
 
 def append_prices(

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerwave.operators import features as ft, moving as mv
 from ledgerwave.plans import feature_sets as fs
@@ -124,3 +125,11 @@ def test_one_exchange_and_one_sort(spark, features):
     plan = done._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
     assert len(re.findall(r"(?m)^[\s:+-]*Sort ", plan)) == 1
+
+
+def test_strength_index_recovers_from_nan(spark):
+    rows = [("a", i, float("nan") if i == 50 else 10.0 + (i * 7) % 5) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, i int, v double")
+    for n in (10, 30):
+        out = ft.with_features(df, [ft.ifr("v", n)], ["k"], ["i"], None)
+        assert out.filter(F.isnan(f"amt_IFR_v_{n}")).count() == 0

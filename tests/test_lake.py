@@ -219,3 +219,26 @@ def test_profit_measures(spark):
 def test_null_profile(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b string")
     assert {r.column_name: r.n_null for r in columns.null_profile(df).collect()} == {"a": 1, "b": 2}
+
+
+def test_second_file_of_a_day_adds_rows(spark):
+    path = scratch_path(spark, "append")
+    schema = "dt_date date, id_cnpj string, id_ticker string, amt_close double"
+    day = dt.date(2021, 3, 5)
+    for ticker in ("AAA", "BBB", "AAA"):
+        lake.append_days(spark.createDataFrame([(day, "1", ticker, 1.0)], schema), path)
+    assert sorted(r.id_ticker for r in spark.read.parquet(path).collect()) == ["AAA", "BBB"]
+
+
+def test_files_keep_their_own_slices(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    names = list(schemas.COMPANY_REGISTER_NAMES)
+    for year, dates in ((2021, ("2021-01-01", "2021-12-31", "")), (2022, ("2022-01-01", "2021-12-31", ""))):
+        rows = [";".join([f"0{i}", d, *["1"] * (len(names) - 2)]) for i, d in enumerate(dates)]
+        (raw / f"fca_cia_aberta_geral_{year}.csv").write_text("\n".join([";".join(names), *rows]), "latin-1")
+    folders = Lake(str(raw), str(tmp_path / "processed"))
+    for years in ([2021], [2022], [2019]):
+        preprocess(spark, folders, "fca_aberta_geral", years, "2022-02-01")
+    table = spark.read.parquet(folders.table("fca_aberta_geral"))
+    assert {(r[0], r[1]) for r in table.groupBy("dt_file_year").count().collect()} == {(2021, 3), (2022, 3)}
