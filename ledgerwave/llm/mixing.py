@@ -6,7 +6,8 @@ shard the documents are laid end to end in a seeded order and cut into blocks of
 equal length. Blocks are seats, targets are votes: a (source, shard) pair holds
 one seat for every quotient votes / (2 j + 1) that reaches half a block, which is
 Sainte-Lague with the block length as common divisor, in whole numbers. Seeded
-hashes then choose which blocks fill the quota; a block is taken at most twice.
+hashes then choose which blocks fill the quota. Targets above the size of a source
+take its shards whole first; no block is taken more often than targets allow.
 """
 
 from __future__ import annotations
@@ -106,19 +107,24 @@ def mix(
     placed = placed.withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     placed = placed.withColumn("start", F.col("end") - F.col("size")).drop("draw")
 
-    # Quotas and chosen blocks of every shard.
+    # Rounds in which a shard is taken whole, quotas and chosen blocks of the rest.
     votes = F.col("target") * F.col("shard_size") / F.col("source_size")
-    quota = F.floor(votes / block + 0.5)
+    rounds = F.floor(votes / F.col("shard_size"))
+    quota = F.floor((votes - F.col("rounds") * F.col("shard_size")) / block + 0.5)
     cut = (
         placed.groupBy("source", "shard", "source_size", "target")
         .agg(F.sum("size").alias("shard_size"))
-        .select("source", "shard", quota.alias("quota"), F.ceil(F.col("shard_size") / block).alias("blocks"))
-        .select("*", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"))
+        .withColumn("rounds", rounds)
+        .select(
+            "source", "shard", "rounds", quota.alias("quota"), F.expr(f"shard_size div {block}").alias("whole"),
+            F.explode(F.expr(f"sequence(0L, (shard_size - 1) div {block})")).alias("block"),
+        )
     )
     ticket = F.md5(F.concat_ws(
         "|", F.lit(seed), F.coalesce("source", F.lit("null")), F.col("shard").cast("string"), F.col("block").cast("string")
     ))
-    by_ticket = Window.partitionBy("source", "shard").orderBy("ticket", "block")
+    # The shorter block at the end of a shard comes last.
+    by_ticket = Window.partitionBy("source", "shard").orderBy(F.col("block") >= F.col("whole"), "ticket", "block")
     chosen = (
         cut.withColumn("ticket", ticket)
         .withColumn("turn", F.row_number().over(by_ticket))
@@ -126,7 +132,7 @@ def mix(
             F.col("source").alias("b_source"),
             F.col("shard").alias("b_shard"),
             "block",
-            (F.floor(F.col("quota") / F.col("blocks")) + (F.col("turn") <= F.col("quota") % F.col("blocks")).cast("long")).alias("times"),
+            (F.col("rounds") + (F.col("turn") <= F.col("quota")).cast("long")).alias("times"),
         )
         .where("times > 0")
     )
@@ -186,15 +192,17 @@ o as (
     rows between unbounded preceding and current row) as bigint) as stop
   from q),
 c as (
-  select source, shard, floor(any_value(target) * sum(size)::double / any_value(source_size) / {BLOCK} + 0.5)::bigint as quota,
-    ceil(sum(size) / {BLOCK})::bigint as blocks
+  select source, shard, sum(size)::bigint as shard_size,
+    any_value(target) * sum(size)::double / any_value(source_size) as votes
   from o group by source, shard),
 b as (
-  select source, shard, quota, blocks, unnest(range(blocks)) as block from c),
+  select source, shard, floor(votes / shard_size)::bigint as rounds, votes, shard_size,
+    unnest(range((shard_size - 1) // {BLOCK} + 1)) as block from c),
 k as (
-  select source, shard, block, quota // blocks + case when row_number() over (
-      partition by source, shard order by md5('{SEED}|' || coalesce(source, 'null') || '|' || shard || '|' || block), block)
-    <= quota % blocks then 1 else 0 end as times
+  select source, shard, block, rounds + case when row_number() over (
+      partition by source, shard order by block >= shard_size // {BLOCK},
+        md5('{SEED}|' || coalesce(source, 'null') || '|' || shard || '|' || block), block)
+    <= floor((votes - rounds * shard_size) / {BLOCK} + 0.5) then 1 else 0 end as times
   from b),
 x as (
   select *, unnest(range((stop - size) // {BLOCK}, (stop - 1) // {BLOCK} + 1)) as block from o)
