@@ -140,8 +140,9 @@ def mix(
         "block", F.explode(F.expr(f"sequence(start div {block}, (end - 1) div {block})"))
     )
     words = F.least(F.col("end"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
+    # Blocks grow with the input, though the planner sees only their short ranges.
     met = pieces.join(
-        chosen.withColumnRenamed("block", "b_block"),
+        chosen.withColumnRenamed("block", "b_block").hint("merge"),
         F.col("source").eqNullSafe(F.col("b_source"))
         & (F.col("shard") == F.col("b_shard"))
         & (F.col("block") == F.col("b_block")),
