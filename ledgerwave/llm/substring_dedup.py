@@ -15,6 +15,7 @@ fewer than PASSAGE words are left alone.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ REACH = 5  # a cut's hash is the smallest among so many on either side
 LONGEST = 64  # words of a paragraph; longer stretches without a cut are cut evenly
 BANDS = 3
 PASSAGE = 20
+HELD = 500_000  # shingles that a task holds before it hands paragraphs on
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = [np.uint64(0xD6E8FEB86659FD93 * (i + 1) % 2**64) for i in range(BANDS)]
@@ -51,64 +53,100 @@ def cuts(h: np.ndarray) -> np.ndarray:
         around = np.lib.stride_tricks.sliding_window_view(g, 2 * REACH + 1)
         inner = np.flatnonzero(around.argmin(axis=1) == REACH) + REACH
     at = np.concatenate([[0], inner, [n]])
-    out = [np.arange(a, b, LONGEST) for a, b in zip(at[:-1], at[1:], strict=True)]
-    return np.unique(np.concatenate([*out, [n]]))
+    pieces = -(-np.diff(at) // LONGEST)
+    turn = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return np.append(np.repeat(at[:-1], pieces) + LONGEST * turn, n)
 
 
-def paragraphs(text: bytes | None) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(first word, words, shingle set) of each paragraph of at least one shingle."""
-    found = (text or b"").lower().split()
-    if len(found) < WORDS:
-        return
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-    shingle = _rolling(h, WORDS)
-    limits = cuts(h)
-    for a, b in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
-        if b - a >= WORDS:
-            yield a, b - a, np.unique(shingle[a : b - WORDS + 1])
+@dataclass
+class Paragraphs:
+    """The paragraphs of one text that hold a shingle. The set of paragraph i
+    is ``shingles[begin[i] : begin[i + 1]]``, sorted."""
+
+    first: np.ndarray  # word
+    words: np.ndarray
+    shingles: np.ndarray
+    begin: np.ndarray
 
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.begin, append=len(self.shingles))
 
-def _name(s: np.ndarray) -> np.uint64:
-    return mixed(np.bitwise_xor.reduce(mixed(s))[None] + np.uint64(len(s)))[0]
+    def names(self) -> np.ndarray:
+        """A hash of each set."""
+        return mixed(np.bitwise_xor.reduceat(mixed(self.shingles), self.begin) + self.sizes().astype(np.uint64))
 
+    def bands(self) -> list[np.ndarray]:
+        """The smallest value of each set, per hash function."""
+        return [np.minimum.reduceat(mixed(self.shingles ^ s), self.begin) + np.uint64(i) for i, s in enumerate(_SALTS)]
 
-def _signed(x: list) -> pa.Array:
-    return pa.array(np.array(x, np.uint64).view(np.int64), pa.int64())
+
+def paragraphs(text: bytes | None) -> Paragraphs | None:
+    """All paragraphs of a text at once; None if it has too few words for a shingle."""
+    found = (text or b"").lower().split()
+    if len(found) < WORDS:
+        return None
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+    limits = cuts(h)
+    first, words = limits[:-1], np.diff(limits)
+    first, words = first[words >= WORDS], words[words >= WORDS]
+    held = words - WORDS + 1
+    owner = np.repeat(np.arange(len(first)), held)
+    s = _rolling(h, WORDS)[np.arange(held.sum()) + np.repeat(first - np.cumsum(held) + held, held)]
+    s = s[np.lexsort((s, owner))]
+    fresh = np.append(True, (s[1:] != s[:-1]) | (owner[1:] != owner[:-1]))
+    return Paragraphs(first, words, s[fresh], np.searchsorted(owner[fresh], np.arange(len(first))))
+
+
+def _parsed(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[Paragraphs]]]:
+    """The texts with paragraphs, a bounded number of words at a time, with
+    their row numbers."""
+    rows, found, held = [], [], 0
+    for row, text in enumerate(batch.column("text").cast(pa.binary())):
+        if (own := paragraphs(text.as_py())) is not None:
+            rows.append(row)
+            found.append(own)
+            held += len(own.shingles)
+        if held > HELD:
+            yield rows, found
+            rows, found, held = [], [], 0
+    if rows:
+        yield rows, found
+
+
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
 
 
 def _bands(docs: DataFrame) -> DataFrame:
     """band, doc_id, first (word), words, name (of the shingle set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            band, ids, first, size, names = [], [], [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()), strict=True):
-                for a, n, s in paragraphs(text.as_py()):
-                    name = _name(s)
-                    for i, salt in enumerate(_SALTS):
-                        band.append(mixed(s ^ salt).min() + np.uint64(i))
-                        ids.append(doc)
-                        first.append(a)
-                        size.append(n)
-                        names.append(name)
-            yield pa.RecordBatch.from_arrays(
-                [_signed(band), pa.array(ids, pa.int64()), pa.array(first, pa.int32()), pa.array(size, pa.int32()), _signed(names)],
-                ["band", "doc_id", "first", "words", "name"],
-            )
+            ids = batch.column("doc_id").to_numpy()
+            for rows, found in _parsed(batch):
+                doc = np.repeat(ids[rows], [len(p.first) for p in found])
+                first = np.concatenate([p.first for p in found]).astype(np.int32)
+                words = np.concatenate([p.words for p in found]).astype(np.int32)
+                name = np.concatenate([p.names() for p in found])
+                for band in zip(*[p.bands() for p in found], strict=True):
+                    yield pa.RecordBatch.from_arrays(
+                        [_signed(np.concatenate(band)), pa.array(doc), pa.array(first), pa.array(words), _signed(name)],
+                        ["band", "doc_id", "first", "words", "name"],
+                    )
 
     return docs.mapInArrow(run, "band bigint, doc_id bigint, first int, words int, name bigint")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """name and shingles of every paragraph."""
+    """name and shingles of every paragraph, each name once per batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = {}
-            for text in batch.column("text").cast(pa.binary()):
-                for _, _, s in paragraphs(text.as_py()):
-                    seen[int(_name(s).view(np.int64))] = s.view(np.int64).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.list_(pa.int64()))], ["name", "shingles"]
-            )
+            for _, found in _parsed(batch):
+                name, at = np.unique(np.concatenate([p.names() for p in found]), return_index=True)
+                ends = np.cumsum(np.concatenate([p.sizes() for p in found]))
+                sets = pa.ListArray.from_arrays(
+                    pa.array(np.append(0, ends).astype(np.int32)), _signed(np.concatenate([p.shingles for p in found]))
+                )
+                yield pa.RecordBatch.from_arrays([_signed(name), sets.take(pa.array(at))], ["name", "shingles"])
 
     return docs.select("text").mapInArrow(run, "name bigint, shingles array<bigint>")
 
