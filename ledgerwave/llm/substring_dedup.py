@@ -6,7 +6,7 @@ neighbourhood: two texts that share a passage are cut alike inside it. Each
 paragraph is the set of its 5-word shingles; the smallest value under each of
 BANDS hash functions is a band (one row per band, tuned for recall: paragraphs
 of similarity 0.8 miss all three with probability 0.008). Paragraphs that share a
-band meet through the first of the group; different ones are verified by exact
+band meet through the smallest name; different ones are verified by exact
 Jaccard. Verified paragraphs form components; of each component the first
 occurrence stays. Neighbouring removals merge into passages, and passages of
 fewer than PASSAGE words are left alone.
@@ -31,6 +31,7 @@ REACH = 5  # a cut's hash is the smallest among so many on either side
 LONGEST = 64  # words of a paragraph; longer stretches without a cut are cut evenly
 BANDS = 3
 PASSAGE = 20
+MARKS = 1 << 25  # bits of the map of names whose sets are compared (4 MB)
 HELD = 500_000  # shingles that a task holds before it hands paragraphs on
 
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -118,30 +119,48 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _bands(docs: DataFrame) -> DataFrame:
-    """band, doc_id, first (word), words, name (of the shingle set)."""
+    """band, doc_id, at (first word * LONGEST + words - 1, so that the shuffle
+    carries one number), name (of the shingle set)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             for rows, found in _parsed(batch):
                 doc = np.repeat(ids[rows], [len(p.first) for p in found])
-                first = np.concatenate([p.first for p in found]).astype(np.int32)
-                words = np.concatenate([p.words for p in found]).astype(np.int32)
+                at = np.concatenate([p.first * LONGEST + p.words - 1 for p in found])
                 name = np.concatenate([p.names() for p in found])
                 for band in zip(*[p.bands() for p in found], strict=True):
                     yield pa.RecordBatch.from_arrays(
-                        [_signed(np.concatenate(band)), pa.array(doc), pa.array(first), pa.array(words), _signed(name)],
-                        ["band", "doc_id", "first", "words", "name"],
+                        [_signed(np.concatenate(band)), pa.array(doc), pa.array(at), _signed(name)],
+                        ["band", "doc_id", "at", "name"],
                     )
 
-    return docs.mapInArrow(run, "band bigint, doc_id bigint, first int, words int, name bigint")
+    return docs.mapInArrow(run, "band bigint, doc_id bigint, at bigint, name bigint")
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """name and shingles of every paragraph, each name once per batch."""
+def _marks(names: DataFrame) -> np.ndarray:
+    """A bit map of MARKS bits in which each name sets one; a bounded size,
+    whatever the number of names."""
+    bit = F.pmod("name", F.lit(MARKS))
+    rows = names.groupBy(F.shiftright(bit, 3).alias("byte")).agg(
+        F.bit_or(F.expr(f"shiftleft(1, cast(pmod(name, {MARKS}) & 7 as int))")).cast("int").alias("bits")
+    ).toArrow()
+    out = np.zeros(MARKS // 8, np.uint8)
+    out[rows["byte"].to_numpy()] = rows["bits"].to_numpy()
+    return out
+
+
+def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """name and shingles of the paragraphs named in ``needed`` and of some others
+    (those that share a mark; more with growing input). Each name once per batch."""
+    shared = docs.sparkSession.sparkContext.broadcast(_marks(needed))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, found in _parsed(batch):
                 name, at = np.unique(np.concatenate([p.names() for p in found]), return_index=True)
+                bit = name.view(np.int64) % MARKS
+                marked = (shared.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+                name, at = name[marked], at[marked]
                 ends = np.cumsum(np.concatenate([p.sizes() for p in found]))
                 sets = pa.ListArray.from_arrays(
                     pa.array(np.append(0, ends).astype(np.int32)), _signed(np.concatenate([p.shingles for p in found]))
@@ -162,11 +181,12 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     """
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
     by_band = Window.partitionBy("band")
-    place = F.struct("doc_id", "first", "name")
     met = stored(
         _bands(texts)
-        .select("doc_id", "first", "words", "name", F.min(place).over(by_band).alias("hub"), F.max(place).over(by_band).alias("last"))
-        .where("hub < last").select("doc_id", "first", "words", "name", F.col("hub.name").alias("hub")),
+        .select("doc_id", "at", "name", F.min("name").over(by_band).alias("hub"), F.count("*").over(by_band).alias("met"))
+        .where("met > 1").select(
+            "doc_id", F.expr(f"at div {LONGEST}").alias("first"), (F.col("at") % LONGEST + 1).alias("words"), "name", "hub"
+        ),
         "met",
     )
     pairs = stored(
@@ -174,7 +194,7 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     )
     needed = stored(pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct(), "needed")
     sets = stored(
-        _sets(texts).join(maybe_broadcast(needed), "name", "left_semi").groupBy("name").agg(F.first("shingles").alias("s")), "sets"
+        _sets(texts, needed).join(maybe_broadcast(needed), "name", "left_semi").groupBy("name").agg(F.first("shingles").alias("s")), "sets"
     )
     both = F.size(F.array_intersect("sa", "sb"))
     links = (
