@@ -5,22 +5,28 @@ copies. So texts are cut where the hash of three words is the smallest of its
 neighbourhood: two texts that share a passage are cut alike inside it. Each
 paragraph is the set of its 5-word shingles; the smallest value under each of
 BANDS hash functions is a band (one row per band, tuned for recall: paragraphs
-of similarity 0.8 miss all three with probability 0.008). Paragraphs that share a
-band meet through the smallest name; different ones are verified by exact
-Jaccard. Verified paragraphs form components; of each component the first
-occurrence stays. Neighbouring removals merge into passages, and passages of
-fewer than PASSAGE words are left alone.
+of similarity 0.8 miss all three with probability 0.008).
+
+Copies of a paragraph are counted per band by a map-side combined aggregation,
+so no task gathers them. Different paragraphs of one band meet its smallest and
+its largest name and are verified by exact Jaccard. Where the members of a band
+do not end up in one component, they meet again, in smaller groups: similar sets
+that share their smallest value also share one of the values that follow.
+Verified paragraphs form components; of each component the first occurrence
+stays. Neighbouring removals merge into passages, and passages of fewer than
+PASSAGE words are left alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerwave.llm.common import maybe_broadcast
 from ledgerwave.llm.graph import components
@@ -31,8 +37,9 @@ REACH = 5  # a cut's hash is the smallest among so many on either side
 LONGEST = 64  # words of a paragraph; longer stretches without a cut are cut evenly
 BANDS = 3
 PASSAGE = 20
-MARKS = 1 << 25  # bits of the map of names whose sets are compared (4 MB)
-HELD = 500_000  # shingles that a task holds before it hands paragraphs on
+MARKS = 1 << 27  # bits of the map of bands that repeat (16 MB)
+SMALL = 8  # sets of up to so many values have no similar ones but by one value, or of SMALL + 2
+HELD = 300_000  # words that a task cuts at once
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = [np.uint64(0xD6E8FEB86659FD93 * (i + 1) % 2**64) for i in range(BANDS)]
@@ -45,73 +52,85 @@ def _rolling(h: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
-def cuts(h: np.ndarray) -> np.ndarray:
-    """Paragraph limits, 0 and the number of words included."""
+def cuts(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Paragraph limits in texts laid end to end, their starts (those of the
+    texts) and the number of words included."""
     n = len(h)
     g = _rolling(h, 3)
     inner = np.empty(0, np.int64)
     if len(g) > 2 * REACH:
-        around = np.lib.stride_tricks.sliding_window_view(g, 2 * REACH + 1)
-        inner = np.flatnonzero(around.argmin(axis=1) == REACH) + REACH
-    at = np.concatenate([[0], inner, [n]])
+        least = np.lib.stride_tricks.sliding_window_view(g, REACH).min(axis=1)
+        at = np.arange(REACH, len(g) - REACH)
+        inner = at[(g[at] < least[: len(at)]) & (g[at] <= least[REACH + 1 :])]
+        text = np.searchsorted(starts, inner, "right") - 1
+        ends = np.append(starts[1:], n)
+        inner = inner[(inner - REACH >= starts[text]) & (inner + REACH + 3 <= ends[text])]
+    at = np.sort(np.concatenate([starts, inner, [n]]))
     pieces = -(-np.diff(at) // LONGEST)
     turn = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     return np.append(np.repeat(at[:-1], pieces) + LONGEST * turn, n)
 
 
+def bands(shingles: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """The smallest value of each set, per hash function."""
+    return [np.minimum.reduceat(mixed(shingles ^ s), begin) + np.uint64(i) for i, s in enumerate(_SALTS)]
+
+
 @dataclass
 class Paragraphs:
-    """The paragraphs of one text that hold a shingle. The set of paragraph i
+    """The paragraphs of some texts that hold a shingle. The set of paragraph i
     is ``shingles[begin[i] : begin[i + 1]]``, sorted."""
 
-    first: np.ndarray  # word
-    words: np.ndarray
+    text: np.ndarray  # number of the text
+    at: np.ndarray  # first word * LONGEST + words - 1: one number to shuffle
     shingles: np.ndarray
     begin: np.ndarray
 
-    def sizes(self) -> np.ndarray:
-        return np.diff(self.begin, append=len(self.shingles))
-
     def names(self) -> np.ndarray:
         """A hash of each set."""
-        return mixed(np.bitwise_xor.reduceat(mixed(self.shingles), self.begin) + self.sizes().astype(np.uint64))
+        sizes = np.diff(self.begin, append=len(self.shingles)).astype(np.uint64)
+        return mixed(np.bitwise_xor.reduceat(mixed(self.shingles), self.begin) + sizes)
 
-    def bands(self) -> list[np.ndarray]:
-        """The smallest value of each set, per hash function."""
-        return [np.minimum.reduceat(mixed(self.shingles ^ s), self.begin) + np.uint64(i) for i, s in enumerate(_SALTS)]
 
-
-def paragraphs(text: bytes | None) -> Paragraphs | None:
-    """All paragraphs of a text at once; None if it has too few words for a shingle."""
-    found = (text or b"").lower().split()
-    if len(found) < WORDS:
-        return None
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-    limits = cuts(h)
+def paragraphs(texts: list[list[bytes]]) -> Paragraphs:
+    """All paragraphs of texts given as their words, each of WORDS or more."""
+    counts = np.fromiter(map(len, texts), np.int64, len(texts))
+    starts = np.cumsum(counts) - counts
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(texts)), np.uint64, counts.sum())
+    limits = cuts(h, starts)
     first, words = limits[:-1], np.diff(limits)
     first, words = first[words >= WORDS], words[words >= WORDS]
     held = words - WORDS + 1
     owner = np.repeat(np.arange(len(first)), held)
     s = _rolling(h, WORDS)[np.arange(held.sum()) + np.repeat(first - np.cumsum(held) + held, held)]
     s = s[np.lexsort((s, owner))]
-    fresh = np.append(True, (s[1:] != s[:-1]) | (owner[1:] != owner[:-1]))
-    return Paragraphs(first, words, s[fresh], np.searchsorted(owner[fresh], np.arange(len(first))))
+    fresh = np.append(True, (s[1:] != s[:-1]) | (owner[1:] != owner[:-1]))[: len(s)]
+    text = np.searchsorted(starts, first, "right") - 1
+    return Paragraphs(
+        text, (first - starts[text]) * LONGEST + words - 1, s[fresh], np.searchsorted(owner[fresh], np.arange(len(first)))
+    )
 
 
-def _parsed(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[Paragraphs]]]:
-    """The texts with paragraphs, a bounded number of words at a time, with
-    their row numbers."""
+def _parsed(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Paragraphs]]:
+    """Row number of each paragraph and the paragraphs, a bounded number of
+    words at a time (or one text)."""
     rows, found, held = [], [], 0
     for row, text in enumerate(batch.column("text").cast(pa.binary())):
-        if (own := paragraphs(text.as_py())) is not None:
-            rows.append(row)
-            found.append(own)
-            held += len(own.shingles)
+        own = (text.as_py() or b"").lower().split()
+        if len(own) < WORDS:
+            continue
+        rows.append(row)
+        found.append(own)
+        held += len(own)
         if held > HELD:
-            yield rows, found
+            cut = paragraphs(found)
+            if len(cut.at):
+                yield np.array(rows)[cut.text], cut
             rows, found, held = [], [], 0
     if rows:
-        yield rows, found
+        cut = paragraphs(found)
+        if len(cut.at):
+            yield np.array(rows)[cut.text], cut
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -119,55 +138,174 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _bands(docs: DataFrame) -> DataFrame:
-    """band, doc_id, at (first word * LONGEST + words - 1, so that the shuffle
-    carries one number), name (of the shingle set)."""
+    """band, name (of the shingle set): one row per paragraph and band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
-            for rows, found in _parsed(batch):
-                doc = np.repeat(ids[rows], [len(p.first) for p in found])
-                at = np.concatenate([p.first * LONGEST + p.words - 1 for p in found])
-                name = np.concatenate([p.names() for p in found])
-                for band in zip(*[p.bands() for p in found], strict=True):
-                    yield pa.RecordBatch.from_arrays(
-                        [_signed(np.concatenate(band)), pa.array(doc), pa.array(at), _signed(name)],
-                        ["band", "doc_id", "at", "name"],
-                    )
-
-    return docs.mapInArrow(run, "band bigint, doc_id bigint, at bigint, name bigint")
-
-
-def _marks(names: DataFrame) -> np.ndarray:
-    """A bit map of MARKS bits in which each name sets one; a bounded size,
-    whatever the number of names."""
-    bit = F.pmod("name", F.lit(MARKS))
-    rows = names.groupBy(F.shiftright(bit, 3).alias("byte")).agg(
-        F.bit_or(F.expr(f"shiftleft(1, cast(pmod(name, {MARKS}) & 7 as int))")).cast("int").alias("bits")
-    ).toArrow()
-    out = np.zeros(MARKS // 8, np.uint8)
-    out[rows["byte"].to_numpy()] = rows["bits"].to_numpy()
-    return out
+            for _, cut in _parsed(batch):
+                name = _signed(cut.names())
+                for band in bands(cut.shingles, cut.begin):
+                    yield pa.RecordBatch.from_arrays([_signed(band), name], ["band", "name"])
+
+    return docs.select("text").mapInArrow(run, "band bigint, name bigint")
 
 
-def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """name and shingles of the paragraphs named in ``needed`` and of some others
-    (those that share a mark; more with growing input). Each name once per batch."""
-    shared = docs.sparkSession.sparkContext.broadcast(_marks(needed))
+def _marks(met: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Two bit maps of MARKS bits, one bit per band of ``met``: all, and those of
+    different names. A bounded size, whatever the number of bands."""
+    bit = F.pmod("band", F.lit(MARKS))
+    one = f"shiftleft(1L, cast(pmod(band, {MARKS}) & 63 as int))"
+    rows = met.groupBy(F.shiftright(bit, 6).alias("slot")).agg(
+        F.bit_or(F.expr(one)).alias("any"), F.bit_or(F.expr(f"if(low < high, {one}, 0L)")).alias("open")
+    ).toArrow()
+    out = []
+    for name in ("any", "open"):
+        map_ = np.zeros(MARKS // 64, np.uint64)
+        map_[rows["slot"].to_numpy()] = rows[name].to_numpy().view(np.uint64)
+        out.append(map_)
+    return tuple(out)
+
+
+def _units(docs: DataFrame, met: DataFrame) -> DataFrame:
+    """doc_id, at, name of the paragraphs with a band in ``met`` and of some
+    others (those that share a mark; more with growing input); shingles too, once
+    per name and batch, where the band has different names."""
+    shared = docs.sparkSession.sparkContext.broadcast(_marks(met))
+
+    def marked(map_: np.ndarray, own: list[np.ndarray]) -> np.ndarray:
+        hit = np.zeros(len(own[0]), bool)
+        for band in own:
+            bit = band.view(np.int64) % MARKS
+            hit |= (map_[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
+        return hit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, found in _parsed(batch):
-                name, at = np.unique(np.concatenate([p.names() for p in found]), return_index=True)
-                bit = name.view(np.int64) % MARKS
-                marked = (shared.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-                name, at = name[marked], at[marked]
-                ends = np.cumsum(np.concatenate([p.sizes() for p in found]))
+            ids = batch.column("doc_id").to_numpy()
+            for row, cut in _parsed(batch):
+                own, name = bands(cut.shingles, cut.begin), cut.names()
+                keep = np.flatnonzero(marked(shared.value[0], own))
+                if not len(keep):
+                    continue
+                once = np.zeros(len(name), bool)
+                once[np.unique(name, return_index=True)[1]] = True
+                once &= marked(shared.value[1], own)
                 sets = pa.ListArray.from_arrays(
-                    pa.array(np.append(0, ends).astype(np.int32)), _signed(np.concatenate([p.shingles for p in found]))
+                    pa.array(np.append(cut.begin, len(cut.shingles)).astype(np.int32)), _signed(cut.shingles)
+                )
+                sets = sets.take(pa.array(keep, mask=~once[keep]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[row[keep]]), pa.array(cut.at[keep]), _signed(name[keep]), sets],
+                    ["doc_id", "at", "name", "shingles"],
                 )
-                yield pa.RecordBatch.from_arrays([_signed(name), sets.take(pa.array(at))], ["name", "shingles"])
 
-    return docs.select("text").mapInArrow(run, "name bigint, shingles array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, at bigint, name bigint, shingles array<bigint>")
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The non-empty sets of a batch as values and their first places."""
+    sets = batch.column("shingles")
+    return sets.flatten().to_numpy().view(np.uint64), np.cumsum(np.append(0, sets.value_lengths().to_numpy()))[:-1]
+
+
+def _members(sets: DataFrame) -> DataFrame:
+    """band, salt, name: the bands of stored sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for i, band in enumerate(bands(*_flat(batch))):
+                salt = pa.array(np.full(batch.num_rows, i, np.int64))
+                yield pa.RecordBatch.from_arrays([_signed(band), salt, batch.column("name")], ["band", "salt", "name"])
+
+    return sets.mapInArrow(run, "band bigint, salt bigint, name bigint")
+
+
+def _finer_keys(values: np.ndarray, salt: int) -> tuple[np.ndarray, bool]:
+    """Keys under which a set meets, inside its band, those similar to it, and
+    whether the first key names the set itself.
+
+    Sets of up to SMALL values differ in one value from those similar to them:
+    the smaller set is a key of itself, the larger one has a key for each value
+    left out. Larger sets have the smallest value with each of those that follow
+    it, as many as it takes that similar sets share one.
+    """
+    n = len(values)
+    own, keys = mixed(values), []
+    if n <= SMALL:
+        keys.append(mixed(np.bitwise_xor.reduce(own, keepdims=True) + np.uint64(n)))
+    if n <= SMALL + 1:
+        keys.append(mixed((np.bitwise_xor.reduce(own) ^ own) + np.uint64(n - 1)))
+    if n >= SMALL:
+        ranked = np.sort(mixed(values ^ _SALTS[salt]))
+        keys.append(mixed(ranked[1 : 2 + n + -ALIKE * n // OF] ^ mixed(ranked[:1])) + np.uint64(salt))
+    return np.concatenate(keys), n <= SMALL
+
+
+def _finer(members: DataFrame) -> DataFrame:
+    """key, turn (0 for the set that the key names, else 1), name, root."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values, begin = _flat(batch)
+            keys, turns = [], []
+            for salt, own in zip(batch.column("salt").to_pylist(), np.split(values, begin[1:]), strict=True):
+                found, itself = _finer_keys(own, salt)
+                keys.append(found)
+                turns.append(np.arange(len(found)) >= itself)
+            at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    _signed(np.concatenate(keys)), pa.array(np.concatenate(turns).astype(np.int64)),
+                    batch.column("name").take(at), batch.column("root").take(at),
+                ],
+                ["key", "turn", "name", "root"],
+            )
+
+    return members.mapInArrow(run, "key bigint, turn bigint, name bigint, root bigint")
+
+
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets have the similarity."""
+    both = F.size(F.array_intersect("sa", "sb"))
+    return (
+        pairs.join(sets.select(F.col("name").alias("a"), F.col("shingles").alias("sa")), "a")
+        .join(sets.select(F.col("name").alias("b"), F.col("shingles").alias("sb")), "b")
+        .where(OF * both >= ALIKE * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+    )
+
+
+def _ordered(x: str, y: str) -> Column:
+    return F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
+
+def linked_names(met: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified pairs of names: all that it takes to join the members of a band."""
+    low_high = maybe_broadcast(met.where("low < high"))
+    members = stored(_members(sets).join(low_high, "band"), "members")
+    pairs = stored(
+        members.select(F.explode(F.array(_ordered("name", "low"), _ordered("name", "high"))).alias("p"))
+        .select("p.a", "p.b").where("a != b").distinct(), "pairs",
+    )
+    links = stored(_alike(pairs, sets), "links")
+    roots = stored(components(links), "roots")
+    rooted = stored(
+        members.join(roots, F.col("name") == F.col("node"), "left")
+        .select("band", "salt", "name", F.coalesce("root", "name").alias("root")), "rooted",
+    )
+    split = rooted.groupBy("band").agg(F.min("root").alias("l"), F.max("root").alias("h"), F.count("*").alias("n"))
+    apart = rooted.join(stored(split.where("l < h and n > 2").select("band"), "split"), "band")
+    keyed = stored(_finer(apart.select("salt", "name", "root").distinct().join(sets, "name")), "finer")
+    ends = F.struct("turn", "name", "root")
+    ends_of = keyed.groupBy("key").agg(
+        F.min(ends).alias("low"), F.max(ends).alias("high"), F.min("root").alias("l"), F.max("root").alias("h")
+    ).where("l < h").select("key", "low", "high")
+    other = (
+        keyed.join(ends_of, "key").select("name", "root", F.explode(F.array("low", "high")).alias("hub"))
+        .where("root != hub.root").select(F.least("name", "hub.name").alias("a"), F.greatest("name", "hub.name").alias("b"))
+        .distinct().join(pairs, ["a", "b"], "left_anti")
+    )
+    return links.unionByName(_alike(stored(other, "finer-pairs"), sets))
 
 
 def repeated_passages(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
@@ -180,41 +318,29 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     Without rows the result is empty.
     """
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    by_band = Window.partitionBy("band")
     met = stored(
-        _bands(texts)
-        .select("doc_id", "at", "name", F.min("name").over(by_band).alias("hub"), F.count("*").over(by_band).alias("met"))
-        .where("met > 1").select(
-            "doc_id", F.expr(f"at div {LONGEST}").alias("first"), (F.col("at") % LONGEST + 1).alias("words"), "name", "hub"
-        ),
-        "met",
+        _bands(texts).groupBy("band")
+        .agg(F.min("name").alias("low"), F.max("name").alias("high"), F.count("*").alias("n"))
+        .where("n > 1").select("band", "low", "high"), "met",
     )
-    pairs = stored(
-        met.where("name != hub").select(F.least("name", "hub").alias("a"), F.greatest("name", "hub").alias("b")).distinct(), "pairs"
-    )
-    needed = stored(pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct(), "needed")
+    units = stored(_units(texts, met), "units")
     sets = stored(
-        _sets(texts, needed).join(maybe_broadcast(needed), "name", "left_semi").groupBy("name").agg(F.first("shingles").alias("s")), "sets"
+        units.where("shingles is not null").groupBy("name").agg(F.first("shingles").alias("shingles")), "sets"
     )
-    both = F.size(F.array_intersect("sa", "sb"))
-    links = (
-        pairs.join(sets.select(F.col("name").alias("a"), F.col("s").alias("sa")), "a")
-        .join(sets.select(F.col("name").alias("b"), F.col("s").alias("sb")), "b")
-        .where(OF * both >= ALIKE * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+    roots = stored(components(linked_names(met, sets)), "roots")
+    placed = units.join(maybe_broadcast(roots), F.col("name") == F.col("node"), "left").select(
+        "doc_id", F.expr(f"at div {LONGEST}").alias("first"), (F.col("at") % LONGEST + 1).alias("words"),
+        F.coalesce("root", "name").alias("root"),
     )
-    roots = components(links)
-    units = met.select("doc_id", "first", "words", "name").distinct()
-    placed = stored(
-        units.join(roots, F.col("name") == F.col("node"), "left").select(
-            "doc_id", "first", "words", F.coalesce("root", "name").alias("root")
-        ), "placed",
+    placed = stored(placed, "placed")
+    place = F.struct("doc_id", "first")
+    firsts = stored(
+        placed.groupBy("root").agg(F.min(place).alias("kept"), F.max(place).alias("last"))
+        .where("kept < last").select("root", "kept"), "firsts",
     )
-    firsts = placed.groupBy("root").agg(
-        F.min(F.struct("doc_id", "first")).alias("kept"), F.count("*").alias("times")
-    ).where("times > 1").select("root", "kept")
-    again = placed.join(firsts, "root").where("struct(doc_id, first) != kept").select(
+    again = placed.join(maybe_broadcast(firsts), "root").where("struct(doc_id, first) != kept").select(
         "doc_id", "first", "words", F.col("kept.doc_id").alias("kept_doc_id")
-    )
+    ).repartition("doc_id").distinct()
     order = Window.partitionBy("doc_id").orderBy("first")
     fresh = (F.col("first") != F.lag(F.col("first") + F.col("words"), 1, -1).over(order)).cast("int")
     runs = again.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
