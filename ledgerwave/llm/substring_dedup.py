@@ -38,7 +38,7 @@ LONGEST = 64  # words of a paragraph; longer stretches without a cut are cut eve
 BANDS = 3
 PASSAGE = 20
 MARKS = 1 << 27  # bits of the map of bands that repeat (16 MB)
-SMALL = 8  # sets of up to so many values have no similar ones but by one value, or of SMALL + 2
+SMALL = 8  # sets of fewer values have no similar ones that differ in two
 HELD = 300_000  # words that a task cuts at once
 
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -220,39 +220,36 @@ def _members(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(run, "band bigint, salt bigint, name bigint")
 
 
-def _finer_keys(values: np.ndarray, salt: int) -> tuple[np.ndarray, bool]:
-    """Keys under which a set meets, inside its band, those similar to it, and
-    whether the first key names the set itself.
+def _finer_keys(values: np.ndarray, salt: int) -> np.ndarray:
+    """Keys under which a set meets, inside its band, those similar to it.
 
-    Sets of up to SMALL values differ in one value from those similar to them:
-    the smaller set is a key of itself, the larger one has a key for each value
-    left out. Larger sets have the smallest value with each of those that follow
-    it, as many as it takes that similar sets share one.
+    The first key names the set itself, the next ones the set with one value
+    left out: so sets that differ in one value meet at the smaller one, and sets
+    of fewer than SMALL values have no other similar ones. Larger sets also have
+    the smallest value with each of those that follow it, as many as it takes
+    that similar sets share one.
     """
     n = len(values)
-    own, keys = mixed(values), []
-    if n <= SMALL:
-        keys.append(mixed(np.bitwise_xor.reduce(own, keepdims=True) + np.uint64(n)))
-    if n <= SMALL + 1:
-        keys.append(mixed((np.bitwise_xor.reduce(own) ^ own) + np.uint64(n - 1)))
+    own = mixed(values)
+    all_ = np.bitwise_xor.reduce(own, keepdims=True)
+    keys = [mixed(all_ + np.uint64(n)), mixed((all_ ^ own) + np.uint64(n - 1))]
     if n >= SMALL:
         ranked = np.sort(mixed(values ^ _SALTS[salt]))
         keys.append(mixed(ranked[1 : 2 + n + -ALIKE * n // OF] ^ mixed(ranked[:1])) + np.uint64(salt))
-    return np.concatenate(keys), n <= SMALL
+    return np.concatenate(keys)
 
 
 def _finer(members: DataFrame) -> DataFrame:
-    """key, turn (0 for the set that the key names, else 1), name, root."""
+    """key, turn (smallest for the set that the others of the key are compared with), name, root."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             values, begin = _flat(batch)
-            keys, turns = [], []
-            for salt, own in zip(batch.column("salt").to_pylist(), np.split(values, begin[1:]), strict=True):
-                found, itself = _finer_keys(own, salt)
-                keys.append(found)
-                turns.append(np.arange(len(found)) >= itself)
+            sets = zip(np.split(values, begin[1:]), batch.column("salt").to_pylist(), strict=True)
+            keys = [_finer_keys(own, salt) for own, salt in sets]
+            sizes = np.diff(begin, append=len(values))
+            turns = [np.where(np.arange(len(k)) > n, n, np.arange(len(k)) > 0) for k, n in zip(keys, sizes, strict=True)]
             at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
             yield pa.RecordBatch.from_arrays(
                 [
