@@ -1,4 +1,7 @@
-"""Repeated passages by MinHash over paragraphs that the text itself cuts.
+"""Repeated passages (see ``passages``), and MinHash links of paragraphs.
+
+``repeated_passages`` finds its passages from seeds. The rest links similar
+paragraphs that the text itself cuts; the query does not use it.
 
 A passage pasted into the middle of a line shares no line break with its other
 copies. So texts are cut where the hash of three words is the smallest of its
@@ -12,9 +15,7 @@ so no task gathers them. Different paragraphs of one band meet its smallest and
 its largest name and are verified by exact Jaccard. Where the members of a band
 do not end up in one component, they meet again, in smaller groups: similar sets
 that share their smallest value also share one of the values that follow.
-Verified paragraphs form components; of each component the first occurrence
-stays. Neighbouring removals merge into passages, and passages of fewer than
-PASSAGE words are left alone.
+Verified paragraphs form components.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerwave.llm import passages
 from ledgerwave.llm.common import maybe_broadcast
 from ledgerwave.llm.graph import components
 from ledgerwave.llm.shingles import ALIKE, OF, WORDS, mixed
@@ -37,7 +39,6 @@ REACH = 5  # a cut's hash is the smallest among so many on either side
 LONGEST = 64  # words of a paragraph; longer stretches without a cut are cut evenly
 BANDS = 3
 PASSAGE = 20
-MARKS = 1 << 27  # bits of the map of bands that repeat (16 MB)
 SMALL = 8  # sets of fewer values have no similar ones that differ in two
 HELD = 300_000  # words that a task cuts at once
 
@@ -149,58 +150,6 @@ def _bands(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "band bigint, name bigint")
 
 
-def _marks(met: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Two bit maps of MARKS bits, one bit per band of ``met``: all, and those of
-    different names. A bounded size, whatever the number of bands."""
-    bit = F.pmod("band", F.lit(MARKS))
-    one = f"shiftleft(1L, cast(pmod(band, {MARKS}) & 63 as int))"
-    rows = met.groupBy(F.shiftright(bit, 6).alias("slot")).agg(
-        F.bit_or(F.expr(one)).alias("any"), F.bit_or(F.expr(f"if(low < high, {one}, 0L)")).alias("open")
-    ).toArrow()
-    out = []
-    for name in ("any", "open"):
-        map_ = np.zeros(MARKS // 64, np.uint64)
-        map_[rows["slot"].to_numpy()] = rows[name].to_numpy().view(np.uint64)
-        out.append(map_)
-    return tuple(out)
-
-
-def _units(docs: DataFrame, met: DataFrame) -> DataFrame:
-    """doc_id, at, name of the paragraphs with a band in ``met`` and of some
-    others (those that share a mark; more with growing input); shingles too, once
-    per name and batch, where the band has different names."""
-    shared = docs.sparkSession.sparkContext.broadcast(_marks(met))
-
-    def marked(map_: np.ndarray, own: list[np.ndarray]) -> np.ndarray:
-        hit = np.zeros(len(own[0]), bool)
-        for band in own:
-            bit = band.view(np.int64) % MARKS
-            hit |= (map_[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
-        return hit
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
-            for row, cut in _parsed(batch):
-                own, name = bands(cut.shingles, cut.begin), cut.names()
-                keep = np.flatnonzero(marked(shared.value[0], own))
-                if not len(keep):
-                    continue
-                once = np.zeros(len(name), bool)
-                once[np.unique(name, return_index=True)[1]] = True
-                once &= marked(shared.value[1], own)
-                sets = pa.ListArray.from_arrays(
-                    pa.array(np.append(cut.begin, len(cut.shingles)).astype(np.int32)), _signed(cut.shingles)
-                )
-                sets = sets.take(pa.array(keep, mask=~once[keep]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row[keep]]), pa.array(cut.at[keep]), _signed(name[keep]), sets],
-                    ["doc_id", "at", "name", "shingles"],
-                )
-
-    return docs.mapInArrow(run, "doc_id bigint, at bigint, name bigint, shingles array<bigint>")
-
-
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """The non-empty sets of a batch as values and their first places."""
     sets = batch.column("shingles")
@@ -315,37 +264,7 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     Without rows the result is empty.
     """
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    met = stored(
-        _bands(texts).groupBy("band")
-        .agg(F.min("name").alias("low"), F.max("name").alias("high"), F.count("*").alias("n"))
-        .where("n > 1").select("band", "low", "high"), "met",
-    )
-    units = stored(_units(texts, met), "units")
-    sets = stored(
-        units.where("shingles is not null").groupBy("name").agg(F.first("shingles").alias("shingles")), "sets"
-    )
-    roots = stored(components(linked_names(met, sets)), "roots")
-    placed = units.join(maybe_broadcast(roots), F.col("name") == F.col("node"), "left").select(
-        "doc_id", F.expr(f"at div {LONGEST}").alias("first"), (F.col("at") % LONGEST + 1).alias("words"),
-        F.coalesce("root", "name").alias("root"),
-    )
-    placed = stored(placed, "placed")
-    place = F.struct("doc_id", "first")
-    firsts = stored(
-        placed.groupBy("root").agg(F.min(place).alias("kept"), F.max(place).alias("last"))
-        .where("kept < last").select("root", "kept"), "firsts",
-    )
-    again = placed.join(maybe_broadcast(firsts), "root").where("struct(doc_id, first) != kept").select(
-        "doc_id", "first", "words", F.col("kept.doc_id").alias("kept_doc_id")
-    ).repartition("doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy("first")
-    fresh = (F.col("first") != F.lag(F.col("first") + F.col("words"), 1, -1).over(order)).cast("int")
-    runs = again.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
-    return (
-        runs.groupBy("doc_id", "run")
-        .agg(
-            F.min("first").cast("long").alias("first_word"), F.sum("words").cast("long").alias("n_words"),
-            F.min_by("kept_doc_id", "first").alias("kept_doc_id"),
-        )
-        .where(F.col("n_words") >= passage).drop("run")
+    return passages.passages(texts, passage).select(
+        "doc_id", F.col("first").alias("first_word"), (F.col("stop") - F.col("first")).alias("n_words"),
+        F.col("kept_doc").alias("kept_doc_id"),
     )

@@ -314,3 +314,29 @@ def test_pipeline_stages(spark, tmp_path):
 
 def test_registered():
     assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+
+
+def test_changed_passages_against_brute_force(spark):
+    """Passages of 20 to 120 words with changed words in unrelated context."""
+    def grams(w):
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    r, rows, want = random.Random(17), [], {}
+    sizes = [(n, 1) for n in range(51, 71)] * 3 + [(n, 0) for n in range(20, 60, 3)] + [(n, 2) for n in range(100, 121, 4)]
+    for k, (n, changes) in enumerate(sizes):
+        own = prose(n, 20_000 + k).split()
+        near = own.copy()
+        for c in range(changes):
+            near[n * (c + 1) // (changes + 1)] = f"changed{c}"
+        assert 100 * len(grams(own) & grams(near)) >= 80 * len(grams(own) | grams(near))
+        for doc_id, text in ((k, own), (1000 + k, near)):
+            lead = r.randint(0, 70)
+            words = prose(lead, doc_id + 30_000).split() + text + prose(r.randint(0, 70), doc_id + 40_000).split()
+            rows.append((doc_id, r.choice([" ", "\n\n"]).join(words), None, None))
+        want[1000 + k] = (lead, n)
+    got = {(x.doc_id, x.kept_doc_id): x for x in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert set(got) == {(d, d - 1000) for d in want}
+    for (d, _), x in got.items():
+        first, n = want[d]
+        # Context may happen to continue a passage by an equal word or two.
+        assert first - 3 <= x.first_word <= first and first + n <= x.first_word + x.n_words <= first + n + 3
