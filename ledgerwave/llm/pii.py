@@ -1,11 +1,14 @@
 """Personal data: fixed patterns, and identifiers found from their contexts.
 
-Base entities are seeds. Every identifier-like string (one with several digits
-or an @) stands in a context: the word before it and its own shape. Contexts and
-strings form a graph: a context is trusted by the share of its distinct strings
-that are trusted, a string by the most trusted of its contexts. Spark joins and
-aggregates the graph for a few rounds, starting from the seeds; strings in
-contexts that end above a confidence, with enough support, are reported.
+Base entities are seeds. Every identifier-like string (a run of digit groups, or
+a token with several digits or an @) stands in contexts: one to three words
+before it, one to three after it, and one on either side. Contexts and strings
+form a graph: a context is trusted by the share of its distinct strings that are
+trusted, a string by the most trusted of its contexts. The shape of a string is
+evidence of its own: where strings of that shape are trusted, it raises the
+trust that a context gives, and alone it gives none. Spark joins and aggregates
+the graph for a few rounds, starting from the seeds; strings that end above a
+confidence, in contexts with enough support, are reported.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerwave.session import stored
 
@@ -29,9 +32,12 @@ _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-# An identifier-like string and the word before it.
-_CANDIDATE = re.compile(r"(?<!\S)(?=\S*(?:[0-9]\S*){4}|\S*@)[^\s]{5,64}(?!\S)")
-_WORD_BEFORE = re.compile(r"(\w+)\W*\Z")
+# Identifier-like strings: digit groups, also with spaces between them, or one token.
+_CANDIDATE = re.compile(
+    r"(?<![\w.%+@/-])(?:[+(]?[0-9][0-9().\/-]*(?: \(?[0-9][0-9().\/-]*)*(?![\w%+@])|[\w.%+/-]*[0-9@][\w.%+@/-]*)"
+)
+_WORD = re.compile(r"\w+")
+NEAR = 80  # characters on either side in which the words of a context lie
 _LOCAL_BYTES = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -76,34 +82,47 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
     return sorted(out)
 
 
-def shape(value: str) -> str:
-    """Letters as a, digits as 9, runs shortened; other signs stay."""
-    return re.sub(r"(.)\1+", r"\1+", re.sub(r"[^\W\d_]", "a", re.sub(r"[0-9]", "9", value)))
+def contexts_of(text: str, begin: int, end: int) -> list[str]:
+    """One to three words before, one to three after, and one on either side.
+    Words with digits count as one word."""
+    def said(found: list[re.Match]) -> list[str]:
+        return ["9" if _DIGIT.search(m[0]) else m[0].lower() for m in found]
+
+    a, b = max(0, begin - NEAR), min(len(text), end + NEAR)
+    before = said([m for m in _WORD.finditer(text, a, begin) if m.start() > a or a == 0][-3:])
+    after = said([m for m in _WORD.finditer(text, end, b) if m.end() < b or b == len(text)][:3])
+    out = [f"L {' '.join(before[-k:])}" for k in range(1, len(before) + 1)]
+    out += [f"R {' '.join(after[:k])}" for k in range(1, len(after) + 1)]
+    return out + ([f"B {before[-1]} {after[0]}"] if before and after else [])
 
 
 def candidates(text: str, base: list[tuple[int, int, str, int]]) -> list[dict]:
-    """Identifier-like strings with their contexts; ``seed`` is the kind of the
-    base entity that a string holds, if any."""
+    """Identifier-like strings with their contexts; ``seed`` is the kind of a
+    base entity. Base entities stand whole, and no other string overlaps them."""
     if not _DIGIT.search(text) and "@" not in text:
         return []
-    out, k = [], 0
-    ordered = sorted((a, b, kind) for a, _, kind, b in base)
-    longest = max((b - a for a, b, _ in ordered), default=0)
+    found, done = [], 0
+    for begin, _, kind, end in base:
+        if begin >= done:
+            found.append((begin, end, kind))
+        done = max(done, end)
+    taken, k = sorted((a, b) for a, _, _, b in base), 0
+    reach = 0  # the furthest end of base entities that begin before a string ends
     for m in _CANDIDATE.finditer(text):
         begin, end = m.span()
-        while k < len(ordered) and ordered[k][0] + longest <= begin:
-            k += 1
-        seed = next((kind for a, b, kind in ordered[k:] if a < end and b > begin), None) if k < len(ordered) and ordered[k][0] < end else None
-        value = text[begin:end].rstrip(".,;:!?")
-        before = _WORD_BEFORE.search(text, max(0, begin - 40), begin)
-        out.append({
-            "start": begin, "stop": begin + len(value), "value": value, "seed": seed,
-            "context": f"{before[1].lower() if before else ''} {shape(value)}",
-        })
-    return out
+        value = m[0].rstrip(".,;:!?/(%+-")
+        end = begin + len(value)
+        while k < len(taken) and taken[k][0] < end:
+            reach, k = max(reach, taken[k][1]), k + 1
+        if reach <= begin and len(value) >= 5 and ("@" in value or len(_DIGIT.findall(value)) >= 4):
+            found.append((begin, end, None))
+    return [
+        {"start": a, "stop": b, "value": text[a:b], "seed": kind, "contexts": contexts_of(text, a, b)}
+        for a, b, kind in sorted(found, key=lambda x: x[:2])
+    ]
 
 
-_CANDIDATES = "array<struct<start:bigint,stop:bigint,value:string,seed:string,context:string>>"
+_CANDIDATES = "array<struct<start:bigint,stop:bigint,value:string,seed:string,contexts:array<string>>>"
 
 
 def _extract(docs: DataFrame) -> DataFrame:
@@ -112,7 +131,8 @@ def _extract(docs: DataFrame) -> DataFrame:
     text64 = pa.int64()
     span = pa.struct([("start", text64), ("rank", text64), ("kind", pa.string()), ("stop", text64)])
     candidate = pa.struct([
-        ("start", text64), ("stop", text64), ("value", pa.string()), ("seed", pa.string()), ("context", pa.string())
+        ("start", text64), ("stop", text64), ("value", pa.string()), ("seed", pa.string()),
+        ("contexts", pa.list_(pa.string())),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,41 +154,71 @@ def _extract(docs: DataFrame) -> DataFrame:
     return stored(out.withColumn("row", F.monotonically_increasing_id()), "entities")
 
 
-def trusted_contexts(found: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
-    """context, kind, trust of the contexts that may discover strings.
+def _shape(value: str) -> Column:
+    """Letters as a, digits as 9, runs shortened; other signs stay."""
+    plain = F.regexp_replace(F.regexp_replace(value, "[0-9]", "9"), r"\p{L}", "a")
+    return F.regexp_replace(plain, r"(.)\1+", "$1+")
 
-    ``found`` has value, seed and context. Edges are distinct and aggregated
-    before they meet, so a frequent context costs its distinct strings once.
-    """
+
+def _raised(context: str, shape: str) -> Column:
+    """The trust that a context gives to a string whose shape is trusted so far."""
+    c, s = F.col(context), F.coalesce(F.col(shape), F.lit(0.0))
+    return c * (1 + s * (1 - c))
+
+
+def _shares(edges: DataFrame, key: str, support: int) -> DataFrame:
+    """``key``, kind and trust: the share of the best kind among the strings of
+    ``key``, for those with enough support."""
+    by_kind = edges.groupBy(key, "kind").agg(F.sum("trust").alias("sum"), F.count("*").alias("n"))
+    return by_kind.groupBy(key).agg(
+        F.sum("n").alias("all"), F.max(F.when(F.col("kind").isNotNull(), F.struct("sum", "kind"))).alias("best")
+    ).where(F.col("best.sum") >= support).select(
+        key, F.col("best.kind").alias("kind"), (F.col("best.sum") / (F.col("all") + 1)).alias("trust")
+    )
+
+
+def _bootstrapped(found: DataFrame, rounds: int, confidence: float, support: int) -> tuple[DataFrame, DataFrame]:
+    """Contexts (context, kind, trust) and shapes (shape, of, shape_trust) after
+    the rounds. Edges are distinct and aggregated before they meet, so a
+    frequent context costs its distinct strings once."""
     edges = stored(found.groupBy("context", "value").agg(F.max("seed").alias("seed")), "edges")
-    trust = edges.groupBy("value").agg(
+    trust = stored(edges.groupBy("value").agg(
         F.max("seed").alias("kind"), F.max(F.col("seed").isNotNull().cast("double")).alias("trust")
-    )
-    trust = stored(trust, "trust")
-    for _ in range(rounds):
-        by_kind = edges.select("context", "value").join(trust, "value").groupBy("context", "kind").agg(
-            F.sum("trust").alias("sum"), F.count("*").alias("n")
-        )
-        contexts = stored(
-            by_kind.groupBy("context").agg(
-                F.sum("n").alias("all"), F.max(F.struct("sum", "kind")).alias("best")
-            ).where(F.col("best.kind").isNotNull() & (F.col("best.sum") >= support))
-            .select("context", F.col("best.kind").alias("kind"), (F.col("best.sum") / (F.col("all") + 1)).alias("trust")),
-            "contexts",
+    ).withColumn("shape", _shape("value")), "trust")
+    for last in range(rounds):
+        contexts = stored(_shares(edges.select("context", "value").join(trust, "value"), "context", support), "contexts")
+        shapes = stored(
+            _shares(trust, "shape", support).select("shape", F.col("kind").alias("of"), F.col("trust").alias("shape_trust")),
+            "shapes",
         )
+        if last == rounds - 1:
+            break
+        given = edges.select("context", "value").join(
+            contexts.select("context", F.col("kind").alias("of"), F.col("trust").alias("given")), "context"
+        ).groupBy("value", "of").agg(F.max("given").alias("given"))
         learnt = (
-            edges.select("context", "value").join(contexts.where(F.col("trust") >= confidence), "context")
-            .groupBy("value").agg(F.max(F.struct("trust", "kind")).alias("learnt"))
+            given.join(trust.select("value", "shape"), "value").join(shapes, ["shape", "of"], "left")
+            .withColumn("raised", _raised("given", "shape_trust")).where(F.col("raised") >= confidence)
+            .groupBy("value").agg(F.max(F.struct(F.col("raised").alias("trust"), F.col("of").alias("kind"))).alias("learnt"))
         )
         trust = stored(
             trust.join(learnt, "value", "left").select(
                 "value",
                 F.coalesce("kind", "learnt.kind").alias("kind"),
                 F.greatest("trust", F.coalesce("learnt.trust", F.lit(0.0))).alias("trust"),
+                "shape",
             ),
             "trust",
         )
-    return contexts.where(F.col("trust") >= confidence)
+    return contexts, shapes
+
+
+def trusted_contexts(found: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
+    """context, kind, trust of the contexts that discover strings of any shape.
+
+    ``found`` has value, seed and context.
+    """
+    return _bootstrapped(found, rounds, confidence, support)[0].where(F.col("trust") >= confidence)
 
 
 def personal_data(docs: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
@@ -182,11 +232,17 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS, confidence: float = CON
     """
     rows = _extract(docs)
     found = rows.select("row", F.explode("candidates").alias("c")).select("row", "c.*")
-    contexts = trusted_contexts(found, rounds, confidence, support)
+    edges = found.select("row", "start", "stop", "value", "seed", F.explode("contexts").alias("context"))
+    contexts, shapes = _bootstrapped(edges, rounds, confidence, support)
+    given = edges.where("seed is null").join(
+        contexts.select("context", F.col("kind").alias("of"), "trust"), "context"
+    ).groupBy("row", "start", "stop", "value", "of").agg(F.max("trust").alias("given")).withColumn("shape", _shape("value"))
+    best = F.max(F.struct(F.col("raised"), F.col("of").alias("kind"))).alias("best")
     new = (
-        found.where("seed is null").join(contexts, "context")
+        given.join(shapes, ["shape", "of"], "left").withColumn("raised", _raised("given", "shape_trust"))
+        .where(F.col("raised") >= confidence).groupBy("row", "start", "stop").agg(best)
         .groupBy("row").agg(F.collect_list(F.struct(
-            "start", F.lit(len(KINDS)).cast("long").alias("rank"), F.concat(F.lit("context-"), "kind").alias("kind"), "stop"
+            "start", F.lit(len(KINDS)).cast("long").alias("rank"), F.concat(F.lit("context-"), "best.kind").alias("kind"), "stop"
         )).alias("discovered"))
     )
     none = F.array().cast("array<struct<start:bigint,rank:bigint,kind:string,stop:bigint>>")

@@ -340,3 +340,20 @@ def test_changed_passages_against_brute_force(spark):
         first, n = want[d]
         # Context may happen to continue a passage by an equal word or two.
         assert first - 3 <= x.first_word <= first and first + n <= x.first_word + x.n_words <= first + n + 3
+
+
+def test_identifiers_of_unseen_shapes_in_seed_contexts(spark):
+    seeds = [(i, f"{VOCAB[i]} please dial hotline: +1 (555) 555-{1000 + i} {VOCAB[i + 40]}") for i in range(30)]
+    seeds += [(100 + i, f"write {VOCAB[i]} to mailbox {VOCAB[i]}{i}@x-y.example.org, {VOCAB[i + 80]}") for i in range(30)]
+    long = "12/" * 30 + "77"
+    new = {200: "0171 44 99 31", 201: "(0)30/4711-88", 202: "AB12-34-56", 203: long}
+    rows = seeds + [(k, f"{VOCAB[k]} please dial hotline: {v} {VOCAB[k + 9]}") for k, v in new.items()]
+    rows += [(300, "write é to mailbox someone@host now"), (400, "order number 7788 99 1234 was sent"), (401, "hotline")]
+    got = {r.doc_id: r.spans for r in pii.op9_columns(pii.personal_data(frame(spark, [(*r, None, None) for r in rows]))).collect()}
+    texts = dict(rows)
+    for k, v in new.items():
+        begin = texts[k].index(v)
+        assert got[k] == f"context-phone:{begin}:{begin + len(v)}"
+    begin = texts[300].index("someone@host")
+    assert got[300] == f"context-email:{begin}:{begin + 12}"
+    assert got[400] == got[401] == "" and all("context" not in got[k] for k, _ in seeds)
