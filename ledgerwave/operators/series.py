@@ -6,6 +6,10 @@ the table. Long entities are therefore cut into blocks along their order; each
 block also receives the rows just before it (as many as the longest look-back),
 so every frame is complete, and these borrowed rows are dropped afterwards. The
 result is the same as over the uncut entity.
+
+Blocks come from exact row numbers: the rows are range-partitioned by keys and
+the full order, whatever its types, numbered inside their partition, and the
+counts of the partitions before are added.
 """
 
 from __future__ import annotations
@@ -16,11 +20,9 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerwave.session import scratch_path
+from ledgerwave.session import stored
 
 MAX_ROWS = 2_000_000
-# A long entity is measured in GRID x GRID slices of about equal row count.
-GRID = 16
 _BLOCK, _OWN = "_block", "_own"
 
 
@@ -34,32 +36,6 @@ class Series:
         )
 
 
-def _numeric_order(df: DataFrame, name: str) -> Column:
-    kind = dict(df.dtypes)[name]
-    if kind == "date":
-        return F.unix_date(F.col(name)).cast("long")
-    if kind.startswith("timestamp"):
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    if kind in ("tinyint", "smallint", "int", "bigint"):
-        return F.col(name).cast("long")
-    return F.col(name).cast("double")
-
-
-def _slice_of(position: Column) -> Column:
-    """Number of split points below a position, by a two-level search."""
-
-    def below(points: Column) -> Column:
-        return F.size(F.filter(points, lambda s: s < position))
-
-    passed = below(F.col("_coarse")) * GRID
-    fine = F.slice(F.col("_splits"), passed + 1, GRID)
-    return F.when(position.isNull(), 0).otherwise(passed + below(fine)).cast("int")
-
-
-def _kept(keys: list[str]) -> list[str]:
-    return [f"_k_{k}" for k in keys]
-
-
 def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     """Null-safe equality: a null entity is an entity too."""
     return reduce(and_, [left[k].eqNullSafe(right[f"_k_{k}"]) for k in keys])
@@ -67,59 +43,27 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 def _long_entities(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
-    return counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
-
-
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    """Written and read back: the table's real size decides how joins with it
-    run, and nothing behind it is computed again."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _split_table(df: DataFrame, long: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row per long entity: where its order splits into even slices."""
-    hot = df.join(long, _same_keys(df, long, keys)).select(
-        *_kept(keys), _numeric_order(df, order).alias("_pos")
-    )
-    shares = [i / (GRID * GRID) for i in range(1, GRID * GRID)]
-    splits = F.array_sort(F.array_distinct(
-        F.percentile_approx("_pos", shares, 20 * GRID * GRID)
-    ))
-    return hot.groupBy(*_kept(keys)).agg(splits.alias("_splits")).withColumn(
-        "_coarse", F.filter("_splits", lambda _, i: i % GRID == GRID - 1)
-    )
-
-
-def _target_table(
-    df: DataFrame, splits: DataFrame, keys: list[str], order: str, lookback: int, max_rows: int
-) -> DataFrame:
-    """Per slice of a long entity, the blocks it goes to: its own first, then
-    every later block whose look-back reaches into it. Sizes are exact counts;
-    everything after the first aggregation has at most GRID x GRID rows per
-    entity."""
-    kept = _kept(keys)
-    sizes = (
-        df.join(splits, _same_keys(df, splits, keys))
-        .select(*kept, _slice_of(_numeric_order(df, order)).alias("_slice"))
-        .groupBy(*kept, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    entity = Window.partitionBy(*kept)
-    runs = sizes.withColumn(
-        "_after", F.sum("_rows").over(entity.orderBy("_slice"))
-    ).withColumn("_before", F.col("_after") - F.col("_rows"))
-    runs = runs.withColumn("_at", F.floor(F.col("_before") / F.lit(max_rows)).cast("long"))
-    starts = runs.withColumn(
-        "_start", F.min("_before").over(Window.partitionBy(*kept, "_at"))
-    ).withColumn("_starts", F.collect_set(F.struct("_at", "_start")).over(entity))
-    later = F.filter(
-        F.col("_starts"),
-        lambda s: (s["_at"] > F.col("_at")) & (s["_start"] - F.lit(lookback) < F.col("_after")),
-    )
-    return starts.select(
-        *kept, "_slice", F.concat(F.array("_at"), F.transform(later, lambda s: s["_at"])).alias("_to")
+    return counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_n")
+
+
+def _numbered(hot: DataFrame, keys: list[str], order: list[str], parts: int) -> DataFrame:
+    """Rows with ``_row``, their number in the entity from 0, and ``_all``, the
+    number of rows of the entity. Rows that agree in
+    the whole order get an arbitrary one, as in a window."""
+    place = [*keys, *order, "_tie"]
+    dealt = hot.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(parts, *place)
+    dealt = stored(dealt.withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    entity = Window.partitionBy(*keys).orderBy("_part")
+    before = F.sum("_rows").over(entity) - F.col("_rows")
+    starts = sizes.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_p"), before.alias("_before"),
+        F.sum("_rows").over(Window.partitionBy(*keys)).alias("_all"),
     )
+    inside = F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order, "_tie"))
+    rows = dealt.withColumn("_in", inside)
+    met = rows.join(starts, _same_keys(rows, starts, keys) & (rows["_part"] == starts["_p"]))
+    return met.select(*[rows[c] for c in hot.columns], (F.col("_before") + F.col("_in") - 1).alias("_row"), "_all")
 
 
 def over_series(
@@ -139,32 +83,24 @@ def over_series(
     """
     if max_rows is None:
         return compute(df, Series(keys, order))
-    long = _long_entities(df, keys, max_rows)
-    if long.isEmpty():
+    long = stored(_long_entities(df, keys, max_rows), "long")
+    rows = long.agg(F.sum("_n")).first()[0]
+    if not rows:
         return compute(df, Series(keys, order))
 
-    splits = _stored(_split_table(df, long, keys, order[0]), "splits")
-    targets = _stored(
-        _target_table(df, splits, keys, order[0], lookback, max_rows), "blocks"
-    )
-    columns = [df[c] for c in df.columns]
-    sliced = df.join(splits, _same_keys(df, splits, keys), "left").select(
-        *columns,
-        F.when(F.col("_splits").isNotNull(), _slice_of(_numeric_order(df, order[0]))).alias("_sl"),
-    )
+    same = _same_keys(df, long, keys)
+    block = F.floor(F.col("_row") / F.lit(max_rows)).cast("long")
+    reach = F.least(F.col("_row") + F.lit(lookback), F.col("_all") - 1)
+    last = F.floor(reach / F.lit(max_rows)).cast("long")
     placed = (
-        sliced.join(
-            targets,
-            _same_keys(sliced, targets, keys) & (F.col("_sl") == targets["_slice"]),
-            "left",
-        )
-        .select(
-            *[sliced[c] for c in df.columns],
-            F.posexplode(F.coalesce(F.col("_to"), F.array(F.lit(0).cast("long"))))
-            .alias("_nth", _BLOCK),
-        )
+        _numbered(df.join(long, same, "left_semi"), keys, order, -(-rows // max_rows))
+        # Its own block first, then every later one whose look-back reaches the row.
+        .select(*df.columns, F.posexplode(F.sequence(block, last)).alias("_nth", _BLOCK))
         .withColumn(_OWN, F.col("_nth") == 0)
         .drop("_nth")
+        .unionByName(
+            df.join(long, same, "left_anti").withColumns({_BLOCK: F.lit(0).cast("long"), _OWN: F.lit(True)})
+        )
     )
     done = compute(placed, Series([*keys, _BLOCK], order))
     return done.filter(_OWN).drop(_BLOCK, _OWN)

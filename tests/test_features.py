@@ -133,3 +133,29 @@ def test_strength_index_recovers_from_nan(spark):
     for n in (10, 30):
         out = ft.with_features(df, [ft.ifr("v", n)], ["k"], ["i"], None)
         assert out.filter(F.isnan(f"amt_IFR_v_{n}")).count() == 0
+
+
+def test_long_entities_with_text_order_ties_and_many_blocks(spark):
+    from ledgerwave.operators.series import over_series
+
+    rng = random.Random(4)
+    rows = [("hot", "a" if i % 10 else f"b{i:05d}", i, round(rng.uniform(1, 100), 2)) for i in range(4000)]
+    rows += [(None, f"c{i:03d}", i, 1.0) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, d string, i int, v double").repartition(3)
+    features = [ft.moving("v", 20, "mean"), ft.lag_feature("v", 30, "d")]
+    cut, whole = (
+        sorted(map(str, ft.with_features(df, features, ["k"], ["d", "i"], n).selectExpr(
+            "k", "d", "i", "v", *[f"round({f.name}, 6)" for f in features]
+        ).collect())) for n in (200, None)
+    )
+    assert cut == whole and len(cut) == len(rows)
+
+    sizes = []
+
+    def measured(data, series):
+        sizes.extend(r["count"] for r in data.groupBy("k", "_block").count().collect())
+        return data
+
+    many = spark.range(30_000).selectExpr("'x' as k", "cast(id % 10 = 0 as int) as d", "id as i")
+    assert over_series(many, ["k"], ["d", "i"], 7, measured, 100).count() == 30_000
+    assert len(sizes) == 300 and max(sizes) <= 107
