@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerwave.llm import (
-    decontamination, exact_dedup, license_scan, line_dedup, mixing, pii, secrets, sketch_join,
+    collocations, decontamination, exact_dedup, license_scan, line_dedup, mixing, pii, secrets, sketch_join,
     substring_dedup, toxicity,
 )
 
@@ -62,6 +62,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_personal_data": op9_personal_data,
     "op10_toxicity": op10_toxicity,
+    "op12_collocations": op12_collocations,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": decontamination.OP1_SQL,
@@ -81,4 +86,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op6_line_dedup": line_dedup.OP6_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
+    "op12_collocations": collocations.OP12_SQL,
 }
