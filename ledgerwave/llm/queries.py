@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerwave.llm import (
-    collocations, decontamination, exact_dedup, license_scan, line_dedup, mixing, pii, secrets, sketch_join,
+    collocations, decontamination, exact_dedup, hard_negatives, license_scan, line_dedup, mixing, pii, secrets, sketch_join,
     substring_dedup, toxicity,
 )
 
@@ -66,6 +66,10 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(documents(spark, folder))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secrets": op2_secrets,
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_toxicity": op10_toxicity,
     "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": decontamination.OP1_SQL,
@@ -87,4 +92,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": line_dedup.OP6_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
     "op12_collocations": collocations.OP12_SQL,
+    "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
