@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerwave.llm import (
-    collocations, decontamination, exact_dedup, hard_negatives, license_scan, line_dedup, mixing, pii, secrets, sketch_join,
-    substring_dedup, toxicity,
+    collocations, decontamination, exact_dedup, hard_negatives, license_scan, line_dedup, mixing, packing, pii,
+    secrets, sketch_join, substring_dedup, toxicity,
 )
 
 
@@ -62,6 +62,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(documents(spark, folder))
+
+
 def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(documents(spark, folder))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_personal_data": op9_personal_data,
     "op10_toxicity": op10_toxicity,
+    "op11_packing": op11_packing,
     "op12_collocations": op12_collocations,
     "op13_hard_negatives": op13_hard_negatives,
 }
