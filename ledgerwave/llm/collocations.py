@@ -10,31 +10,31 @@ nearly all of them are unique. So they are cut first where no candidate can
 continue: a phrase with ``least`` occurrences holds only pairs of neighbours that
 have as many. Pairs are counted by 64-bit hash; hashes that collide only add up,
 so a pair that is frequent enough is never missed, and a pair that is kept in
-error is counted exactly afterwards. The kept pairs meet the windows in joins whose
-strategy the planner picks by their stored size.
+error is counted exactly afterwards. The kept pairs, 8 bytes each, are broadcast up
+to a counted number and meet the windows by shuffle beyond it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerwave.llm.common import lower_ascii
+from ledgerwave.llm.common import lower_ascii, maybe_broadcast
 from ledgerwave.session import stored
 
 WIDTH = 5  # words of the longest phrase
 LEAST = 100  # occurrences of a candidate
 TOP = 2000  # phrases returned per language
+PAIRS = 1_000_000  # hashes of pairs that are broadcast; more are joined by shuffle
 
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
 BLANKS = r"[\x20\x09]+"
 
 
 def pieces(docs: DataFrame) -> DataFrame:
-    """lang, words: the non-empty pieces of every text."""
+    """lang, words: the pieces of every text; some have no words."""
     split = F.split(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), PIECE_ENDS, -1)
     each = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.explode(split).alias("piece"))
-    held = each.select("lang", F.filter(F.split("piece", BLANKS, -1), lambda w: w != "").alias("words"))
-    return held.where(F.size("words") > 0)
+    return each.select("lang", F.filter(F.split("piece", BLANKS, -1), lambda w: w != "").alias("words"))
 
 
 def windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -59,6 +59,7 @@ def frequent_pairs(docs: DataFrame, least: int) -> DataFrame:
 def cut_windows(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """Windows up to the first pair that is not frequent; null behind it."""
     rows = windows(docs, width)
+    pairs = maybe_broadcast(pairs, PAIRS)
     for k in range(1, width):
         known = pairs.select(F.col("pair").alias(f"p{k}"))
         going = F.col(f"p{k}").isNotNull() & F.col(f"w{k}").isNotNull()
