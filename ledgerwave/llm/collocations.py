@@ -88,6 +88,14 @@ def phrase_counts(docs: DataFrame, width: int = WIDTH, least: int = LEAST) -> Da
     )
 
 
+def score() -> Column:
+    """floor(1000 * a * total / (l * r)) in decimals of 38 digits."""
+    return F.expr(
+        "cast(1000 * cast(a as decimal(19, 0)) as decimal(22, 0)) * cast(total as decimal(15, 0))"
+        " div (cast(l as decimal(19, 0)) * cast(r as decimal(19, 0)))"
+    )
+
+
 def collocations(docs: DataFrame, width: int = WIDTH, least: int = LEAST, top: int = TOP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's best phrases.
 
@@ -122,12 +130,7 @@ def collocations(docs: DataFrame, width: int = WIDTH, least: int = LEAST, top: i
     )
     left = parts.select("lang", F.col("phrase").alias("first"), F.col("n").alias("l"))
     right = parts.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r"))
-    wide = "cast({} as decimal(19, 0))"
-    score = F.expr(
-        f"cast(1000 * {wide.format('a')} as decimal(22, 0)) * cast(total as decimal(15, 0))"
-        f" div ({wide.format('l')} * {wide.format('r')})"
-    )
-    scored = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(totals, "lang").withColumn("score", score)
+    scored = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(totals, "lang").withColumn("score", score())
     worst = scored.groupBy("lang", "phrase").agg(
         F.min(F.struct("score", "k", "a", "l", "r", F.col("total").alias("n"))).alias("cut")
     ).select("lang", "phrase", "cut.*")
