@@ -18,7 +18,8 @@ def fundamentals_join(
     """Income rows with the balance of the same chart type and the cash flow.
 
     All years at once. The keys include the period, so no company gathers more
-    than its own few periods in one join key.
+    than its own few periods in one join key. Tables bucketed by company and year
+    (``sources.buckets``) are joined as they lie, without exchange.
     """
     extra = ["dt_ini_exerc", "dt_refer", "processed_at"]
     return (
@@ -29,17 +30,23 @@ def fundamentals_join(
     )
 
 
-def _with_company(df: DataFrame) -> DataFrame:
-    return df.withColumn("id", tax_id_digits(F.col("id_cnpj")))
+def _with_company(df: DataFrame, clean: bool) -> DataFrame:
+    return df.withColumn("id", tax_id_digits(F.col("id_cnpj")) if clean else F.col("id_cnpj"))
 
 
 def _period_prices(prices: DataFrame) -> DataFrame:
     return price_period_end(prices).withColumnRenamed("id_cnpj", "id").drop("dt_date")
 
 
-def fundamentals_price(fundamentals: DataFrame, prices: DataFrame, how: str = "left") -> DataFrame:
-    """Each company-period with the period-end price of every ticker it has."""
-    return _with_company(fundamentals).join(
+def fundamentals_price(
+    fundamentals: DataFrame, prices: DataFrame, how: str = "left", clean: bool = True
+) -> DataFrame:
+    """Each company-period with the period-end price of every ticker it has.
+
+    ``clean=False`` takes tax ids as they are, where they are digits already (all
+    statement tables): a bucketed table then keeps its layout in the join.
+    """
+    return _with_company(fundamentals, clean).join(
         _period_prices(prices), ["id", "dt_year", "dt_quarter"], how
     )
 
@@ -58,7 +65,7 @@ def fundamentals_price_inner(
         .join(amounts(assets), keys, "left")
         .join(amounts(liabilities), keys, "left")
     )
-    return fundamentals_price(joined, prices, how="inner")
+    return fundamentals_price(joined, prices, how="inner", clean=False)
 
 
 def with_profit_measures(df: DataFrame) -> DataFrame:
@@ -88,7 +95,7 @@ def integrated_fundamentals(
     Amounts that no statement supplies are typed nulls.
     """
     df = fundamentals_price(
-        fundamentals_join(income, assets, liabilities, cash_flow), prices
+        fundamentals_join(income, assets, liabilities, cash_flow), prices, clean=False
     ).withColumns({c: F.lit(None).cast("double") for c in UNSUPPLIED_AMOUNTS})
     df = df.withColumn("dt_fim_exerc", F.col("dt_fim_exerc").cast("string"))
     return with_profit_measures(df.select(*FUNDAMENTALS_COLUMNS))

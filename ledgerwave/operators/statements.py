@@ -11,6 +11,8 @@ holding a third of all lines costs no more than any other.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerwave.functions.calendar import exercise_months, iso_date
@@ -94,8 +96,17 @@ def chart_types(lines: DataFrame, chart: charts.Chart, keys: list[str]) -> DataF
     return unfold_types(lines.groupBy(*raw_keys).agg(*types_found(chart, raw_keys)))
 
 
-def wide_statement(lines: DataFrame, chart: charts.Chart, keys: list[str]) -> DataFrame:
-    """Cleaned lines -> keys, chart type and the chart's amounts."""
+Deal = Callable[[DataFrame], DataFrame]
+
+
+def wide_statement(
+    lines: DataFrame, chart: charts.Chart, keys: list[str], deal: Deal | None = None
+) -> DataFrame:
+    """Cleaned lines -> keys, chart type and the chart's amounts.
+
+    ``deal`` lays the rows out for a bucketed table; the last aggregation then
+    happens inside that layout instead of in an exchange of its own.
+    """
     raw_keys = line_keys(keys)
     kinds = [*charts.CHARTS, None]
     tests = {(t, k): chart.test_for(t, k) for t in chart.targets for k in kinds}
@@ -119,10 +130,9 @@ def wide_statement(lines: DataFrame, chart: charts.Chart, keys: list[str]) -> Da
     ).withColumnsRenamed(STATEMENT_NAMES)
     # Two spellings of one tax id were two groups above and are one row here;
     # this aggregation sees one row per company-period, not lines.
-    return (
-        typed.withColumn("id_cnpj", tax_id_digits(F.col("id_cnpj")))
-        .groupBy(*keys)
-        .agg(*[F.expr(f"cast(sum({t}) as double)").alias(t) for t in chart.targets])
+    typed = typed.withColumn("id_cnpj", tax_id_digits(F.col("id_cnpj")))
+    return (deal(typed) if deal else typed).groupBy(*keys).agg(
+        *[F.expr(f"cast(sum({t}) as double)").alias(t) for t in chart.targets]
     )
 
 
@@ -138,9 +148,9 @@ def typed_lines(lines: DataFrame, chart: charts.Chart, keys: list[str]) -> DataF
     return df.withColumn("id_cnpj", tax_id_digits(F.col("id_cnpj")))
 
 
-def income_statement(lines: DataFrame, annual: bool) -> DataFrame:
+def income_statement(lines: DataFrame, annual: bool, deal: Deal | None = None) -> DataFrame:
     cleaned = clean_lines(lines, ANNUAL_MONTHS if annual else QUARTERLY_MONTHS, fill_label=True)
-    return wide_statement(cleaned, charts.INCOME, INCOME_KEYS)
+    return wide_statement(cleaned, charts.INCOME, INCOME_KEYS, deal)
 
 
 def income_lines(lines: DataFrame, annual: bool) -> DataFrame:
@@ -156,13 +166,13 @@ def balance_lines(lines: DataFrame, chart: charts.Chart) -> DataFrame:
     return clean_lines(lines, label_codes=sorted({rule.code for rule in chart.types}))
 
 
-def balance_assets(lines: DataFrame) -> DataFrame:
-    return wide_statement(balance_lines(lines, charts.ASSETS), charts.ASSETS, BALANCE_KEYS)
+def balance_assets(lines: DataFrame, deal: Deal | None = None) -> DataFrame:
+    return wide_statement(balance_lines(lines, charts.ASSETS), charts.ASSETS, BALANCE_KEYS, deal)
 
 
-def balance_liabilities(lines: DataFrame) -> DataFrame:
+def balance_liabilities(lines: DataFrame, deal: Deal | None = None) -> DataFrame:
     return wide_statement(
-        balance_lines(lines, charts.LIABILITIES), charts.LIABILITIES, BALANCE_KEYS
+        balance_lines(lines, charts.LIABILITIES), charts.LIABILITIES, BALANCE_KEYS, deal
     )
 
 

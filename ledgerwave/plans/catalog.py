@@ -18,7 +18,7 @@ from ledgerwave.operators import (
 )
 from ledgerwave.plans import feature_sets as fs, standins as src
 from ledgerwave.session import scratch_path
-from ledgerwave.sources import lake, quotes, schemas
+from ledgerwave.sources import buckets, lake, quotes, schemas
 from ledgerwave.streaming import appends
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -350,16 +350,6 @@ def _income(spark: SparkSession, folder: str, annual: bool) -> DataFrame:
     )
 
 
-def _assets(spark: SparkSession, folder: str, annual: bool) -> DataFrame:
-    return statements.balance_assets(src.statement_lines(spark, folder, "assets", annual))
-
-
-def _liabilities(spark: SparkSession, folder: str, annual: bool) -> DataFrame:
-    return statements.balance_liabilities(
-        src.statement_lines(spark, folder, "liabilities", annual)
-    )
-
-
 def _cash_flow(spark: SparkSession, folder: str, annual: bool) -> DataFrame:
     annual_lines = src.cash_flow_filings(spark, folder, annual=True)
     if annual:
@@ -396,12 +386,14 @@ def income_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def balance_assets(spark: SparkSession, folder: str) -> DataFrame:
-    return _assets(spark, folder, annual=False)
+    return statements.balance_assets(src.statement_lines(spark, folder, "assets", annual=False))
 
 
 @query
 def balance_liabilities(spark: SparkSession, folder: str) -> DataFrame:
-    return _liabilities(spark, folder, annual=False)
+    return statements.balance_liabilities(
+        src.statement_lines(spark, folder, "liabilities", annual=False)
+    )
 
 
 @query
@@ -626,9 +618,24 @@ def income_features(spark: SparkSession, folder: str) -> DataFrame:
 # --- integration -------------------------------------------------------------
 
 def _statements(spark: SparkSession, folder: str, annual: bool) -> list[DataFrame]:
-    return [
-        make(spark, folder, annual) for make in (_income, _assets, _liabilities, _cash_flow)
+    """Income, assets, liabilities and cash flow as bucketed tables, as the
+    co-partition job leaves them."""
+    def lines(kind: str) -> DataFrame:
+        return src.statement_lines(spark, folder, kind, annual)
+
+    made = {
+        "income": statements.income_statement(lines("income"), annual, buckets.deal),
+        "assets": statements.balance_assets(lines("assets"), buckets.deal),
+        "liabilities": statements.balance_liabilities(lines("liabilities"), buckets.deal),
+    }
+    out = [
+        buckets.write_bucketed(df, scratch_path(spark, f"bucketed-{kind}"), dealt=True)
+        for kind, df in made.items()
     ]
+    flow = buckets.write_bucketed(
+        _cash_flow(spark, folder, annual), scratch_path(spark, "bucketed-cash-flow")
+    )
+    return [*out, flow]
 
 
 @query
