@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from ledgerwave.operators.prices import typed_quotes
 from ledgerwave.operators.registry import ticker_universe
 from ledgerwave.plans import analytics
-from ledgerwave.plans.preprocess import JOBS, Lake, preprocess
+from ledgerwave.plans.preprocess import JOBS, Lake, preprocess_lake
 from ledgerwave.sources import lake, quotes, schemas
 
 
@@ -28,7 +28,7 @@ def _parser() -> argparse.ArgumentParser:
         return p
 
     p = job("preprocess", "raw", "processed", "execution-date")
-    p.add_argument("--kind", required=True, choices=sorted(JOBS))
+    p.add_argument("--kind", choices=sorted(JOBS), help="all kinds if left out")
     p.add_argument("--years", required=True, nargs="+", type=int)
     job("tickers", "register", "output")
     p = job("quotes", "wide", "registry", "output")
@@ -48,7 +48,8 @@ def main(argv: list[str] | None = None) -> None:
     a = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"ledgerwave-{a.job}").getOrCreate()
     if a.job == "preprocess":
-        preprocess(spark, Lake(a.raw, a.processed), a.kind, a.years, a.execution_date)
+        kinds = [a.kind] if a.kind else list(JOBS)
+        preprocess_lake(spark, Lake(a.raw, a.processed), a.years, a.execution_date, kinds)
         return
     if a.job == "append-prices":
         lake.append_days(spark.read.schema(schemas.DAILY_PRICES).parquet(a.day), a.prices)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -20,7 +21,7 @@ QUARTERS = [1, 2, 3, 4]
 TABLE_COLUMNS = ACCOUNT_KEYS + ["Q1", "Q2", "Q3", "Q4"]
 
 
-def cash_flow_accounts(itr: DataFrame, dfp: DataFrame) -> DataFrame:
+def cash_flow_accounts(itr: DataFrame, dfp: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Per account: year-to-date and single-quarter amounts side by side.
 
     ``itr`` carries the year to date at quarters 1-3, ``dfp`` the full year. An
@@ -29,9 +30,9 @@ def cash_flow_accounts(itr: DataFrame, dfp: DataFrame) -> DataFrame:
     the same account in the same quarter add up. An account with a null key
     (for example no label) has no later quarters.
     """
-    lines = cash_flow_lines(itr).unionByName(cash_flow_lines(dfp))
+    lines = cash_flow_lines(itr, also).unionByName(cash_flow_lines(dfp, also))
     quarter, amount = F.col("dt_quarter"), F.col("amt_account")
-    ytd = lines.groupBy(*ACCOUNT_KEYS).agg(
+    ytd = lines.groupBy(*ACCOUNT_KEYS, *also).agg(
         F.count_if(quarter == 1).alias("n1"),
         *[F.sum(F.when(quarter == q, amount)).alias(f"c{q}") for q in QUARTERS],
     ).filter(F.col("n1") > 0)
@@ -54,27 +55,30 @@ def cash_flow_accounts(itr: DataFrame, dfp: DataFrame) -> DataFrame:
         out(later(3), "Q3_cumulative"),
         out(later(4) - later(3), "Q4"),
         out(later(4), "Q4_cumulative"),
+        *also,
     )
 
 
-def cash_flow_table(itr: DataFrame, dfp: DataFrame) -> DataFrame:
-    return cash_flow_accounts(itr, dfp).select(*TABLE_COLUMNS)
+def cash_flow_table(itr: DataFrame, dfp: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    return cash_flow_accounts(itr, dfp, also).select(*TABLE_COLUMNS, *also)
 
 
-def cash_flow_quarterly(itr: DataFrame, dfp: DataFrame, own_year: bool = False) -> DataFrame:
+def cash_flow_quarterly(
+    itr: DataFrame, dfp: DataFrame, own_year: bool = False, also: Sequence[str] = ()
+) -> DataFrame:
     """Seven measures per company, year and quarter.
 
     Quarter ends are pinned to one year whatever the row's year; ``own_year``
     dates each quarter in its own year, which is what later joins need.
     """
-    accounts = cash_flow_accounts(itr, dfp)
+    accounts = cash_flow_accounts(itr, dfp, also)
 
     def measure(target: str, q: int) -> Column:
         test = cash_flow_test(target)
         return F.expr(f"cast(sum(case when {test} then cast(Q{q} as {MONEY_SQL}) end) as double)")
 
     # All 28 sums in one aggregation, then four rows per company-year.
-    wide = accounts.groupBy(*COMPANY_KEYS).agg(*[
+    wide = accounts.groupBy(*COMPANY_KEYS, *also).agg(*[
         measure(t, q).alias(f"m{i}q{q}") for q in QUARTERS for i, t in enumerate(CASH_FLOW_AMOUNTS)
     ])
     rows = [
@@ -82,8 +86,10 @@ def cash_flow_quarterly(itr: DataFrame, dfp: DataFrame, own_year: bool = False)
         for x in (F.lit(q), *[F.col(f"m{i}q{q}") for i in range(len(CASH_FLOW_AMOUNTS))])
     ]
     stacked = wide.select(
-        *COMPANY_KEYS, F.stack(F.lit(4), *rows).alias("dt_quarter", *CASH_FLOW_AMOUNTS)
+        *COMPANY_KEYS, *also, F.stack(F.lit(4), *rows).alias("dt_quarter", *CASH_FLOW_AMOUNTS)
     )
     year, quarter = F.col("dt_year"), F.col("dt_quarter")
     end = quarter_end(year, quarter) if own_year else quarter_end_pinned(quarter)
-    return stacked.withColumn("dt_fim_exerc", end).select(*CASH_FLOW_KEYS, *CASH_FLOW_AMOUNTS)
+    return stacked.withColumn("dt_fim_exerc", end).select(
+        *CASH_FLOW_KEYS, *CASH_FLOW_AMOUNTS, *also
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -18,15 +19,16 @@ def _amounts(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith("amt_")]
 
 
-def complete_years(itr: DataFrame, dfp: DataFrame) -> DataFrame:
+def complete_years(itr: DataFrame, dfp: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """(company, year) with exactly three quarterly rows and an annual row."""
+    keys = ["id_cvm", "dt_year", *also]
     three = (
-        itr.groupBy(*COMPANY_YEAR).agg(F.count(F.lit(1)).alias("n"))
+        itr.groupBy(*COMPANY_YEAR, *also).agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") == 3)
-        .select("id_cvm", "dt_year")
+        .select(*keys)
         .distinct()
     )
-    return three.join(dfp.select("id_cvm", "dt_year"), ["id_cvm", "dt_year"], "left_semi")
+    return three.join(dfp.select(*keys), keys, "left_semi")
 
 
 def _annual_less_quarters(
@@ -58,17 +60,18 @@ def _annual_less_quarters(
     return summed
 
 
-def last_quarter(itr: DataFrame, dfp: DataFrame) -> DataFrame:
+def last_quarter(itr: DataFrame, dfp: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Quarters 1-3 plus, for complete years, the fourth: annual minus their sum.
 
     Sums skip nulls: a missing annual amount leaves minus the sum of quarters.
     """
     itr, dfp = itr.drop("processed_at"), dfp.drop("processed_at")
-    years = complete_years(itr, dfp)
-    keys = [*COMPANY_YEAR, "cat_type_dre"]
+    years = complete_years(itr, dfp, also)
+    of = ["id_cvm", "dt_year", *also]
+    keys = [*COMPANY_YEAR, "cat_type_dre", *also]
     fourth = _annual_less_quarters(
-        itr.join(years, ["id_cvm", "dt_year"], "left_semi"),
-        dfp.join(years, ["id_cvm", "dt_year"], "left_semi"),
+        itr.join(years, of, "left_semi"),
+        dfp.join(years, of, "left_semi"),
         keys, _amounts(itr), typed=True,
     )
     return itr.unionByName(fourth)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerwave.functions.calendar import iso_date
@@ -18,7 +20,8 @@ MIN_TICKER_LENGTH = 5
 
 
 def _typed_register(
-    df: DataFrame, names: dict[str, str], plain: list[str], lower: list[str], ints: list[str]
+    df: DataFrame, names: dict[str, str], plain: list[str], lower: list[str], ints: list[str],
+    also: Sequence[str],
 ) -> DataFrame:
     """Rename, then type every column in one projection.
 
@@ -40,23 +43,24 @@ def _typed_register(
         if name in lower:
             c = F.lower(c)
         out.append(c.alias(name))
-    return df.select(*out)
+    return df.select(*out, *also)
 
 
-def register_company(df: DataFrame) -> DataFrame:
+def register_company(df: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     plain = ["cat_sector", "text_sector", "txt_company_name"]
     return _typed_register(
         df, COMPANY_REGISTER_NAMES,
         plain=plain,
         lower=[*plain, "cat_cvm_register_situation", "cat_situation_issuer", "cat_country_origin"],
         ints=["dt_month_fiscal_end", "dt_year_fiscal_end"],
+        also=also,
     )
 
 
-def register_security(df: DataFrame) -> DataFrame:
+def register_security(df: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     plain = ["text_market", "cat_governance_segmentation", "cat_stock_type", "cat_type_market"]
     return _typed_register(
-        df, SECURITY_REGISTER_NAMES, plain=plain, lower=plain, ints=["qty_version"]
+        df, SECURITY_REGISTER_NAMES, plain=plain, lower=plain, ints=["qty_version"], also=also
     )
 
 

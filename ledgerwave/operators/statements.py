@@ -11,7 +11,7 @@ holding a third of all lines costs no more than any other.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -90,20 +90,25 @@ def unfold_types(df: DataFrame) -> DataFrame:
     ).drop(*[f"is_{c}" for c in charts.CHARTS])
 
 
-def chart_types(lines: DataFrame, chart: charts.Chart, keys: list[str]) -> DataFrame:
+def chart_types(
+    lines: DataFrame, chart: charts.Chart, keys: list[str], also: Sequence[str] = ()
+) -> DataFrame:
     """Company-periods with each chart type they match (null when none)."""
     raw_keys = line_keys(keys)
-    return unfold_types(lines.groupBy(*raw_keys).agg(*types_found(chart, raw_keys)))
+    return unfold_types(lines.groupBy(*raw_keys, *also).agg(*types_found(chart, raw_keys)))
 
 
 Deal = Callable[[DataFrame], DataFrame]
 
 
 def wide_statement(
-    lines: DataFrame, chart: charts.Chart, keys: list[str], deal: Deal | None = None
+    lines: DataFrame, chart: charts.Chart, keys: list[str], deal: Deal | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Cleaned lines -> keys, chart type and the chart's amounts.
 
+    ``also`` names further keys, such as the year of the source file: statements of
+    all files are made in one pass and never mix the lines of two files.
     ``deal`` lays the rows out for a bucketed table; the last aggregation then
     happens inside that layout instead of in an exchange of its own.
     """
@@ -112,7 +117,7 @@ def wide_statement(
     tests = {(t, k): chart.test_for(t, k) for t in chart.targets for k in kinds}
     # Charts that take the same lines share one sum.
     sums = {test: f"s{i}" for i, test in enumerate(dict.fromkeys(filter(None, tests.values())))}
-    partial = lines.groupBy(*raw_keys).agg(
+    partial = lines.groupBy(*raw_keys, *also).agg(
         *types_found(chart, raw_keys),
         *[F.expr(f"sum(case when {test} then cast(vl_conta as {MONEY_SQL}) end)").alias(name)
           for test, name in sums.items()],
@@ -126,39 +131,43 @@ def wide_statement(
         return f"case cat_type_dre {cases} else {picked[None]} end as {target}"
 
     typed = unfold_types(partial).selectExpr(
-        *raw_keys, "cat_type_dre", *[amount(t) for t in chart.targets]
+        *raw_keys, *also, "cat_type_dre", *[amount(t) for t in chart.targets]
     ).withColumnsRenamed(STATEMENT_NAMES)
     # Two spellings of one tax id were two groups above and are one row here;
     # this aggregation sees one row per company-period, not lines.
     typed = typed.withColumn("id_cnpj", tax_id_digits(F.col("id_cnpj")))
-    return (deal(typed) if deal else typed).groupBy(*keys).agg(
+    return (deal(typed) if deal else typed).groupBy(*keys, *also).agg(
         *[F.expr(f"cast(sum({t}) as double)").alias(t) for t in chart.targets]
     )
 
 
-def typed_lines(lines: DataFrame, chart: charts.Chart, keys: list[str]) -> DataFrame:
+def typed_lines(
+    lines: DataFrame, chart: charts.Chart, keys: list[str], also: Sequence[str] = ()
+) -> DataFrame:
     """Cleaned lines with the chart type(s) of their company-period.
 
     The types side has one row per company-period; a company with very many
     lines is split by the adaptive skew join.
     """
     raw_keys = line_keys(keys)
-    types = chart_types(lines, chart, keys).filter(F.col("cat_type_dre").isNotNull())
-    df = lines.join(types, raw_keys, "left").withColumnsRenamed(STATEMENT_NAMES)
+    types = chart_types(lines, chart, keys, also).filter(F.col("cat_type_dre").isNotNull())
+    df = lines.join(types, [*raw_keys, *also], "left").withColumnsRenamed(STATEMENT_NAMES)
     return df.withColumn("id_cnpj", tax_id_digits(F.col("id_cnpj")))
 
 
-def income_statement(lines: DataFrame, annual: bool, deal: Deal | None = None) -> DataFrame:
+def income_statement(
+    lines: DataFrame, annual: bool, deal: Deal | None = None, also: Sequence[str] = ()
+) -> DataFrame:
     cleaned = clean_lines(lines, ANNUAL_MONTHS if annual else QUARTERLY_MONTHS, fill_label=True)
-    return wide_statement(cleaned, charts.INCOME, INCOME_KEYS, deal)
+    return wide_statement(cleaned, charts.INCOME, INCOME_KEYS, deal, also)
 
 
-def income_lines(lines: DataFrame, annual: bool) -> DataFrame:
+def income_lines(lines: DataFrame, annual: bool, also: Sequence[str] = ()) -> DataFrame:
     cleaned = clean_lines(lines, ANNUAL_MONTHS if annual else QUARTERLY_MONTHS, fill_label=True)
     cleaned = cleaned.withColumn(
         "dt_months_exercise", exercise_months(F.col("dt_ini_exerc"), F.col("dt_fim_exerc"))
     )
-    return typed_lines(cleaned, charts.INCOME, INCOME_KEYS)
+    return typed_lines(cleaned, charts.INCOME, INCOME_KEYS, also)
 
 
 def balance_lines(lines: DataFrame, chart: charts.Chart) -> DataFrame:
@@ -166,17 +175,21 @@ def balance_lines(lines: DataFrame, chart: charts.Chart) -> DataFrame:
     return clean_lines(lines, label_codes=sorted({rule.code for rule in chart.types}))
 
 
-def balance_assets(lines: DataFrame, deal: Deal | None = None) -> DataFrame:
-    return wide_statement(balance_lines(lines, charts.ASSETS), charts.ASSETS, BALANCE_KEYS, deal)
+def balance_assets(
+    lines: DataFrame, deal: Deal | None = None, also: Sequence[str] = ()
+) -> DataFrame:
+    cleaned = balance_lines(lines, charts.ASSETS)
+    return wide_statement(cleaned, charts.ASSETS, BALANCE_KEYS, deal, also)
 
 
-def balance_liabilities(lines: DataFrame, deal: Deal | None = None) -> DataFrame:
-    return wide_statement(
-        balance_lines(lines, charts.LIABILITIES), charts.LIABILITIES, BALANCE_KEYS, deal
-    )
+def balance_liabilities(
+    lines: DataFrame, deal: Deal | None = None, also: Sequence[str] = ()
+) -> DataFrame:
+    cleaned = balance_lines(lines, charts.LIABILITIES)
+    return wide_statement(cleaned, charts.LIABILITIES, BALANCE_KEYS, deal, also)
 
 
-def cash_flow_lines(lines: DataFrame) -> DataFrame:
+def cash_flow_lines(lines: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Current cash-flow lines; their period follows the end of the exercise."""
     df = current_exercise(rename_catalog(lines, CASH_FLOW_NAMES))
     end = iso_date(F.col("dt_fim_exerc"))
@@ -190,15 +203,16 @@ def cash_flow_lines(lines: DataFrame) -> DataFrame:
         "id_account",
         "txt_account",
         exact(scaled(F.col("amt_account"), F.col("escala_moeda"))).alias("amt_account"),
+        *also,
     )
 
 
-def cash_flow_annual(lines: DataFrame) -> DataFrame:
+def cash_flow_annual(lines: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Annual cash flow: seven measures per company and exercise end."""
-    df = cash_flow_lines(lines)
+    df = cash_flow_lines(lines, also)
     label = F.lower(transliterate(F.coalesce(F.col("txt_account"), F.lit(""))))
     df = df.withColumn("txt_account", label)
-    return df.groupBy(*CASH_FLOW_KEYS).agg(*[
+    return df.groupBy(*CASH_FLOW_KEYS, *also).agg(*[
         F.expr(f"cast(sum(case when {charts.cash_flow_test(t)} then amt_account end) as double)")
         .alias(t)
         for t in CASH_FLOW_AMOUNTS
