@@ -30,9 +30,14 @@ LENGTH = 4096  # tokens of a sequence
 END = 1  # id behind every document
 VOCABULARY = "word_bpe_49k.json"
 
-# Bounds of the cache of a worker: parts of texts and the bytes of their ids.
-CACHED = 400_000
+# Bounds of the cache of a worker: parts of texts, bytes of parts and ids; and of
+# the text that is worked on at a time.
+CACHED = 1_200_000
 CACHED_BYTES = 64_000_000
+STRETCH = 2_000_000
+TOGETHER = 5_000  # parts in one call of the tokenizer
+MARK = "<|endoftext|>"
+CLOSING = (b".", b",", b";", b":", b"!", b"?")
 
 # Partners tried per length in patterns of three and four, steps of the fit.
 PARTNERS = 8
@@ -44,30 +49,100 @@ class PartIds(dict):
     or line feeds.
 
     No token reaches over a blank, so the ids of a text are those of its parts
-    one after another. The tokenizer sees every distinct part once while the
-    bounded cache holds it.
+    one after another, and ASCII case makes no difference to this vocabulary. The
+    tokenizer sees every distinct part once while the bounded cache holds it, many
+    of them in one call, with a special token between them.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.mark = self.tokenizer.token_to_id(MARK)
+        # Words of a-z alone need no normalising and no finer cut.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = WhitespaceSplit()
         self.size = 0
 
-    def __missing__(self, part: bytes) -> bytes:
-        made = self.tokenizer.encode(part.decode("utf-8", "replace"), add_special_tokens=False).ids
-        ids = np.array(made, "<u4").tobytes()
-        if self.size + len(part) + len(ids) > CACHED_BYTES or len(self) >= CACHED:
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of every text. Long texts are worked on in stretches, so the
+        parts held at a time are bounded."""
+        found: list[list[bytes]] = [[] for _ in texts]
+        parts: list[bytes] = []
+        ends: list[tuple[int, int]] = []
+        held = 0
+        for k, text in enumerate(texts):
+            for stretch in self._stretches(text):
+                parts += stretch.replace(b"\n", b" ").split(b" ")
+                ends.append((k, len(parts)))
+                held += len(stretch)
+                if held > STRETCH:
+                    self._look_up(parts, ends, found)
+                    parts, ends, held = [], [], 0
+        self._look_up(parts, ends, found)
+        return [b"".join(f) for f in found]
+
+    def _look_up(self, parts: list[bytes], ends: list[tuple[int, int]], found: list[list[bytes]]) -> None:
+        if len(self) > CACHED or self.size > CACHED_BYTES:
             self.clear()
             self.size = 0
-        if len(part) + len(ids) < CACHED_BYTES // 16:
-            self[part] = ids
-            self.size += len(part) + len(ids)
-        return ids
-
-    def of(self, text: bytes | None) -> bytes:
-        parts = (text or b"").replace(b"\n", b" ").split(b" ")
-        return b"".join(map(self.__getitem__, filter(None, parts)))
+        ids = list(map(self.get, parts))
+        new = [i for i, x in enumerate(ids) if x is None]
+        self._learn({parts[i] for i in new})
+        for i in new:
+            ids[i] = self[parts[i]]
+        at = 0
+        for k, end in ends:
+            found[k].append(b"".join(ids[at:end]))
+            at = end
+
+    @staticmethod
+    def _stretches(text: bytes) -> Iterator[bytes]:
+        # Special tokens are read before letters become small: such texts keep theirs.
+        text = text if b"<|" in text else text.lower()
+        at = 0
+        while len(text) - at > STRETCH:
+            end = text.find(b" ", at + STRETCH)
+            if end < 0:
+                break
+            yield text[at:end]
+            at = end + 1
+        yield text[at:]
+
+    def _learn(self, parts: set[bytes]) -> None:
+        # Letters and a punctuation mark behind them are tokens apart.
+        closed = {p for p in parts if len(p) > 1 and p[-1:] in CLOSING and p[:-1].isalpha() and p.isascii()}
+        stems = ({p[:-1] for p in closed} | {p[-1:] for p in closed}) - self.keys()
+        left = (parts - closed) | stems
+        letters = sorted(p for p in left if p.isalpha() and p.isascii())
+        special = [p for p in left if b"<|" in p]
+        other = sorted(left.difference(letters, special))
+        for tokenizer, some in ((self.plain, letters), (self.tokenizer, other)):
+            for at in range(0, len(some), TOGETHER):
+                self._learn_together(tokenizer, some[at : at + TOGETHER])
+        for p in special:
+            self._keep(p, self._ids(self.tokenizer, p.decode("utf-8", "replace")).tobytes())
+        for p in closed:
+            self._keep(p, self[p[:-1]] + self[p[-1:]])
+
+    def _learn_together(self, tokenizer, parts: list[bytes]) -> None:
+        ids = self._ids(tokenizer, f" {MARK} ".join([p.decode("utf-8", "replace") for p in parts]))
+        ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
+        starts = np.append(0, ends[:-1] + 1)
+        raw = ids.tobytes()
+        for part, start, end in zip(parts, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
+            self._keep(part, raw[start:end])
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> np.ndarray:
+        (made,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(made.ids, "<u4")
+
+    def _keep(self, part: bytes, ids: bytes) -> None:
+        self[part] = ids
+        self.size += len(part) + len(ids)
 
 
 _CACHES: dict[str, PartIds] = {}
@@ -98,9 +173,10 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end:
         for batch in batches:
             rows: list[tuple] = []
             held = 0
+            texts = [text or b"" for text in batch.column("text").cast(pa.binary()).to_pylist()]
             keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
-            for doc, key, text in zip(*keys, batch.column("text").cast(pa.binary()), strict=True):
-                every = memoryview(cache.of(text.as_py()) + tail)
+            for doc, key, found in zip(*keys, cache.of(texts), strict=True):
+                every = memoryview(found + tail)
                 for k, at in enumerate(range(0, len(every), width)):
                     part = every[at : at + width]
                     rows.append((doc, key, k, at // 4, len(part) // 4, zlib.crc32(part), part if ids else None))

@@ -32,16 +32,18 @@ def plain_ids(text):
 @given(st.text(st.sampled_from("aBé ñ\n\t\x0b ́İΣΑς12.,'s<|endoftext|>漢\x85  "), max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_ids_are_those_of_the_tokenizer(text):
-    got = np.frombuffer(packing.part_ids(PATH).of(text.encode()), "<u4").tolist()
-    assert got + [1] == plain_ids(text)
+    (got,) = packing.part_ids(PATH).of([text.encode()])
+    assert np.frombuffer(got, "<u4").tolist() + [1] == plain_ids(text)
 
 
 def test_cache_is_bounded(monkeypatch):
-    monkeypatch.setattr(packing, "CACHED", 5)
+    monkeypatch.setattr(packing, "CACHED", 30)
+    monkeypatch.setattr(packing, "STRETCH", 40)
     cache = packing.PartIds(PATH)
-    words = [f"w{i}".encode() for i in range(40)]
-    assert np.frombuffer(cache.of(b" ".join(words)), "<u4").tolist() + [1] == plain_ids(b" ".join(words).decode())
-    assert len(cache) <= 5
+    texts = [" ".join(f"W{i * j}, <|endoftext|>"[: 9 + i] for i in range(40)) for j in range(5)]
+    for text, got in zip(texts, cache.of([t.encode() for t in texts])):
+        assert np.frombuffer(got, "<u4").tolist() + [1] == plain_ids(text)
+    assert len(cache) <= 30
 
 
 @pytest.mark.parametrize("length", [64, 4096])
