@@ -59,10 +59,7 @@ def main(argv: list[str] | None = None) -> None:
         df = ticker_universe(spark.read.parquet(a.register))
     elif a.job == "quotes":
         wide, registry = spark.read.parquet(a.wide), quotes.read_registry(spark, a.registry)
-        tickers = sorted({
-            c.split(quotes.SEPARATOR, 1)[1] for c in wide.columns if quotes.SEPARATOR in c
-        })
-        long = quotes.attach_registry(quotes.quotes_long(wide, tickers), registry)
+        long = quotes.attach_registry(quotes.quotes_long(wide), registry)
         df = typed_quotes(long, a.execution_date).select(*schemas.PRICE_COLUMNS)
         partition_by = ["dt_date"]
     elif a.job == "price-features":

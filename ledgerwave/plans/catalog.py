@@ -7,17 +7,18 @@ at the edge, so that results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerwave.functions import calendar, text
-from ledgerwave.functions.money import sum_amount
+from ledgerwave.functions.money import exact, sum_amount
 from ledgerwave.operators import (
     cashflow, charts, columns, features as ft, fundamentals, prices, quality, quarters, registry,
     statements,
 )
-from ledgerwave.plans import feature_sets as fs, standins as src
-from ledgerwave.session import scratch_path
+from ledgerwave.plans import feature_sets as fs, preprocess, standins as src
+from ledgerwave.session import scratch_path, stored
 from ledgerwave.sources import buckets, lake, quotes, schemas
 from ledgerwave.streaming import appends
 
@@ -27,6 +28,7 @@ QUERIES: dict[str, Query] = {}
 PROCESSED = "2024-01-31"
 DAY_AFTER = "1998-06-16"
 PERIOD = 20
+STATE_KEPT = "1 day"
 LONG_BLOCK = 5_000  # rows of an entity from which it is cut here
 # Bars hold one row per company, ticker and calendar day, statements one per
 # company and quarter: those entities are short however large the tables are.
@@ -100,6 +102,65 @@ def multi_year_union(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def scan_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Statement files in which some lines have an amount or a version that is no
+    number: lines that parse and, raw, lines that do not."""
+    path, code = scratch_path(spark, "broken-csv"), F.col("CD_CONTA")
+    lines = src.statement_lines(spark, folder, "income", annual=False).withColumns({
+        "VL_CONTA": F.when(code == "3.05", "n/d").otherwise(F.col("VL_CONTA").cast("string")),
+        "VERSAO": F.when(code == "3.08", "v2").otherwise(F.col("VERSAO").cast("string")),
+    })
+    writer = lines.select(*schemas.STATEMENT_LINES.names).write.option("header", True)
+    writer.option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
+    good, bad = lake.scan_with_quarantine(
+        spark, path, schemas.STATEMENT_LINES, scratch_path(spark, "quarantine")
+    )
+    return good.select(
+        F.lit(False).alias("is_corrupt"), F.col("CD_CVM").alias("cd_cvm"), F.col("CD_CONTA").alias("cd_conta"),
+        F.col("VL_CONTA").alias("vl_conta"), F.lit(None).cast("string").alias("raw"),
+    ).unionByName(bad.select(
+        F.lit(True).alias("is_corrupt"), F.lit(None).cast("string").alias("cd_cvm"),
+        F.lit(None).cast("string").alias("cd_conta"), F.lit(None).cast("double").alias("vl_conta"),
+        F.regexp_replace(lake.CORRUPT, ";(-?[0-9.E]+)?;S$", ";;S").alias("raw"),
+    ))
+
+
+@query
+def missing_years(spark: SparkSession, folder: str) -> DataFrame:
+    """Annual income of which two yearly tables exist, and quarterly income of
+    which none does: all typed columns, rows of the years there are."""
+    root = scratch_path(spark, "yearly")
+    income = stored(_income(spark, folder, annual=True), "income")
+    for year in (1994, 1996):
+        lake.write_table(income.filter(F.col("dt_year") == year), f"{root}/pp_dfp_dre_{year}.parquet")
+    years = range(1990, 2000)
+    some = lake.scan_yearly_files(spark, root, "dfp_dre", years, schemas.INCOME_WIDE)
+    none = lake.scan_years(spark, f"{root}/pp_itr_dre", years, schemas.INCOME_WIDE)
+    return some.unionByName(none)
+
+
+@query
+def preprocess_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw text files of all kinds and years through one run, and a second run
+    over some years of one kind; rows and amounts of every table and slice."""
+    root = scratch_path(spark, "lake")
+    raw, processed = f"{root}/raw", f"{root}/processed"
+    src.raw_files(spark, folder, raw)
+    folders = preprocess.Lake(raw, processed)
+    tables = preprocess.preprocess_lake(spark, folders, range(1990, 2024), PROCESSED)
+    preprocess.preprocess_lake(spark, folders, (1995, 1996), PROCESSED, ["dfp_dre"])
+    each = []
+    for table in tables:
+        df = spark.read.parquet(table)
+        amounts = [c for c in df.columns if c.startswith("amt_") or c in ("vl_conta", "Q1", "Q2", "Q3", "Q4")]
+        total = sum((F.coalesce(exact(F.col(c)), F.lit(0).cast("decimal(20,2)")) for c in amounts), F.lit(0))
+        each.append(df.groupBy(preprocess.FILE_YEAR).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum(total).cast("double").alias("amt_total")
+        ).withColumn("table_name", F.lit(table.rsplit("/pp_", 1)[1])))
+    return reduce(DataFrame.unionByName, each)
+
+
 @query
 def sink_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "prices")
@@ -144,12 +205,34 @@ def price_append_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def stream_dedupe_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in two deliveries, the second of all events after a restart from the
+    checkpoint. State is kept for a day of event time: repeated events within it
+    are dropped, and so are events behind the watermark of the first delivery."""
+    landing, target, checkpoint = (scratch_path(spark, x) for x in ("landing", "events", "checkpoint"))
+    events = src.table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    for delivery in (events.filter(F.col("event_id") % 3 != 0), events):
+        delivery.write.mode("append").parquet(landing)
+        appends.append_new_events(
+            appends.landing_stream(spark, landing, events.schema), target, checkpoint, ["event_id"], "ts", STATE_KEPT
+        )
+    return spark.read.parquet(target).select("event_id", "user_id", "event_type", "value")
+
+
 @query
 def quotes_unpivot(spark: SparkSession, folder: str) -> DataFrame:
     wide, tickers = src.wide_quotes(spark, folder)
     return quotes.quotes_long(wide, tickers)
 
 
+@query
+def quotes_many_tickers(spark: SparkSession, folder: str) -> DataFrame:
+    """Tickers taken from the columns of a wide table of many, as delivered."""
+    delivered = stored(src.many_quotes(spark, folder), "wide-quotes")
+    return quotes.quotes_long(delivered, fields={"High": "high", "Low": "low"})
+
+
 @query
 def quotes_attach_registry(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.attach_registry(
@@ -216,6 +299,18 @@ def null_fill(spark: SparkSession, folder: str) -> DataFrame:
     return filled.select("ID_Documento", "Situacao_Emissor", "Pais_Origem")
 
 
+@query
+def null_fill_by_type(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts, whole numbers and doubles with nulls and NaN, filled by column type."""
+    key = F.col("doc_id")
+    holes = src.table(spark, folder, "documents").select(
+        "doc_id", F.when(key % 3 != 0, F.col("lang")).alias("lang"), F.when(key % 4 != 0, F.col("source")).alias("source"),
+        F.when(key % 5 != 0, F.col("n_chars")).alias("n_chars"),
+        F.when(key % 7 == 0, float("nan")).when(key % 2 == 0, F.col("n_chars") / 4).alias("amt_quarter"),
+    )
+    return columns.fill_by_type(holes)
+
+
 @query
 def null_profile(spark: SparkSession, folder: str) -> DataFrame:
     return columns.null_profile(
@@ -468,6 +563,12 @@ def income_union(spark: SparkSession, folder: str) -> DataFrame:
     return quarters.income_union(*_income_pair(spark, folder))
 
 
+@query
+def income_union_legacy(spark: SparkSession, folder: str) -> DataFrame:
+    """The union that takes the older fourth quarter: eight amounts, no type."""
+    return quarters.income_union(*_income_pair(spark, folder), legacy=True)
+
+
 def _filings(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as filings: many ties per company and quarter."""
     day = F.col("l_shipdate").cast("date")

@@ -507,9 +507,15 @@ def last_quarter_legacy() -> str:
       from parts group by {IDS}"""
 
 
-def income_union() -> str:
+LEGACY_COLUMNS = [
+    "processed_at", "id_cvm", "id_cnpj", "txt_company_name", "dt_year", "dt_refer", "dt_ini_exerc",
+    "dt_fim_exerc", "dt_quarter", *sc.LEGACY_QUARTER_AMOUNTS,
+]
+
+
+def income_union(legacy: bool = False) -> str:
     first = "id_cnpj, dt_refer, dt_ini_exerc, dt_fim_exerc"
-    columns = sc.INCOME_KEYS + sc.INCOME_AMOUNTS
+    columns = LEGACY_COLUMNS if legacy else sc.INCOME_KEYS + sc.INCOME_AMOUNTS
     rest = [c for c in columns if c not in first.split(", ")]
     order = ", ".join(f"{c} nulls first" for c in rest)
     return f"""
@@ -517,7 +523,7 @@ def income_union() -> str:
         select *, count(id_cnpj) over (partition by id_cnpj, dt_year, dt_quarter
           order by dt_fim_exerc nulls first) as running
         from (select *, row_number() over (partition by {first} order by {order}) as rn
-          from ({last_quarter()})) where rn = 1)
+          from ({last_quarter_legacy() if legacy else last_quarter()})) where rn = 1)
       where running = 1"""
 
 
@@ -618,24 +624,24 @@ QUOTES = """
 
 REGISTRY = f"""
   select {cnpj('n_nationkey')} as id_cnpj, 'ORD' || s as id_ticker, s as ticker_list
-  from (select n_nationkey, case n_nationkey when 0 then 'F' else 'O' end as s from nation
-    where n_nationkey < 2)"""
+  from (select n_nationkey,
+      case n_nationkey when 0 then 'F' when 1 then 'O' else 'N' || n_nationkey end as s from nation)"""
 
 LINKED = f"select * from ({QUOTES}) left join ({REGISTRY}) using (ticker_list)"
 
 # --- registers ---------------------------------------------------------------
 
 COMPANIES = f"""
-  select {cnpj('s_suppkey')} as cnpj_companhia,
-    case when s_suppkey % 7 = 0 then null else day end as data_referencia,
-    cast(s_suppkey as varchar) as id_documento, '1' as versao, s_name as nome_empresarial,
-    day as data_constituicao, case when s_suppkey % 11 = 0 then null else day end as data_registro,
+  select {cnpj('doc_id')} as cnpj_companhia,
+    case when doc_id % 7 = 0 then null else day end as data_referencia,
+    cast(doc_id as varchar) as id_documento, '1' as versao, s_name as nome_empresarial,
+    day as data_constituicao, case when doc_id % 11 = 0 then null else day end as data_registro,
     'ATIVO' as situacao_registro, source as setor, text as descricao,
-    case when s_suppkey % 3 = 0 then 'Fase Operacional' end as situacao_emissor,
-    case when s_suppkey % 5 = 0 then null else 31 end as dia,
-    cast(1 + s_suppkey % 12 as integer) as mes, lang
-  from (select *, date '2000-01-01' + cast(s_suppkey % 3000 as integer) as day from supplier)
-  left join documents on doc_id = s_suppkey"""
+    case when doc_id % 3 = 0 then 'Fase Operacional' end as situacao_emissor,
+    case when doc_id % 5 = 0 then null else 31 end as dia,
+    cast(1 + doc_id % 12 as integer) as mes, lang
+  from (select *, date '2000-01-01' + cast(doc_id % 3000 as integer) as day from documents)
+  left join supplier on doc_id = s_suppkey"""
 
 KINDS = ", ".join(f"'{k}'" for k in SECURITY_KINDS)
 SECURITIES = f"""
@@ -724,6 +730,53 @@ def long_entities() -> str:
       join ({strength}) using (event_id)"""
 
 
+def lake_tables() -> str:
+    """Rows and amounts per table and year of the file."""
+    income, flow = list(INCOME_WHEN), list(CASH_WHEN)
+    sources = {
+        "dfp_dre": (wide("income", True), "dt_year", income),
+        "itr_dre": (wide("income", False), "dt_year", income),
+        "itr_dre_complete": (last_quarter(), "dt_year", income),
+        "dfp_bpa": (wide("assets", True), "dt_year", list(ASSETS_WHEN)),
+        "itr_bpa": (wide("assets", False), "dt_year", list(ASSETS_WHEN)),
+        "dfp_bpp": (wide("liabilities", True), "dt_year", list(LIABILITIES_WHEN)),
+        "itr_bpp": (wide("liabilities", False), "dt_year", list(LIABILITIES_WHEN)),
+        "dfp_dre_ds_conta": (typed("income", True), "dt_year", ["v"]),
+        "itr_dre_ds_conta": (typed("income", False), "dt_year", ["v"]),
+        "dfp_dfc": (flow_annual(), "dt_year", flow),
+        "itr_dfc": (flow_quarterly(PINNED), "dt_year", flow),
+        "itr_dfc_own_year": (flow_quarterly(OWN_YEAR), "dt_year", flow),
+        "itr_dfc_table": (flow_accounts(), "dt_year", ["a1", "a2", "a3", "a4"]),
+        "fca_aberta_geral": (COMPANIES, "year(data_constituicao)", []),
+        "fca_valor_mobiliario": (SECURITIES, "2020 + qty_version % 3", []),
+    }
+    return " union all ".join(
+        f"""
+      select '{name}' as table_name, cast({year} as integer) as dt_file_year, count(*) as n_rows,
+        cast(sum({' + '.join(['0', *[f'cast(coalesce({a}, 0) as decimal(20,2))' for a in amounts]])}) as double)
+          as amt_total
+      from ({source}) group by 2"""
+        for name, (source, year, amounts) in sources.items()
+    )
+
+
+def broken_lines() -> str:
+    """Lines that parse, and the text of those that do not, their amount left out."""
+    def shown(day: str) -> str:
+        return f"cast({day} as varchar)"
+
+    text = " || ';' || ".join([
+        "cnpj_cia", shown("dt_refer"), "case when cd_conta = '3.08' then 'v2' else '1' end", "denom_cia", "cd_cvm",
+        "'DF Consolidado'", "'REAL'", "escala_moeda", "ordem_exerc", shown("dt_ini_exerc"), shown("dt_fim_exerc"),
+        "cd_conta", "ds_conta", "case when cd_conta = '3.05' then 'n/d' else '' end", "'S'",
+    ])
+    bad = "cd_conta in ('3.05', '3.08')"
+    return f"""
+      with l as ({lines('income', False)})
+      select false as is_corrupt, cd_cvm, cd_conta, vl_conta, null as raw from l where not {bad}
+      union all select true, null, null, null, {text} from l where {bad}"""
+
+
 def sql() -> dict[str, str]:
     n = 20
     w = BAR_W
@@ -747,6 +800,25 @@ def sql() -> dict[str, str]:
         "price_append": f"select dt_date, id_ticker, amt_adj_close, qty_volume from ({PRICES})",
         "price_append_stream": """
           select event_id, user_id, event_type, value, cast(ts as date) as dt_date from events""",
+        "stream_dedupe_state": """
+          select event_id, user_id, event_type, value from events
+          where event_id % 3 <> 0 or ts >= (select max(ts) from events where event_id % 3 <> 0) - interval 1 day""",
+        "missing_years": f"""
+          select {', '.join(sc.INCOME_KEYS + sc.INCOME_AMOUNTS)} from ({wide('income', True)})
+          where dt_year in (1994, 1996)""",
+        "preprocess_lake": lake_tables(),
+        "scan_quarantine": broken_lines(),
+        "income_union_legacy": income_union(legacy=True),
+        "null_fill_by_type": """
+          select doc_id, case when doc_id % 3 <> 0 then coalesce(lang, '') else '' end as lang,
+            case when doc_id % 4 <> 0 then coalesce(source, '') else '' end as source,
+            case when doc_id % 5 <> 0 then coalesce(n_chars, 0) else 0 end as n_chars,
+            case when doc_id % 7 <> 0 and doc_id % 2 = 0 then coalesce(n_chars / 4, 0) else 0 end as amt_quarter
+          from documents""",
+        "quotes_many_tickers": """
+          select cast(cast(l_shipdate as date) as varchar) as date, 'T' || (l_suppkey % 250) as ticker_list,
+            max(l_extendedprice) as high, min(l_extendedprice) as low
+          from lineitem group by 1, 2""",
         "quotes_unpivot": QUOTES,
         "quotes_attach_registry": f"""
           select date, ticker_list, id_cnpj, id_ticker, adj_close from ({LINKED})""",
@@ -811,7 +883,7 @@ def sql() -> dict[str, str]:
         "register_company": f"""
           select regexp_replace(cnpj_companhia, '[./-]', '', 'g') as id_cnpj,
             data_referencia as dt_refer, id_documento as id_document, versao as qty_version,
-            lower(strip_accents(nome_empresarial)) as txt_company_name,
+            lower(strip_accents(coalesce(nome_empresarial, ''))) as txt_company_name,
             data_constituicao as dt_company_creation, data_registro as dt_cvm_register,
             lower(situacao_registro) as cat_cvm_register_situation,
             data_constituicao as dt_cvm_register_situation,

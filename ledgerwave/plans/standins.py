@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerwave.sources import lake, schemas
+from ledgerwave.sources.runs import Files
+
 # Account lines by statement; one list per kind of company (general, bank,
 # insurer, unclassifiable). The first entry of each decides the chart.
 ACCOUNTS: dict[str, list[list[tuple[str, str | None]]]] = {
@@ -269,26 +272,39 @@ def wide_quotes(spark: SparkSession, folder: str) -> tuple[DataFrame, list[str]]
     return daily, tickers
 
 
+def many_quotes(spark: SparkSession, folder: str, tickers: int = 250) -> DataFrame:
+    """Wide quotes of many tickers: suppliers in turn, two fields each."""
+    trades = table(spark, folder, "lineitem").groupBy(
+        F.col("l_shipdate").cast("date").cast("string").alias("Date"), (F.col("l_suppkey") % tickers).alias("t")
+    ).agg(F.max("l_extendedprice").alias("high"), F.min("l_extendedprice").alias("low"))
+    daily = trades.groupBy("Date").agg(
+        *[F.map_from_entries(F.collect_list(F.struct("t", c))).alias(c) for c in ("high", "low")]
+    )
+    columns = ["Date"] + [
+        f"{c}[cast({k} as bigint)] as `{name}|T{k}`" for k in range(tickers) for name, c in (("High", "high"), ("Low", "low"))
+    ]
+    return daily.selectExpr(*columns)
+
+
 def ticker_registry(spark: SparkSession, folder: str) -> DataFrame:
-    """Registry of two of the three quoted symbols."""
-    nation = table(spark, folder, "nation").filter(F.col("n_nationkey") < 2)
-    listed = F.element_at(F.array(F.lit("F"), F.lit("O")), F.col("n_nationkey") + 1)
-    return nation.select(
-        company_id(F.col("n_nationkey").cast("bigint")).alias("id_cnpj"),
+    """Registry of all nations; two of them are listed under quoted symbols."""
+    key = F.col("n_nationkey")
+    listed = F.when(key == 0, "F").when(key == 1, "O").otherwise(F.concat(F.lit("N"), key.cast("string")))
+    return table(spark, folder, "nation").select(
+        company_id(key.cast("bigint")).alias("id_cnpj"),
         F.concat(F.lit("ORD"), listed).alias("id_ticker"),
         listed.alias("ticker_list"),
     )
 
 
 def company_register(spark: SparkSession, folder: str) -> DataFrame:
-    """Register forms: one per supplier, with accented free text of documents."""
-    s = table(spark, folder, "supplier")
-    d = table(spark, folder, "documents").select(
-        F.col("doc_id").alias("s_suppkey"), "text", "lang", "source"
-    )
-    key = F.col("s_suppkey")
+    """Register forms: one per document, whose accented text it carries, with the
+    name of the supplier of that number where there is one."""
+    s = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("doc_id"), "s_name")
+    d = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    key = F.col("doc_id")
     day = F.date_add(F.lit("2000-01-01").cast("date"), (key % 3000).cast("int")).cast("string")
-    return s.join(d, "s_suppkey", "left").select(
+    return d.join(s, "doc_id", "left").select(
         company_id(key).alias("CNPJ_Companhia"),
         F.when(key % 7 == 0, "").otherwise(day).alias("Data_Referencia"),
         key.cast("string").alias("ID_Documento"),
@@ -337,3 +353,41 @@ def security_register(spark: SparkSession, folder: str, half: int | None = None)
         F.lit("2001-02-03").alias("Data_Inicio_Listagem"),
         F.when(key % 6 == 0, "2020-01-01").alias("Data_Fim_Listagem"),
     )
+
+
+RAW_STATEMENTS = {"dre": "income", "bpa": "assets", "bpp": "liabilities"}
+
+
+def raw_files(spark: SparkSession, folder: str, root: str) -> None:
+    """The published files of all kinds: one Latin-1 text file per kind and year,
+    named as ``lake.FILE_STEM`` says."""
+    made = {}
+    for annual, kind in ((False, "itr"), (True, "dfp")):
+        for part, statement in RAW_STATEMENTS.items():
+            made[f"{kind}_{part}"] = statement_lines(spark, folder, statement, annual)
+        filings = cash_flow_filings(spark, folder, annual)
+        fields = [f for f in schemas.STATEMENT_LINES.names]
+        made[f"{kind}_dfc"] = filings.select(
+            *[F.col(c) if c in filings.columns else F.lit("1").alias(c) for c in fields]
+        )
+    made = {k: df.withColumn("file_year", F.substring("DT_REFER", 1, 4)) for k, df in made.items()}
+    text = F.regexp_replace("Descricao_Atividade", "[\r\n]", " ")
+    made["fca_aberta_geral"] = company_register(spark, folder).withColumns({
+        "Descricao_Atividade": text, "file_year": F.substring("Data_Constituicao", 1, 4),
+    })
+    made["fca_valor_mobiliario"] = security_register(spark, folder).withColumn(
+        "file_year", F.concat(F.lit("202"), F.col("Versao").cast("int") % 3)
+    )
+    files = Files(spark, root)
+    for kind, df in made.items():
+        aside = f"{root}/_{kind}"
+        writer = df.hint("rebalance", F.col("file_year")).write.partitionBy("file_year")
+        (
+            writer.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .csv(aside)
+        )
+        for name in files.children(aside):
+            if name.startswith("file_year="):
+                year = name.removeprefix("file_year=")
+                files.move(f"{aside}/{name}", f"{root}/{lake.FILE_STEM[kind]}_{year}.csv")

@@ -56,6 +56,24 @@ def scan_delimited(
     return reader.csv(path)
 
 
+def scan_with_quarantine(
+    spark: SparkSession, path: str | list[str], schema: StructType, out: str
+) -> tuple[DataFrame, DataFrame]:
+    """Rows that parse and, apart from them, rows that do not: both outputs are
+    written by one scan of the text.
+
+    The first has the columns of ``schema``; the second the raw text of a row and the
+    name of its file. A row is set apart when it has too few or too many fields or a field
+    that does not fit its type.
+    """
+    df = scan_delimited(spark, path, schema, keep_corrupt=True)
+    kept = StructType([*schema.fields, StructField(CORRUPT, StringType()), StructField("file_name", StringType())])
+    marked = df.withColumn("file_name", F.col("_metadata.file_name"))
+    marked.withColumn("is_corrupt", F.col(CORRUPT).isNotNull()).write.partitionBy("is_corrupt").parquet(out)
+    good = read_existing(spark, f"{out}/is_corrupt=false", kept).select(*schema.names)
+    return good, read_existing(spark, f"{out}/is_corrupt=true", kept).select(CORRUPT, "file_name")
+
+
 def scan_delimited_text(
     spark: SparkSession, path: str | list[str], names: list[str] | None = None
 ) -> DataFrame:
