@@ -44,6 +44,15 @@ PARTNERS = 8
 STEPS = 400
 
 
+def _small_letters(part: bytes) -> bool:
+    """Whether all are small Latin letters below U+0250, each one code point, which
+    normalising leaves as they are."""
+    if part.isascii():
+        return part.isalpha() and part.islower()
+    text = part.decode("utf-8", "replace")
+    return text.isalpha() and max(text) < "\u0250" and text == text.lower()
+
+
 class PartIds(dict):
     """Ids (little-endian 32-bit, as bytes) of the parts of a text between blanks
     or line feeds.
@@ -56,14 +65,14 @@ class PartIds(dict):
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import WhitespaceSplit
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.tokenizer.token_to_id(MARK)
-        # Words of a-z alone need no normalising and no finer cut.
+        # Words of small Latin letters alone need no normalising and no finer cut.
         self.plain = Tokenizer.from_file(path)
         self.plain.normalizer = None
-        self.plain.pre_tokenizer = WhitespaceSplit()
+        self.plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         self.size = 0
 
     def of(self, texts: list[bytes]) -> list[bytes]:
@@ -113,10 +122,10 @@ class PartIds(dict):
 
     def _learn(self, parts: set[bytes]) -> None:
         # Letters and a punctuation mark behind them are tokens apart.
-        closed = {p for p in parts if len(p) > 1 and p[-1:] in CLOSING and p[:-1].isalpha() and p.isascii()}
+        closed = {p for p in parts if p[-1:] in CLOSING and _small_letters(p[:-1])}
         stems = ({p[:-1] for p in closed} | {p[-1:] for p in closed}) - self.keys()
         left = (parts - closed) | stems
-        letters = sorted(p for p in left if p.isalpha() and p.isascii())
+        letters = sorted(filter(_small_letters, left))
         special = [p for p in left if b"<|" in p]
         other = sorted(left.difference(letters, special))
         for tokenizer, some in ((self.plain, letters), (self.tokenizer, other)):

@@ -29,6 +29,19 @@ def plain_ids(text):
     return PLAIN.encode(text or "", add_special_tokens=False).ids + [1]
 
 
+@pytest.mark.parametrize("text", ["Hello <|endoftext|> World, Éa", "a<|x Big", "\u01c5 \u0130x \u0149a \u00df.", "e\u0301t É! ª º"])
+def test_ids_of_hard_cases(text):
+    (got,) = packing.PartIds(PATH).of([text.encode()])
+    assert np.frombuffer(got, "<u4").tolist() + [1] == plain_ids(text)
+
+
+def test_small_latin_letters_need_no_normalising():
+    letters = [chr(c) for c in range(0x250) if packing._small_letters(chr(c).encode())]
+    words = [a + b for a in letters for b in letters[::17]] + [a + "." for a in letters]
+    for word, got in zip(words, packing.PartIds(PATH).of([w.encode() for w in words])):
+        assert np.frombuffer(got, "<u4").tolist() + [1] == plain_ids(word)
+
+
 @given(st.text(st.sampled_from("aBé ñ\n\t\x0b ́İΣΑς12.,'s<|endoftext|>漢\x85  "), max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_ids_are_those_of_the_tokenizer(text):
