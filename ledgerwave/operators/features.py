@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerwave.operators.moving import Moving, SHORT_FRAME, add_moving
+from ledgerwave.operators.moving import Moving, add_moving
 from ledgerwave.operators.series import MAX_ROWS, Series, over_series
 
 
@@ -38,12 +38,8 @@ class Lag:
 
 @dataclass(frozen=True)
 class FrameSum:
-    """Sum of a non-negative expression over helpers, for the ``length`` rows
-    that end ``shift`` rows back.
-
-    Long sums are differences of a running total. Terms are never negative and
-    a zero leaves the total as it is, so a sum of zeros is exactly zero.
-    """
+    """Sum of an expression over helpers, for the ``length`` rows that end
+    ``shift`` rows back."""
 
     name: str
     term: str

@@ -1,13 +1,7 @@
-"""Moving statistics over row frames.
+"""Moving statistics over row frames of one window.
 
-A window frame of n rows recomputes its aggregate from n rows at every row, so
-long frames cost their length, per column. Long frames are therefore put
-together by doubling: from statistics of the last 1, 2, 4, 8 ... rows, each the
-merge of a half with the same half further back (a ``lag``), any frame is the
-merge of at most log2(n) + 1 of these. Every frame still adds up its own rows
-and no others, so nothing cancels, and minimum and maximum need two halves that
-may overlap. All windows share one partitioning and order: one exchange, one
-sort.
+All frames share one partitioning and order, so however many there are, the
+rows are exchanged once and sorted once.
 """
 
 from __future__ import annotations
@@ -18,13 +12,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerwave.operators.series import Series
 
-# Frames up to this many rows are cheapest as they are.
-SHORT_FRAME = 24
-
 _FUNCTIONS = {
     "avg": "avg", "std": "stddev_samp", "var": "var_samp", "min": "min", "max": "max",
 }
-_EXTREMES = {"min": "least", "max": "greatest"}
 
 
 @dataclass(frozen=True)
@@ -40,7 +30,7 @@ class Moving:
     def name(self) -> str:
         return f"_{self.measure}_{self.variable}_{self.length}_{self.shift}"
 
-    def as_frame(self, series: Series) -> str:
+    def sql(self, series: Series) -> str:
         first, last = self.length - 1 + self.shift, self.shift
         end = f"{last} preceding" if last else "current row"
         return (
@@ -51,111 +41,4 @@ class Moving:
 
 def add_moving(df: DataFrame, wanted: list[Moving], series: Series) -> DataFrame:
     """``df`` with one helper column per wanted statistic."""
-    wanted = list(dict.fromkeys(wanted))
-    short = [m for m in wanted if m.length <= SHORT_FRAME]
-    long = [m for m in wanted if m.length > SHORT_FRAME]
-    if long:
-        # The short ones come nearly free once the halves exist.
-        kinds = {(m.variable, m.measure in _EXTREMES) for m in long}
-        shared = [m for m in short if (m.variable, m.measure in _EXTREMES) in kinds]
-        short = [m for m in short if m not in shared]
-        df = _add_by_doubling(df, long + shared, series)
-    return df.withColumns({m.name: F.expr(m.as_frame(series)) for m in short}) if short else df
-
-
-def _lag(column: str, rows: int, series: Series, default: str | None) -> str:
-    if rows == 0:
-        return column
-    fallback = "" if default is None else f", {default}"
-    return f"lag({column}, {rows}{fallback}) over ({series.sql})"
-
-
-def _apart(count_a: str, sum_a: str, count_b: str, sum_b: str) -> str:
-    """What the distance of two means adds to the squared deviations."""
-    return (
-        f"coalesce(pow(({sum_b}) * ({count_a}) - ({sum_a}) * ({count_b}), 2) / "
-        f"nullif(({count_a}) * ({count_b}) * (({count_a}) + ({count_b})), 0D), 0D)"
-    )
-
-
-def _add_by_doubling(df: DataFrame, wanted: list[Moving], series: Series) -> DataFrame:
-    columns = df.columns
-    moments = {m.variable: 0 for m in wanted if m.measure not in _EXTREMES}
-    spread = {m.variable for m in wanted if m.measure in ("std", "var")}
-    extremes = {(m.measure, m.variable): 0 for m in wanted if m.measure in _EXTREMES}
-    for m in wanted:
-        if m.measure in _EXTREMES:
-            extremes[m.measure, m.variable] = max(extremes[m.measure, m.variable], m.length)
-        else:
-            moments[m.variable] = max(moments[m.variable], m.length)
-
-    # Level 0: the row itself. c counts non-nulls, s sums, q squared deviations.
-    level = {}
-    for v in moments:
-        level[f"_c0_{v}"] = F.expr(f"if({v} is null, 0D, 1D)")
-        level[f"_s0_{v}"] = F.expr(f"coalesce(cast({v} as double), 0D)")
-        if v in spread:
-            level[f"_q0_{v}"] = F.lit(0.0)
-    for measure, v in extremes:
-        level[f"_{measure}0_{v}"] = F.col(v)
-    df = df.withColumns(level)
-
-    top = max([*moments.values(), *extremes.values()]).bit_length() - 1
-    for k in range(top):
-        half, back, both = 2 ** k, {}, {}
-        for v, length in moments.items():
-            if length < 2 * half:
-                continue
-            for part in "csq" if v in spread else "cs":
-                now = f"_{part}{k}_{v}"
-                back[f"_b{now}"] = _lag(now, half, series, "0D")
-                both[f"_{part}{k + 1}_{v}"] = f"{now} + _b{now}"
-            if v in spread:
-                c, s = f"_c{k}_{v}", f"_s{k}_{v}"
-                both[f"_q{k + 1}_{v}"] += " + " + _apart(f"_b{c}", f"_b{s}", c, s)
-        for (measure, v), length in extremes.items():
-            if length < 2 * half:
-                continue
-            now = f"_{measure}{k}_{v}"
-            back[f"_b{now}"] = _lag(now, half, series, None)
-            both[f"_{measure}{k + 1}_{v}"] = f"{_EXTREMES[measure]}({now}, _b{now})"
-        df = (
-            df.withColumns({n: F.expr(e) for n, e in back.items()})
-            .withColumns({n: F.expr(e) for n, e in both.items()})
-            .drop(*back)
-        )
-
-    pieces, results = {}, {}
-
-    def piece(part: str, k: int, v: str, back: int, default: str | None) -> str:
-        name = f"_p_{part}{k}_{v}_{back}"
-        pieces[name] = _lag(f"_{part}{k}_{v}", back, series, default)
-        return name
-
-    for m in wanted:
-        if m.measure in _EXTREMES:
-            k = m.length.bit_length() - 1
-            near = piece(m.measure, k, m.variable, m.shift, None)
-            far = piece(m.measure, k, m.variable, m.shift + m.length - 2 ** k, None)
-            results[m.name] = f"{_EXTREMES[m.measure]}({near}, {far})" if near != far else near
-            continue
-        counts, sums, deviations, back = [], [], [], m.shift
-        for k in reversed(range(m.length.bit_length())):
-            if not m.length >> k & 1:
-                continue
-            c, s = (piece(p, k, m.variable, back, "0D") for p in "cs")
-            if m.measure != "avg":
-                deviations.append(piece("q", k, m.variable, back, "0D"))
-                if counts:
-                    deviations.append(_apart(" + ".join(counts), " + ".join(sums), c, s))
-            counts.append(c)
-            sums.append(s)
-            back += 2 ** k
-        n, total = f"({' + '.join(counts)})", f"({' + '.join(sums)})"
-        variance = f"({' + '.join(deviations)}) / nullif(greatest({n} - 1D, 0D), 0D)"
-        results[m.name] = {
-            "avg": f"{total} / nullif({n}, 0D)", "var": variance, "std": f"sqrt({variance})",
-        }[m.measure]
-
-    df = df.withColumns({n: F.expr(e) for n, e in pieces.items()})
-    return df.select(*columns, *[F.expr(e).alias(n) for n, e in results.items()])
+    return df.withColumns({m.name: F.expr(m.sql(series)) for m in dict.fromkeys(wanted)})
