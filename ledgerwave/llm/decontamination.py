@@ -3,29 +3,28 @@
 Texts are sequences of words. Of every SPAN consecutive words, winnowing keeps
 the smallest hash among their GRAM-word grams, so two texts that share SPAN
 words keep one hash in common: joining the kept hashes of documents with those of
-benchmark items finds every shared span. A hit is then extended: all spans of the
-document that cover the matched gram are compared, word for word, with the items'
-spans. Items shorter than SPAN words are looked for whole.
+benchmark items finds every shared span. A first scan carries hashes alone, and
+the number of words; only documents with a hash in common are read again. Their
+hits are extended: all spans that cover the matched gram are compared, word for
+word, with the items' spans. Items shorter than SPAN words are looked for whole.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerwave.llm.common import (
-    NOT_TERM, TERM_ANY_CASE, lower_ascii, maybe_broadcast, text_key, words,
-)
+from ledgerwave.llm.common import NOT_TERM, lower_ascii, maybe_broadcast, text_key, words
 from ledgerwave.session import stored
 
 SPAN = 10  # words of a window
 GRAM = 5  # words of a gram; a window holds SPAN - GRAM + 1 of them
 
 
-def _grams(terms: str, gram: int) -> Column:
-    """Hash of every ``gram`` consecutive words."""
-    parts = ", ".join(f"h[i + {j}]" for j in range(gram))
+def _grams(hashes: str, gram: int) -> Column:
+    """Hash of every ``gram`` consecutive words, from the hashes of words."""
+    parts = ", ".join(f"{hashes}[i + {j}]" for j in range(gram))
     return F.expr(
-        f"if(size({terms}) < {gram}, array(), transform(sequence(0, size({terms}) - {gram}), i -> xxhash64({parts})))"
+        f"if(size({hashes}) < {gram}, array(), transform(sequence(0, size({hashes}) - {gram}), i -> xxhash64({parts})))"
     )
 
 
@@ -42,14 +41,21 @@ def _kept(span: int, gram: int) -> Column:
     return F.expr(f"if(size(g) < {grams}, array(), array_distinct({places}))")
 
 
+def _winnowed(texts: DataFrame, ids: list[str], span: int, gram: int) -> DataFrame:
+    """ids, terms, g (gram hashes), kept (places of those that winnowing keeps)."""
+    return (
+        texts.select(*ids, "terms", F.transform("terms", lambda w: F.xxhash64(w)).alias("h"))
+        .select(*ids, "terms", _grams("h", gram).alias("g"))
+        .select(*ids, "terms", "g", _kept(span, gram).alias("kept"))
+    )
+
+
 def _seeds(texts: DataFrame, ids: list[str], span: int, gram: int) -> DataFrame:
     """ids, seed, at, near: kept hashes with the words around them; ``at`` is the
     position of the first of these words."""
     back = span - gram
     return (
-        texts.select(*ids, "terms", F.transform("terms", lambda w: F.xxhash64(w)).alias("h"))
-        .select(*ids, "terms", _grams("terms", gram).alias("g"))
-        .select(*ids, "terms", "g", _kept(span, gram).alias("kept"))
+        _winnowed(texts, ids, span, gram)
         .select(*ids, F.explode(F.expr(
             f"transform(kept, p -> struct(g[p] as seed, greatest(p - {back}, 0) as at, p,"
             f" slice(terms, greatest(p - {back}, 0) + 1, p + {span} - greatest(p - {back}, 0)) as near))"
@@ -58,6 +64,18 @@ def _seeds(texts: DataFrame, ids: list[str], span: int, gram: int) -> DataFrame:
     )
 
 
+def _first_pass(texts: DataFrame, ids: list[str], seeds: DataFrame, span: int, gram: int) -> DataFrame:
+    """ids, n_words, one row per row of ``texts``, and ids, null where a text holds
+    a seed: one scan that carries hashes alone."""
+    # The row that counts words has a hash too, spread like the others.
+    own = F.expr(f"struct(cast(size(terms) as bigint) as n_words, xxhash64({', '.join(ids)}) as seed)")
+    kept = F.expr("transform(kept, p -> struct(cast(null as bigint) as n_words, g[p] as seed))")
+    rows = _winnowed(texts, ids, span, gram).select(*ids, F.explode(F.concat(F.array(own), kept)).alias("s"))
+    known = maybe_broadcast(seeds).withColumnRenamed("seed", "known")
+    met = rows.select(*ids, "s.*").join(known, F.col("seed") == F.col("known"), "left")
+    return met.where("n_words is not null or known is not null").select(*ids, "n_words")
+
+
 def _spans(seeds: DataFrame, ids: list[str], span: int) -> DataFrame:
     """Every whole span that covers a seed: ids, start, words."""
     found = F.expr(
@@ -76,18 +94,14 @@ def _whole(texts: DataFrame, ids: list[str], length: int) -> DataFrame:
     return texts.select(*ids, F.explode(runs).alias("w")).select(*ids, "w.*")
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """doc_id, key (hash of the text), n_hit, items for every document of
-    ``docs`` (doc_id, text) that holds a window of ``benchmark`` (item_id, text).
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        "doc_id", text_key(F.col("text")).alias("key"), words(lower_ascii(F.col("text")), NOT_TERM).alias("terms")
+    )
 
-    Words are runs of a-z, 0-9 and
-    characters beyond ASCII, A-Z lower-cased. A word of a document is hit when
-    it lies in an occurrence of ``span`` consecutive words of an item, or of a
-    whole item that has fewer. Null or empty texts have no words and no hits.
-    Items without an id hit words but cannot be listed; an id that repeats is
-    one item. Rows of ``docs`` that repeat doc_id and text are one document.
-    Without items, or without documents, the result is empty.
-    """
+
+def _scanned(docs: DataFrame, benchmark: DataFrame, span: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """Word counts (doc_id, key, n_words) per row of ``docs``, and what ``hits`` returns."""
     items = stored(
         benchmark.select(
             F.col("item_id").cast("string").alias("item_id"),
@@ -95,11 +109,6 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GR
         ).where("size(terms) > 0"),
         "items",
     )
-    texts = docs.select(
-        "doc_id",
-        text_key(F.col("text")).alias("key"),
-        words(lower_ascii(F.col("text")), NOT_TERM).alias("terms"),
-    )
     ids = ["doc_id", "key"]
     length = F.least(F.size("terms"), F.lit(span))
     # Every window of the items once, with the items that hold it.
@@ -114,12 +123,19 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GR
     seeds = stored(
         _seeds(items.where(F.size("terms") >= span), ["item_id"], span, gram).select("seed").distinct(), "item-seeds"
     )
-    spans = _spans(_seeds(texts, ids, span, gram).join(maybe_broadcast(seeds), "seed", "left_semi"), ids, span)
+    scanned = stored(_first_pass(_texts(docs), ids, seeds, span, gram), "scanned")
+    # Only texts that hold a seed are cut into spans.
+    holding = stored(scanned.where("n_words is null").select(*ids).distinct(), "holding")
+    h = maybe_broadcast(holding).withColumnsRenamed({"doc_id": "held_id", "key": "held_key"})
+    candidates = docs.join(
+        h, docs["doc_id"].eqNullSafe(h["held_id"]) & text_key(docs["text"]).eqNullSafe(h["held_key"]), "left_semi"
+    )
+    spans = _spans(_seeds(_texts(candidates), ids, span, gram).join(maybe_broadcast(seeds), "seed", "left_semi"), ids, span)
     # At most span - 1 lengths.
     short = [r[0] for r in windows.where(F.col("length") < span).select("length").distinct().collect()]
     for n in sorted(short):
-        spans = spans.unionByName(_whole(texts, ids, n))
-    return (
+        spans = spans.unionByName(_whole(_texts(docs), ids, n))
+    found = (
         spans.join(maybe_broadcast(windows), "words")
         .groupBy(*ids)
         .agg(
@@ -132,18 +148,30 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GR
             "items",
         )
     )
+    return scanned.where("n_words is not null"), found
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """doc_id, key (hash of the text), n_hit, items for every document of
+    ``docs`` (doc_id, text) that holds a window of ``benchmark`` (item_id, text).
+
+    Words are runs of a-z, 0-9 and
+    characters beyond ASCII, A-Z lower-cased. A word of a document is hit when
+    it lies in an occurrence of ``span`` consecutive words of an item, or of a
+    whole item that has fewer. Null or empty texts have no words and no hits.
+    Items without an id hit words but cannot be listed; an id that repeats is
+    one item. Rows of ``docs`` that repeat doc_id and text are one document.
+    Without items, or without documents, the result is empty.
+    """
+    return _scanned(docs, benchmark, span, gram)[1]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items, items (ids
     as text, sorted), contaminated; cases as in ``hits``. Rows that repeat doc_id
     and text get the same result each."""
-    found = hits(docs, benchmark, span, gram).withColumnsRenamed({"doc_id": "hit_id", "key": "hit_key"})
-    counted = docs.select(
-        "doc_id",
-        text_key(F.col("text")).alias("key"),
-        F.coalesce(F.regexp_count("text", F.lit(TERM_ANY_CASE)), F.lit(0)).cast("long").alias("n_words"),
-    )
+    counted, found = _scanned(docs, benchmark, span, gram)
+    found = found.withColumnsRenamed({"doc_id": "hit_id", "key": "hit_key"})
     met = counted.join(
         found, F.col("doc_id").eqNullSafe(F.col("hit_id")) & F.col("key").eqNullSafe(F.col("hit_key")), "left"
     )
