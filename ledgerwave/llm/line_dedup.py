@@ -63,34 +63,41 @@ def covered_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
     )
 
 
-def deduplicate_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
+def deduplicate_lines(
+    docs: DataFrame, lines: int = LINES, names: tuple[str, str] = ("n_lines", "gone")
+) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any others) with ``text`` freed of
-    repeated passages, plus ``n_lines`` and ``gone`` (line positions from 0).
+    repeated passages, plus two columns called by ``names``: number of lines, and
+    line positions that went, from 0. Columns of ``docs`` with these names give way.
 
     A line goes when it lies in a later occurrence of ``lines`` consecutive
     non-blank lines; the first occurrence, by doc_id (nulls last) and position,
     stays whole, also where it overlaps later ones. Documents with fewer
     non-blank lines keep all. Null text stays null and has no lines. Rows that
-    repeat doc_id and text are one document and get the same result each.
+    repeat doc_id and text are one document and get the same result each. Texts
+    are split once, however many lines they keep.
     """
-    gone = covered_lines(docs, lines).withColumnsRenamed({"doc_id": "gone_id", "key": "gone_key", "gone": "gone_lines"})
-    others = [c for c in docs.columns if c not in ("n_lines", "gone", "gone_id", "gone_key", "gone_lines")]
-    met = docs.select(others).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & text_key(F.col("text")).eqNullSafe(F.col("gone_key")), "left"
+    gone = covered_lines(docs, lines).select(
+        F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"), F.col("gone").alias("gone_lines")
     )
-    kept = F.array_join(
-        F.transform(
-            F.array_except(F.sequence(F.lit(0), F.size(_lines()) - 1), F.col("gone_lines")),
-            lambda i: F.get(_lines(), i),
-        ),
-        "\n",
+    others = [c for c in docs.columns if c not in names]
+    # The row travels as one column, so no name of its own can clash.
+    rows = docs.select(
+        F.struct(*others).alias("row"), F.col("doc_id").alias("id"), text_key(F.col("text")).alias("key"),
+        F.when(F.col("text").isNotNull(), _lines()).alias("lines"),
+    )
+    met = rows.join(
+        gone, F.col("id").eqNullSafe(F.col("gone_id")) & F.col("key").eqNullSafe(F.col("gone_key")), "left"
+    )
+    # ``lines`` is a column by now: a line is read by its place, not split anew.
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone_lines"))
+    kept = F.array_join(F.transform(places, lambda i: F.get(F.col("lines"), i)), "\n")
+    text = F.when(F.col("gone_lines").isNull(), F.col("row.text")).otherwise(kept)
+    return met.select(
+        *[(text if c == "text" else F.col("row").getField(c)).alias(c) for c in others],
+        F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias(names[0]),
+        F.coalesce("gone_lines", F.array().cast("array<int>")).alias(names[1]),
     )
-    out = met.withColumns({
-        "text": F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(kept),
-        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines())).cast("long"),
-        "gone": F.coalesce("gone_lines", F.array().cast("array<int>")),
-    })
-    return out.select(*others, "n_lines", "gone")
 
 
 OP6_SQL = r"""

@@ -1,20 +1,24 @@
 """Mix sources to target weights by Sainte-Lague apportionment of equal blocks.
 
 Each source's documents are dealt into shards of about a million words, so that
-a source with a third of all rows is many groups, none of them large. Inside a
-shard the documents are laid end to end in a seeded order and cut into blocks of
-equal length. Blocks are seats, targets are votes: a (source, shard) pair holds
-one seat for every quotient votes / (2 j + 1) that reaches half a block, which is
-Sainte-Lague with the block length as common divisor, in whole numbers. Seeded
-hashes then choose which blocks fill the quota. Targets above the size of a source
-take its shards whole first; no block is taken more often than targets allow.
+a source with a third of all rows is many groups, none of them large. Targets are
+votes, shared among the shards of a source by size. The number of seats is that of
+the mix. Every (source, shard) first gets the seats that its votes pay for in full:
+blocks of BLOCK words, then single words. The seats that are left go one each to the
+highest quotients votes / (2 j + 1), j the seats held, among all pairs that may
+take one more. That makes a whole quota of words per shard, within a word of its
+votes, and a mix of exactly its size.
+
+Inside a shard the documents are laid end to end in a seeded order and cut into
+blocks. Quotas above the size of a shard take it whole first; for the rest blocks
+are taken in the order of a seeded hash, the last one in part.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerwave.llm.common import NOT_SPACES
+from ledgerwave.llm.common import NOT_SPACES, maybe_broadcast
 from ledgerwave.llm.ordered import with_running
 from ledgerwave.session import stored
 
@@ -26,13 +30,6 @@ SHARD = 1_000_000
 SEED = "mix-1"
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    on = F.lit(True)
-    for n in names:
-        on = on & left[n].eqNullSafe(right[n])
-    return on
-
-
 def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
     """source, source_size, target: the level at which the capped shares of all
     sources add up to the mix, found from running sums of caps and weights in
@@ -69,6 +66,33 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, repe
     return filled.select("source", "source_size", target.alias("target"))
 
 
+def source_key() -> Column:
+    """Sources as keys of joins and windows, null included."""
+    return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
+
+
+def shard_quotas(shards: DataFrame, words: int, repeats: int = REPEATS) -> DataFrame:
+    """key, shard, quota: the words that the mix of ``words`` takes from every shard.
+
+    ``shards`` has key, shard, shard_size, source_size and target.
+    """
+    votes = F.col("target") * F.col("shard_size") / F.col("source_size")
+    paid = stored(
+        shards.withColumn("votes", votes).withColumn("held", F.floor("votes")), "paid"
+    )
+    left = words - (paid.agg(F.sum("held")).first()[0] or 0)
+    more = paid.where((F.col("held") < F.col("votes")) & (F.col("held") < repeats * F.col("shard_size")))
+    quotient = F.col("votes") / (2 * F.col("held") + 1)
+    ranked = with_running(
+        more.select("key", "shard", quotient.alias("quotient")),
+        [F.desc("quotient"), F.col("key"), F.col("shard")], {"place": F.lit(1)},
+    )
+    won = ranked.where(F.col("place") < left).select("key", "shard", F.lit(1).alias("won"))
+    return paid.join(won, ["key", "shard"], "left").select(
+        "key", "shard", (F.col("held") + F.coalesce("won", F.lit(0))).alias("quota")
+    )
+
+
 def mix(
     docs: DataFrame,
     weights=WEIGHTS,
@@ -77,86 +101,66 @@ def mix(
     block: int = BLOCK,
     shard: int = SHARD,
     seed: str = SEED,
-    carry: tuple[str, ...] = (),
+    keyed: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, source, size,
-    source_size, target, taken.
+    source_size, target, taken; with ``keyed`` also text_key, a hash of the text.
 
     ``taken`` counts words that the mix takes from the document, repeats
     included, from 0 to ``repeats`` times its size; null or empty texts have
-    size and taken 0. A null source is a source of its own and comes last. Rows
+    size and taken 0. The words taken from a source differ from its target by less
+    than one per shard. A null source is a source of its own and comes last. Rows
     that repeat a doc_id are separate documents. Choices depend on the seed and
-    the rows alone. Without rows the result is empty. Columns named in ``carry``
-    go along.
+    the rows alone. Other columns are left alone. Without rows the result is empty.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(NOT_SPACES)), F.lit(0)).cast("long")
-    sized = stored(docs.select("doc_id", "source", size.alias("size"), *carry), "sizes")
+    own = [F.xxhash64("text").alias("text_key")] if keyed else []
+    sized = stored(docs.select("doc_id", F.col("source").cast("string"), size.alias("size"), *own), "sizes")
     targets = stored(source_targets(sized, weights, share, repeats), "targets")
+    total = targets.agg(F.sum("source_size")).first()[0] or 0
+    words = int(min(share, repeats) * total + 0.5)
 
-    t = targets.withColumnRenamed("source", "of")
-    rows = sized.join(t, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    some = rows.where("size > 0")
-    name = F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    draw = F.md5(name)
+    t = maybe_broadcast(targets.select(source_key().alias("key"), "source_size", "target"))
+    rows = sized.withColumn("key", source_key()).join(t, "key")
+    draw = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     shards = F.ceil(F.col("source_size") / shard).cast("long")
-    placed = some.withColumns({
-        "draw": draw,
-        "shard": F.conv(F.substring(draw, 25, 8), 16, 10).cast("long") % shards,
-    })
-    order = Window.partitionBy("source", "shard").orderBy("draw", "doc_id", "size")
-    placed = placed.withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    placed = placed.withColumn("start", F.col("end") - F.col("size")).drop("draw")
-
-    # Rounds in which a shard is taken whole, quotas and chosen blocks of the rest.
-    votes = F.col("target") * F.col("shard_size") / F.col("source_size")
-    rounds = F.floor(votes / F.col("shard_size"))
-    quota = F.floor((votes - F.col("rounds") * F.col("shard_size")) / block + 0.5)
-    cut = (
-        placed.groupBy("source", "shard", "source_size", "target")
-        .agg(F.sum("size").alias("shard_size"))
-        .withColumn("rounds", rounds)
-        .select(
-            "source", "shard", "rounds", quota.alias("quota"), F.expr(f"shard_size div {block}").alias("whole"),
-            F.explode(F.expr(f"sequence(0L, (shard_size - 1) div {block})")).alias("block"),
-        )
+    dealt = stored(
+        rows.where("size > 0").withColumn("draw", draw)
+        .withColumn("shard", F.conv(F.substring("draw", 25, 8), 16, 10).cast("long") % shards),
+        "dealt",
     )
-    ticket = F.md5(F.concat_ws(
-        "|", F.lit(seed), F.coalesce("source", F.lit("null")), F.col("shard").cast("string"), F.col("block").cast("string")
-    ))
-    # The shorter block at the end of a shard comes last.
-    by_ticket = Window.partitionBy("source", "shard").orderBy(F.col("block") >= F.col("whole"), "ticket", "block")
-    chosen = (
-        cut.withColumn("ticket", ticket)
-        .withColumn("turn", F.row_number().over(by_ticket))
-        .select(
-            F.col("source").alias("b_source"),
-            F.col("shard").alias("b_shard"),
-            "block",
-            (F.col("rounds") + (F.col("turn") <= F.col("quota")).cast("long")).alias("times"),
-        )
-        .where("times > 0")
+    sizes = dealt.groupBy("key", "shard").agg(
+        F.sum("size").alias("shard_size"), F.first("source_size").alias("source_size"), F.first("target").alias("target")
     )
+    quotas = stored(shard_quotas(stored(sizes, "shards"), words, repeats), "quotas")
+
+    # From here on everything happens inside (key, shard): one exchange.
+    laid = Window.partitionBy("key", "shard").orderBy("draw", "doc_id", "size")
+    placed = dealt.join(maybe_broadcast(quotas), ["key", "shard"]).withColumns({
+        "end": F.sum("size").over(laid.rowsBetween(Window.unboundedPreceding, 0)),
+        "nth": F.row_number().over(laid),
+        "shard_size": F.sum("size").over(Window.partitionBy("key", "shard")),
+    }).withColumn("start", F.col("end") - F.col("size"))
     pieces = placed.withColumn(
         "block", F.explode(F.expr(f"sequence(start div {block}, (end - 1) div {block})"))
     )
-    words = F.least(F.col("end"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
-    # Blocks grow with the input, though the planner sees only their short ranges.
-    met = pieces.join(
-        chosen.withColumnRenamed("block", "b_block").hint("merge"),
-        F.col("source").eqNullSafe(F.col("b_source"))
-        & (F.col("shard") == F.col("b_shard"))
-        & (F.col("block") == F.col("b_block")),
-        "left",
-    )
-    taken = met.groupBy("source", "shard", "start").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("size").alias("size"),
-        F.first("source_size").alias("source_size"),
-        F.first("target").alias("target"),
-        *[F.first(c).alias(c) for c in carry],
-        F.sum(words * F.coalesce("times", F.lit(0))).alias("taken"),
+    ticket = F.md5(F.concat_ws(
+        "|", F.lit(seed), F.coalesce("source", F.lit("null")), F.col("shard").cast("string"), F.col("block").cast("string")
+    ))
+    # The shorter block at the end of a shard comes last.
+    short = F.col("block") >= F.floor(F.col("shard_size") / block)
+    turns = Window.partitionBy("key", "shard").orderBy(short, ticket, "block")
+    ranked = pieces.withColumn("turn", F.dense_rank().over(turns) - 1)
+    first, last = F.greatest("start", F.col("block") * block), F.least("end", (F.col("block") + 1) * block)
+    rounds, rest = F.floor(F.col("quota") / F.col("shard_size")), F.col("quota") % F.col("shard_size")
+    # Words of the block that its turn reaches: all, some from its start, or none.
+    reached = F.least(F.lit(block), F.greatest(F.lit(0), rest - F.col("turn") * block))
+    part = F.greatest(F.lit(0), F.least(last, F.col("block") * block + reached) - first)
+    taken = ranked.groupBy("key", "shard", "nth").agg(
+        *[F.first(c).alias(c) for c in ("doc_id", "source", "size", "source_size", "target", *(["text_key"] if keyed else []))],
+        F.sum(rounds * (last - first) + part).cast("long").alias("taken"),
     )
-    columns = ["doc_id", "source", *carry, "size", "source_size", "target", "taken"]
+    columns = ["doc_id", "source", *(["text_key"] if keyed else []), "size", "source_size", "target", "taken"]
     return taken.select(columns).unionByName(
         rows.where("size = 0").withColumn("taken", F.lit(0).cast("long")).select(columns)
     )
@@ -196,21 +200,28 @@ c as (
   select source, shard, sum(size)::bigint as shard_size,
     any_value(target) * sum(size)::double / any_value(source_size) as votes
   from o group by source, shard),
-b as (
-  select source, shard, floor(votes / shard_size)::bigint as rounds, votes, shard_size,
-    unnest(range((shard_size - 1) // {BLOCK} + 1)) as block from c),
-k as (
-  select source, shard, block, rounds + case when row_number() over (
-      partition by source, shard order by block >= shard_size // {BLOCK},
-        md5('{SEED}|' || coalesce(source, 'null') || '|' || shard || '|' || block), block)
-    <= floor((votes - rounds * shard_size) / {BLOCK} + 0.5) then 1 else 0 end as times
-  from b),
+-- Highest quotients: whole seats first, the rest of the mix by rank.
+seats as (
+  select *, floor(votes)::bigint + case when floor(votes) < votes and floor(votes) < 2 * shard_size
+    and row_number() over (partition by floor(votes) < votes and floor(votes) < 2 * shard_size
+      order by votes / (2 * floor(votes) + 1) desc, coalesce('s' || source, 'n'), shard)
+    <= (select floor(1.5 * sum(source_size) + 0.5) from w) - sum(floor(votes)) over () then 1 else 0 end as quota
+  from c),
+-- Every word by itself: its block, and how often the quota comes round to it.
+words as (
+  select source, shard, doc_id, stop, size, unnest(range(stop - size, stop)) as pos from o),
+turns as (
+  select source, shard, block, shard_size, quota, row_number() over (partition by source, shard
+    order by block >= shard_size // {BLOCK}, md5('{SEED}|' || coalesce(source, 'null') || '|' || shard || '|' || block), block) - 1 as turn
+  from (select *, unnest(range((shard_size - 1) // {BLOCK} + 1)) as block from seats)),
 x as (
-  select *, unnest(range((stop - size) // {BLOCK}, (stop - 1) // {BLOCK} + 1)) as block from o)
-select doc_id, any_value(size) as size, any_value(source_size) as source_size, any_value(target) as target,
-  cast(sum((least(stop, (x.block + 1) * {BLOCK}) - greatest(stop - size, x.block * {BLOCK})) * times) as bigint) as taken
-from x join k on x.source is not distinct from k.source and x.shard = k.shard and x.block = k.block
-group by x.source, x.shard, stop, doc_id
+  select words.source, words.shard, stop, doc_id,
+    sum(quota // shard_size + case when turn * {BLOCK} + pos % {BLOCK} < quota % shard_size then 1 else 0 end) as taken
+  from words join turns on words.source is not distinct from turns.source and words.shard = turns.shard
+    and words.pos // {BLOCK} = turns.block
+  group by all)
+select o.doc_id, o.size, o.source_size, o.target, cast(x.taken as bigint) as taken
+from o join x on o.source is not distinct from x.source and o.shard = x.shard and o.stop = x.stop
 union all
 select doc_id, size, source_size, target, 0 from p where size = 0
 """
