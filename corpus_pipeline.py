@@ -30,12 +30,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later occurrences of passages; those of which nothing
     is left go. ``n_chars`` follows the text."""
-    done = line_dedup.deduplicate_lines(docs)
-    left = done.where((F.size("gone") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    names = ("lines_of_", "lines_gone_")
+    done = line_dedup.deduplicate_lines(docs, names=names)
+    gone = F.size(names[1])
+    left = done.where((gone == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         left = left.withColumn(
-            "n_chars", F.when(F.size("gone") == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind))
+            "n_chars", F.when(gone == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind))
         )
     return left.select(docs.columns)
 
@@ -48,11 +50,12 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     kept = docs.join(maybe_broadcast(members), "doc_id", "left_anti").select(docs.columns)
     again = stored(groups.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "again")
     single = kept.join(maybe_broadcast(again), "doc_id", "left_anti").select(docs.columns)
-    order = Window.partitionBy("doc_id").orderBy(text_key(F.col("text")))
+    # Of rows that repeat a doc_id the smallest by text; the row travels as one column.
+    order = Window.partitionBy("doc_").orderBy("key_")
     repeated = kept.join(maybe_broadcast(again), "doc_id", "left_semi").select(
-        *docs.columns, F.row_number().over(order).alias("turn_")
-    )
-    return single.unionByName(repeated.where("turn_ = 1").select(docs.columns))
+        F.struct(*docs.columns).alias("row_"), F.col("doc_id").alias("doc_"), text_key(F.col("text")).alias("key_")
+    ).withColumn("turn_", F.row_number().over(order))
+    return single.unionByName(repeated.where("turn_ = 1").select("row_.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,19 +68,21 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which the mix takes words, with size, source_size, target
     and taken (words, repeats counted). Copies that agree in doc_id and text get
     their mean, rounded up."""
-    keyed = docs.withColumn("key_", text_key(F.col("text")))
-    taken = mixing.mix(keyed, carry=("key_",)).where("taken > 0")
-    per_doc = taken.groupBy(F.col("doc_id").alias("id_"), F.col("key_").alias("of_")).agg(
+    taken = mixing.mix(docs, keyed=True).where("taken > 0")
+    per_doc = taken.groupBy(F.col("doc_id").alias("id_"), F.col("text_key").alias("of_")).agg(
         F.first("size").alias("size"), F.first("source_size").alias("source_size"),
         F.first("target").alias("target"), F.ceil(F.avg("taken")).cast("long").alias("taken"),
     )
     new = ["size", "source_size", "target", "taken"]
     keep = [c for c in docs.columns if c not in new]
-    left = keyed.select(*keep, "key_")
+    # The row travels as one column, so no name of its own can clash.
+    left = docs.select(
+        F.struct(*keep).alias("row_"), F.col("doc_id").alias("doc_"), F.xxhash64("text").alias("key_")
+    )
     met = left.join(
-        per_doc, F.col("doc_id").eqNullSafe(F.col("id_")) & F.col("key_").eqNullSafe(F.col("of_"))
+        per_doc, F.col("doc_").eqNullSafe(F.col("id_")) & F.col("key_").eqNullSafe(F.col("of_"))
     )
-    return met.select(*keep, *new)
+    return met.select("row_.*", *new)
 
 
 STAGES = [
