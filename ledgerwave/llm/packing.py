@@ -17,6 +17,7 @@ sequence length alone.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,25 +33,21 @@ VOCABULARY = "word_bpe_49k.json"
 
 # Bounds of the cache of a worker: parts of texts, bytes of parts and ids; and of
 # the text that is worked on at a time.
-CACHED = 1_200_000
+CACHED = 800_000
 CACHED_BYTES = 64_000_000
 STRETCH = 2_000_000
 TOGETHER = 5_000  # parts in one call of the tokenizer
 MARK = "<|endoftext|>"
-CLOSING = (b".", b",", b";", b":", b"!", b"?")
 
 # Partners tried per length in patterns of three and four, steps of the fit.
 PARTNERS = 8
 STEPS = 400
 
 
-def _small_letters(part: bytes) -> bool:
-    """Whether all are small Latin letters below U+0250, each one code point, which
-    normalising leaves as they are."""
-    if part.isascii():
-        return part.isalpha() and part.islower()
-    text = part.decode("utf-8", "replace")
-    return text.isalpha() and max(text) < "\u0250" and text == text.lower()
+# Small Latin letters of one code point each, which normalising leaves as they are.
+SMALL = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c == c.lower())
+# A word of them, with at most one punctuation mark behind it: tokens apart.
+_WORD = re.compile(f"([{SMALL}]+)([.,;:!?])?")
 
 
 class PartIds(dict):
@@ -69,10 +66,16 @@ class PartIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self.tokenizer.token_to_id(MARK)
-        # Words of small Latin letters alone need no normalising and no finer cut.
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = None
+        # Words of small letters alone need no normalising and no finer cut. Where
+        # the vocabulary marks the last token of a word, that parts their ids.
+        model = self.tokenizer.model
+        self.plain = Tokenizer(model)
         self.plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = model.end_of_word_suffix or None
+        names = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(names.values(), default=0) + 1, bool)
+        if suffix:
+            self.last[[i for name, i in names.items() if name.endswith(suffix)]] = True
         self.size = 0
 
     def of(self, texts: list[bytes]) -> list[bytes]:
@@ -121,37 +124,57 @@ class PartIds(dict):
         yield text[at:]
 
     def _learn(self, parts: set[bytes]) -> None:
-        # Letters and a punctuation mark behind them are tokens apart.
-        closed = {p for p in parts if p[-1:] in CLOSING and _small_letters(p[:-1])}
-        stems = ({p[:-1] for p in closed} | {p[-1:] for p in closed}) - self.keys()
-        left = (parts - closed) | stems
-        letters = sorted(filter(_small_letters, left))
-        special = [p for p in left if b"<|" in p]
-        other = sorted(left.difference(letters, special))
-        for tokenizer, some in ((self.plain, letters), (self.tokenizer, other)):
-            for at in range(0, len(some), TOGETHER):
-                self._learn_together(tokenizer, some[at : at + TOGETHER])
-        for p in special:
-            self._keep(p, self._ids(self.tokenizer, p.decode("utf-8", "replace")).tobytes())
-        for p in closed:
-            self._keep(p, self[p[:-1]] + self[p[-1:]])
-
-    def _learn_together(self, tokenizer, parts: list[bytes]) -> None:
-        ids = self._ids(tokenizer, f" {MARK} ".join([p.decode("utf-8", "replace") for p in parts]))
-        ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
-        starts = np.append(0, ends[:-1] + 1)
-        raw = ids.tobytes()
-        for part, start, end in zip(parts, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
-            self._keep(part, raw[start:end])
+        closed, letters, other = [], set(), []
+        suffixed = self.last.any()
+        for part in parts:
+            text = part.decode("utf-8", "replace")
+            word = _WORD.fullmatch(text) if suffixed else None
+            if word is None:
+                other.append((part, text))
+            elif word[2]:
+                stem = word[1].encode()
+                closed.append((part, stem, word[2].encode()))
+                if stem not in self:
+                    letters.add(word[1])
+            else:
+                letters.add(text)
+        ends = {end for *_, end in closed} - self.keys()
+        self._learn_words(list(letters))
+        self._learn_others(other + [(end, end.decode()) for end in ends])
+        self._keep([p for p, *_ in closed], [self[stem] + self[end] for _, stem, end in closed])
+
+    def _learn_words(self, words: list[str]) -> None:
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            ids = self._ids(self.plain, " ".join(some))
+            self._keep([w.encode() for w in some], _cut(ids, np.flatnonzero(self.last[ids]) + 1))
+
+    def _learn_others(self, parts: list[tuple[bytes, str]]) -> None:
+        """Parts that the whole tokenizer has to see; a special token lies between them."""
+        alone = [(p, t) for p, t in parts if self.mark is None or "<|" in t]
+        self._keep([p for p, _ in alone], [self._ids(self.tokenizer, t).tobytes() for _, t in alone])
+        rest = [(p, t) for p, t in parts if self.mark is not None and "<|" not in t]
+        for at in range(0, len(rest), TOGETHER):
+            some = rest[at : at + TOGETHER]
+            ids = self._ids(self.tokenizer, f" {MARK} ".join([t for _, t in some]))
+            marks = np.flatnonzero(ids == self.mark)
+            # The marks are left out; those before a place number the parts before it.
+            ends = np.append(marks - np.arange(len(marks)), len(ids) - len(marks))
+            self._keep([p for p, _ in some], _cut(ids[ids != self.mark], ends))
 
     @staticmethod
     def _ids(tokenizer, text: str) -> np.ndarray:
         (made,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(made.ids, "<u4")
 
-    def _keep(self, part: bytes, ids: bytes) -> None:
-        self[part] = ids
-        self.size += len(part) + len(ids)
+    def _keep(self, parts: list[bytes], ids: list[bytes]) -> None:
+        self.update(zip(parts, ids, strict=True))
+        self.size += sum(map(len, parts)) + sum(map(len, ids))
+
+
+def _cut(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    raw, places = ids.tobytes(), (4 * ends).tolist()
+    return [raw[start:end] for start, end in zip([0, *places], places)]
 
 
 _CACHES: dict[str, PartIds] = {}
