@@ -78,7 +78,7 @@ class Scanner:
                 high = min(len(text), end - length + 1 - offset + len(n) + k)
                 spans = windows.setdefault(i, [])
                 if spans and low <= spans[-1][1]:
-                    spans[-1][1] = max(high, spans[-1][1])
+                    spans[-1][:] = min(low, spans[-1][0]), max(high, spans[-1][1])
                 else:
                     spans.append([low, high])
         found = []

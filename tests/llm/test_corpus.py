@@ -242,8 +242,8 @@ def test_secrets(spark, nothing):
     }
     df = frame(spark, [(i, t, None, None) for i, t in texts.items()])
     got = {r.doc_id: r.spans for r in secrets.op2_columns(secrets.secret_spans(df)).collect()}
-    assert got[1].startswith("assign:2:20,access:48:70,hex:73:98") or "assign:2:20" in got[1]
-    assert "assign:22" not in got[1]  # the failing match is not retried
+    # "token=token" is too short; what follows it is not tried again.
+    assert got[1] == "assign:2:20,access:47:69,hex:72:97"
     assert got[2].startswith("entropy:4:26") and got[3] == got[4] == got[5] == got[6] == ""
     assert secrets.secret_spans(nothing).count() == 0
 
@@ -256,7 +256,7 @@ def test_licenses(spark, docs, nothing):
     got = {r.doc_id: r for r in license_scan.license_labels(frame(spark, [(i, t, None, None) for i, t in texts.items()])).collect()}
     assert (got[1].n_base, got[1].first_word, got[1].last_word, got[1].base_labels) == (3, 0, 9, "cc-by,reserved")
     assert got[1].n_words == 12 and got[1].score == 1.0
-    assert got[2].n_base == 0 and got[2].first_word is None and got[2].labels in ("mit", "")
+    assert got[2].n_base == 0 and got[2].first_word is None and got[2].labels == "mit"
     assert got[3].n_words == 0 and got[3].score == 0 and got[4].base_labels == "gpl" and got[5].labels == ""
     one = license_scan.Scanner((("mit", "permission is hereby granted free of charge to any person"),))
     assert one.scan(b"x permision is hereby grnted, free of charge to any person y")["labels"] == "mit"
@@ -268,7 +268,7 @@ def test_personal_data(spark, nothing):
     rows += [(100 + i, f"tel: +1 (555) 555-{1000 + i}", "en", "a") for i in range(9)]
     rows += [(200, "é 1.2.3.4 and 1.2.3.400 card 4539 1488 0343 6467", None, None), (201, None, None, None)]
     got = {r.doc_id: r.spans for r in pii.op9_columns(pii.personal_data(frame(spark, rows))).collect()}
-    assert got[0] == "email:27:46" or got[0].startswith("email:")
+    assert got[0] == "email:30:50" and got[19] == "email:30:51"
     assert got[200] == "ip:2:9,card:29:48" and got[201] == ""
     assert pii.personal_data(nothing).count() == 0
     odd = "x@y a@@b.c.d e@f.gh. a.b@c.d@e.f"
