@@ -98,7 +98,7 @@ def _seeds(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "seed bigint, doc_id bigint")
 
 
-def _marks(met: DataFrame) -> np.ndarray:
+def marks(met: DataFrame) -> np.ndarray:
     """A bit map of MARKS bits; a bounded size, whatever the number of seeds."""
     bit = F.pmod("seed", F.lit(MARKS))
     rows = met.groupBy(F.shiftright(bit, 6).alias("slot")).agg(
@@ -109,19 +109,24 @@ def _marks(met: DataFrame) -> np.ndarray:
     return out
 
 
+def marked(map_: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of some 64-bit values have their bit set."""
+    bit = values.view(np.int64) % MARKS
+    return (map_[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
 def _segments(docs: DataFrame, met: DataFrame) -> DataFrame:
     """The stretches of texts around the seeds in ``met`` (and a few others that
     share a mark): word hashes and distinct seeds. ``within``: a seed occurs
     twice in the stretch."""
-    shared = docs.sparkSession.sparkContext.broadcast(_marks(met))
+    shared = docs.sparkSession.sparkContext.broadcast(marks(met))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
             for rows, starts, h in _hashed(batch):
                 at, value = seeds(h, starts)
-                bit = value.view(np.int64) % MARKS
-                hit = (shared.value[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
+                hit = marked(shared.value, value)
                 at, value = at[hit], value[hit]
                 if not len(at):
                     continue
@@ -281,9 +286,10 @@ def _kept(merged: DataFrame) -> DataFrame:
     return now
 
 
-def passages(docs: DataFrame, passage: int) -> DataFrame:
+def passages(docs: DataFrame, passage: int, also: DataFrame) -> DataFrame:
     """doc_id, first, stop, kept_doc of the passages of ``docs`` (doc_id bigint,
-    text) that repeat earlier ones; those that overlap or touch are one."""
+    text) that repeat earlier ones; those that overlap or touch are one. ``also``
+    holds passages found otherwise, with the place of the earlier one."""
     met = stored(
         _seeds(docs).groupBy("seed").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n"))
         .where("n > 1").select("seed", "hub"), "met",
@@ -302,7 +308,8 @@ def passages(docs: DataFrame, passage: int) -> DataFrame:
         F.col("doc_id").alias("hub"), F.col("start").alias("hub_start"), F.col("words").alias("hub_words")
     )
     both = pairs.join(texts, "seg").join(hub_texts, ["hub", "hub_start"])
-    found = stored(_compared(both, passage), "found").distinct()
+    seeded = stored(_compared(both, passage), "found")
+    found = seeded.unionByName(also).distinct()
     order = Window.partitionBy("doc_id").orderBy("first", "stop")
     fresh = F.col("first") > F.coalesce(F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
     runs = found.withColumn("fresh", fresh.cast("int")).withColumn(

@@ -1,21 +1,24 @@
-"""Repeated passages (see ``passages``), and MinHash links of paragraphs.
+"""Repeated passages: MinHash bands of paragraphs, and passages inside them.
 
-``repeated_passages`` finds its passages from seeds. The rest links similar
-paragraphs that the text itself cuts; the query does not use it.
-
-A passage pasted into the middle of a line shares no line break with its other
-copies. So texts are cut where the hash of three words is the smallest of its
-neighbourhood: two texts that share a passage are cut alike inside it. Each
-paragraph is the set of its 5-word shingles; the smallest value under each of
-BANDS hash functions is a band (one row per band, tuned for recall: paragraphs
-of similarity 0.8 miss all three with probability 0.008).
+Paragraphs are lines; lines longer than LONGEST words are cut further where the
+hash of three words is the smallest of its neighbourhood, so that two texts are
+cut alike inside a shared passage. Each paragraph is the set of its 5-word
+shingles; the smallest value under each of BANDS hash functions is a band (one row
+per band, tuned for recall: paragraphs of similarity 0.8 miss all three with
+probability 0.008).
 
 Copies of a paragraph are counted per band by a map-side combined aggregation,
 so no task gathers them. Different paragraphs of one band meet its smallest and
 its largest name and are verified by exact Jaccard. Where the members of a band
 do not end up in one component, they meet again, in smaller groups: similar sets
 that share their smallest value also share one of the values that follow.
-Verified paragraphs form components.
+Verified paragraphs form components, and of every component the first occurrence
+stays.
+
+A passage pasted into the middle of a longer paragraph shares no paragraph with
+its other copies, and no banding of whole paragraphs finds it. So seeds add
+passages of any place (see ``passages``), verified whole; where both overlap
+they are one.
 """
 
 from __future__ import annotations
@@ -35,8 +38,8 @@ from ledgerwave.llm.graph import components
 from ledgerwave.llm.shingles import ALIKE, OF, WORDS, mixed
 from ledgerwave.session import stored
 
-REACH = 5  # a cut's hash is the smallest among so many on either side
-LONGEST = 64  # words of a paragraph; longer stretches without a cut are cut evenly
+REACH = 24  # a cut's hash is the smallest among so many on either side
+LONGEST = 256  # words of a paragraph; longer stretches without a cut are cut evenly
 BANDS = 3
 PASSAGE = 20
 SMALL = 8  # sets of fewer values have no similar ones that differ in two
@@ -54,18 +57,19 @@ def _rolling(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def cuts(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Paragraph limits in texts laid end to end, their starts (those of the
-    texts) and the number of words included."""
+    """Paragraph limits in lines laid end to end: the starts of the lines, places
+    inside long ones, and the number of words."""
     n = len(h)
-    g = _rolling(h, 3)
+    ends = np.append(starts[1:], n)
     inner = np.empty(0, np.int64)
-    if len(g) > 2 * REACH:
+    if (ends - starts > LONGEST).any():
+        g = _rolling(h, 3)
         least = np.lib.stride_tricks.sliding_window_view(g, REACH).min(axis=1)
         at = np.arange(REACH, len(g) - REACH)
         inner = at[(g[at] < least[: len(at)]) & (g[at] <= least[REACH + 1 :])]
-        text = np.searchsorted(starts, inner, "right") - 1
-        ends = np.append(starts[1:], n)
-        inner = inner[(inner - REACH >= starts[text]) & (inner + REACH + 3 <= ends[text])]
+        line = np.searchsorted(starts, inner, "right") - 1
+        inside = (inner - REACH >= starts[line]) & (inner + REACH + 3 <= ends[line])
+        inner = inner[inside & ((ends - starts)[line] > LONGEST)]
     at = np.sort(np.concatenate([starts, inner, [n]]))
     pieces = -(-np.diff(at) // LONGEST)
     turn = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -79,11 +83,12 @@ def bands(shingles: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
 
 @dataclass
 class Paragraphs:
-    """The paragraphs of some texts that hold a shingle. The set of paragraph i
-    is ``shingles[begin[i] : begin[i + 1]]``, sorted."""
+    """The paragraphs of some lines. The set of paragraph i is
+    ``shingles[begin[i] : begin[i + 1]]``, sorted."""
 
-    text: np.ndarray  # number of the text
-    at: np.ndarray  # first word * LONGEST + words - 1: one number to shuffle
+    line: np.ndarray  # number of the line
+    first: np.ndarray  # first word in the line
+    words: np.ndarray
     shingles: np.ndarray
     begin: np.ndarray
 
@@ -93,56 +98,59 @@ class Paragraphs:
         return mixed(np.bitwise_xor.reduceat(mixed(self.shingles), self.begin) + sizes)
 
 
-def paragraphs(texts: list[list[bytes]]) -> Paragraphs:
-    """All paragraphs of texts given as their words, each of WORDS or more."""
-    counts = np.fromiter(map(len, texts), np.int64, len(texts))
+def paragraphs(lines: list[list[bytes]], least: int = WORDS) -> Paragraphs:
+    """All paragraphs of ``least`` words or more of lines given as their words."""
+    counts = np.fromiter(map(len, lines), np.int64, len(lines))
     starts = np.cumsum(counts) - counts
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(texts)), np.uint64, counts.sum())
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(lines)), np.uint64, counts.sum())
     limits = cuts(h, starts)
     first, words = limits[:-1], np.diff(limits)
-    first, words = first[words >= WORDS], words[words >= WORDS]
+    first, words = first[words >= max(least, WORDS)], words[words >= max(least, WORDS)]
     held = words - WORDS + 1
     owner = np.repeat(np.arange(len(first)), held)
     s = _rolling(h, WORDS)[np.arange(held.sum()) + np.repeat(first - np.cumsum(held) + held, held)]
     s = s[np.lexsort((s, owner))]
     fresh = np.append(True, (s[1:] != s[:-1]) | (owner[1:] != owner[:-1]))[: len(s)]
-    text = np.searchsorted(starts, first, "right") - 1
+    line = np.searchsorted(starts, first, "right") - 1
     return Paragraphs(
-        text, (first - starts[text]) * LONGEST + words - 1, s[fresh], np.searchsorted(owner[fresh], np.arange(len(first)))
+        line, first - starts[line], words, s[fresh], np.searchsorted(owner[fresh], np.arange(len(first)))
     )
 
 
-def _parsed(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, Paragraphs]]:
-    """Row number of each paragraph and the paragraphs, a bounded number of
-    words at a time (or one text)."""
-    rows, found, held = [], [], 0
+def _parsed(batch: pa.RecordBatch, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, Paragraphs]]:
+    """Row number and first word of each paragraph, and the paragraphs, a bounded
+    number of words at a time (or one line)."""
+    rows, bases, lines, held = [], [], [], 0
+
+    def cut() -> Iterator[tuple[np.ndarray, np.ndarray, Paragraphs]]:
+        if lines and len((found := paragraphs(lines, least)).words):
+            yield np.array(rows)[found.line], np.array(bases)[found.line] + found.first, found
+
     for row, text in enumerate(batch.column("text").cast(pa.binary())):
-        own = (text.as_py() or b"").lower().split()
-        if len(own) < WORDS:
-            continue
-        rows.append(row)
-        found.append(own)
-        held += len(own)
-        if held > HELD:
-            cut = paragraphs(found)
-            if len(cut.at):
-                yield np.array(rows)[cut.text], cut
-            rows, found, held = [], [], 0
-    if rows:
-        cut = paragraphs(found)
-        if len(cut.at):
-            yield np.array(rows)[cut.text], cut
+        base = 0
+        for line in (text.as_py() or b"").lower().split(b"\n"):
+            own = line.split()
+            if len(own) >= least:
+                rows.append(row)
+                bases.append(base)
+                lines.append(own)
+                held += len(own)
+            base += len(own)
+            if held > HELD:
+                yield from cut()
+                rows, bases, lines, held = [], [], [], 0
+    yield from cut()
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _bands(docs: DataFrame) -> DataFrame:
+def _bands(docs: DataFrame, least: int = WORDS) -> DataFrame:
     """band, name (of the shingle set): one row per paragraph and band."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, cut in _parsed(batch):
+            for _, _, cut in _parsed(batch, least):
                 name = _signed(cut.names())
                 for band in bands(cut.shingles, cut.begin):
                     yield pa.RecordBatch.from_arrays([_signed(band), name], ["band", "name"])
@@ -150,6 +158,39 @@ def _bands(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "band bigint, name bigint")
 
 
+def _colliding(docs: DataFrame, met: DataFrame, least: int) -> DataFrame:
+    """doc_id, first, words, name of the paragraphs with a band in ``met`` (and a few
+    others that share a mark). ``shingles`` stands with the first of a name in a task."""
+    shared = docs.sparkSession.sparkContext.broadcast(passages.marks(met.select(F.col("band").alias("seed"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy()
+            for rows, first, cut in _parsed(batch, least):
+                hit = np.zeros(len(rows), bool)
+                for band in bands(cut.shingles, cut.begin):
+                    hit |= passages.marked(shared.value, band)
+                names = cut.names().view(np.int64)
+                ends = np.append(cut.begin[1:], len(cut.shingles))
+                sets = []
+                for k in np.flatnonzero(hit):
+                    name = int(names[k])
+                    sets.append(None if name in seen else cut.shingles[cut.begin[k] : ends[k]].view(np.int64))
+                    seen.add(name)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids[rows[hit]]), pa.array(first[hit]), pa.array(cut.words[hit]), pa.array(names[hit]),
+                        pa.array(sets, pa.list_(pa.int64())),
+                    ],
+                    ["doc_id", "first", "words", "name", "shingles"],
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id bigint, first bigint, words bigint, name bigint, shingles array<bigint>"
+    )
+
+
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """The non-empty sets of a batch as values and their first places."""
     sets = batch.column("shingles")
@@ -254,6 +295,34 @@ def linked_names(met: DataFrame, sets: DataFrame) -> DataFrame:
     return links.unionByName(_alike(stored(other, "finer-pairs"), sets))
 
 
+def repeated_paragraphs(docs: DataFrame, least: int = PASSAGE) -> DataFrame:
+    """doc_id, first, stop, kept_doc, kept_first, kept_stop: paragraphs whose
+    component has an earlier occurrence, which stays. ``docs`` has doc_id bigint, text."""
+    met = stored(
+        _bands(docs, least).groupBy("band").agg(
+            F.min("name").alias("low"), F.max("name").alias("high"), F.count("*").alias("n")
+        ).where("n > 1").select("band", "low", "high"),
+        "bands",
+    )
+    found = stored(_colliding(docs, met, least), "paragraphs")
+    sets = stored(found.where("shingles is not null").groupBy("name").agg(F.first("shingles").alias("shingles")), "sets")
+    links = linked_names(met, sets)
+    roots = stored(components(links), "paragraph-roots").withColumnRenamed("node", "name")
+    placed = found.select("doc_id", "first", "words", "name").join(maybe_broadcast(roots), "name", "left").select(
+        "doc_id", "first", (F.col("first") + F.col("words")).alias("stop"), F.coalesce("root", "name").alias("root")
+    )
+    places = stored(placed, "places")
+    kept = stored(
+        places.groupBy("root").agg(F.min(F.struct("doc_id", "first", "stop")).alias("kept"), F.count("*").alias("n"))
+        .where("n > 1").select("root", "kept"),
+        "kept-paragraphs",
+    )
+    return places.join(maybe_broadcast(kept), "root").where("doc_id != kept.doc_id or first != kept.first").select(
+        "doc_id", "first", "stop", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.first").alias("kept_first"),
+        F.col("kept.stop").alias("kept_stop"),
+    )
+
+
 def repeated_passages(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     """One row per passage that repeats an earlier one: doc_id, first_word,
     n_words, kept_doc_id (the document that keeps the first occurrence).
@@ -264,7 +333,8 @@ def repeated_passages(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
     Without rows the result is empty.
     """
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
-    return passages.passages(texts, passage).select(
+    paragraphs_ = repeated_paragraphs(texts, passage)
+    return passages.passages(texts, passage, paragraphs_).select(
         "doc_id", F.col("first").alias("first_word"), (F.col("stop") - F.col("first")).alias("n_words"),
         F.col("kept_doc").alias("kept_doc_id"),
     )
