@@ -24,6 +24,11 @@ Three measures keep groups small and the join exact:
 Rows under one word are linked through the smallest document of the group (a
 star), not in pairs; verified stars merge into components, and only pairs that
 still lie in different components are compared further.
+
+Meeting is cheap, reading two texts is not. So every set also has one parity bit
+for each of BITS residues: the Hamming distance of these bits never exceeds the
+symmetric difference either, and pairs whose distance passes (|A| + |B|) / 9 are
+dropped where they meet, before they are rows.
 """
 
 from __future__ import annotations
@@ -45,6 +50,8 @@ COUNTERS = 100_000
 KEPT = 500_000
 FREQUENT = 20
 
+BITS = 1024  # of the sketch that rules pairs out; 16 words of 64
+
 # Lower limits of the size bands, each half as large again as the one before.
 BANDS = [1]
 while BANDS[-1] < 2**40:
@@ -139,20 +146,30 @@ def _summarize(tokens: np.ndarray, counts: np.ndarray, more: np.ndarray) -> tupl
     return both[total > 0], total[total > 0]
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """BITS parity bits of a set, as whole numbers of 64."""
+    odd = np.bincount((tokens >> np.uint64(40)).astype(np.int64) % BITS, minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def describe_sets(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n, one, two (a 128-bit name of the set). In
+    """Per row of ``docs``: doc_id, n, one, two (a 128-bit name of the set), bits. In
     further rows, with n null: shingle ``one`` counted ``two`` times."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("one", pa.int64()), ("two", pa.int64())])
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("n", pa.int64()), ("one", pa.int64()), ("two", pa.int64()),
+        ("bits", pa.list_(pa.int64())),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
-            size, one, two, pool, pooled = [], [], [], [], 0
+            size, one, two, bits, pool, pooled = [], [], [], [], [], 0
             for text in _texts(batch):
                 s = shingles(text)
                 size.append(len(s))
                 one.append(np.bitwise_xor.reduce(s) if len(s) else np.uint64(0))
                 two.append(mixed(s).sum(dtype=np.uint64))
+                bits.append(parity(s))
                 pool.append(s)
                 pooled += len(s)
                 if pooled > 2_000_000:
@@ -161,19 +178,36 @@ def describe_sets(docs: DataFrame) -> DataFrame:
             if pool:
                 tokens, counts = _summarize(tokens, counts, np.concatenate(pool))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(size, pa.int64()), _longs(one), _longs(two)], schema=schema
+                [
+                    batch.column("doc_id"), pa.array(size, pa.int64()), _longs(one), _longs(two),
+                    pa.array(bits, pa.list_(pa.int64())),
+                ],
+                schema=schema,
             )
         often = counts > 1
         none = pa.nulls(int(often.sum()), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, _longs(tokens[often]), pa.array(counts[often], pa.int64())], schema=schema
+            [
+                none, none, _longs(tokens[often]), pa.array(counts[often], pa.int64()),
+                pa.nulls(len(none), pa.list_(pa.int64())),
+            ],
+            schema=schema,
         )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id bigint, n bigint, one bigint, two bigint"
+        run, "doc_id bigint, n bigint, one bigint, two bigint, bits array<bigint>"
     )
 
 
+_WORDS = [f"b{i}" for i in range(BITS // 64)]
+
+
+def _near_enough(a: str, b: str) -> str:
+    """SQL: the bits of two rows do not rule out that their sets are similar."""
+    distance = " + ".join(f"bit_count(b{i}_{a} ^ b{i}_{b})" for i in range(BITS // 64))
+    return f"({distance}) * {OF + ALIKE} <= (n_{a} + n_{b}) * {OF - ALIKE}"
+
+
 def _meetings(docs: DataFrame, frequent: Frequent) -> DataFrame:
     """key, id: one row per key of each set. Within a task a set that came before
     is not repeated; its class is known from ``describe_sets``."""
@@ -216,16 +250,34 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     link nothing; their component is null. Without rows the result is empty.
     """
     seen = stored(describe_sets(docs), "sets")
-    sets = seen.where("n is not null")
+    sets = seen.where("n is not null").drop("bits")
     hot = seen.where("n is null").groupBy("one").agg(F.sum("two").alias("times")).where(F.col("times") >= FREQUENT)
     # At most KEPT rows of two numbers.
     top = hot.orderBy(F.desc("times"), "one").limit(KEPT).toArrow()
     frequent = Frequent(top["one"].to_numpy().view(np.uint64), top["times"].to_numpy())
 
     named = sets.where("doc_id is not null and n > 0")
-    reps = named.groupBy("n", "one", "two").agg(F.min("doc_id").alias("rep"))
+    # One row per different set; a doc_id with several texts names several of them.
+    different = stored(
+        seen.where("doc_id is not null and n > 0").groupBy("n", "one", "two").agg(
+            F.min("doc_id").alias("rep"), F.first("bits").alias("bits")
+        ),
+        "different",
+    )
+    reps = different.drop("bits")
     classes = stored(named.join(reps, ["n", "one", "two"]).select("doc_id", "rep", "n").distinct(), "classes")
 
+    sketches = different.select("rep", "n", *[F.get("bits", F.lit(i)).alias(w) for i, w in enumerate(_WORDS)])
+
+    def sides(s: str) -> list:
+        return [F.col(c).alias(f"{c}_{s}") for c in ("n", *_WORDS)]
+
+    def near(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of classes that their bits do not rule out."""
+        a = sketches.select(F.col("rep").alias("a"), *sides("a"))
+        b = sketches.select(F.col("rep").alias("b"), *sides("b"))
+        return pairs.join(a, "a").join(b, "b").where(_near_enough("a", "b")).select(*pairs.columns)
+
     by_key = Window.partitionBy("key")
     groups = stored(
         _meetings(docs, frequent)
@@ -248,7 +300,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         )
 
     stars = stored(
-        as_reps(groups.where("id != hub").groupBy(F.col("hub").alias("x"), F.col("id").alias("y")).agg(F.count("*").alias("shared"))),
+        near(as_reps(groups.where("id != hub").groupBy(F.col("hub").alias("x"), F.col("id").alias("y")).agg(F.count("*").alias("shared")))),
         "stars",
     )
     # A doc_id with several texts has several classes: they are linked as one node.
@@ -288,11 +340,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         "key", "rep", "n", F.coalesce("root", "rep").alias("root")
     ).distinct()
     split = member.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    open_ = stored(member.join(split, "key"), "open")
-    left, right = (open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "root")]) for s in "ab")
+    open_ = stored(member.join(split, "key").join(sketches, ["rep", "n"]), "open")
+    left, right = (
+        open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "root")], *sides(s)) for s in "ab"
+    )
     cross = (
-        left.join(right, "key")
-        .where(f"rep_a < rep_b and root_a != root_b and {OF} * least(n_a, n_b) >= {ALIKE} * greatest(n_a, n_b)")
+        left.join(
+            right,
+            (left["key"] == right["key"]) & F.expr(
+                f"rep_a < rep_b and root_a != root_b and {OF} * least(n_a, n_b) >= {ALIKE} * greatest(n_a, n_b)"
+                f" and {_near_enough('a', 'b')}"
+            ),
+        )
         .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     )
     cross = stored(cross.join(stars, ["a", "b"], "left_anti"), "cross")
