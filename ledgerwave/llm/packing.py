@@ -31,9 +31,9 @@ LENGTH = 4096  # tokens of a sequence
 END = 1  # id behind every document
 VOCABULARY = "word_bpe_49k.json"
 
-# Bounds of the cache of a worker: parts of texts, bytes of parts and ids; and of
-# the text that is worked on at a time.
-CACHED = 800_000
+# Bounds of the cache of a worker, about: parts of texts, bytes of parts and ids; and
+# of the text that is worked on at a time.
+CACHED = 1_000_000
 CACHED_BYTES = 64_000_000
 STRETCH = 2_000_000
 TOGETHER = 5_000  # parts in one call of the tokenizer
@@ -77,6 +77,7 @@ class PartIds(dict):
         if suffix:
             self.last[[i for name, i in names.items() if name.endswith(suffix)]] = True
         self.size = 0
+        self.older: dict[bytes, bytes] = {}
 
     def of(self, texts: list[bytes]) -> list[bytes]:
         """The ids of every text. Long texts are worked on in stretches, so the
@@ -97,12 +98,17 @@ class PartIds(dict):
         return [b"".join(f) for f in found]
 
     def _look_up(self, parts: list[bytes], ends: list[tuple[int, int]], found: list[list[bytes]]) -> None:
-        if len(self) > CACHED or self.size > CACHED_BYTES:
+        # Two generations: what the older one holds is taken over when it is asked for.
+        if 2 * len(self) > CACHED or 2 * self.size > CACHED_BYTES:
+            self.older = dict(self)
             self.clear()
             self.size = 0
         ids = list(map(self.get, parts))
         new = [i for i, x in enumerate(ids) if x is None]
-        self._learn({parts[i] for i in new})
+        asked = {parts[i] for i in new}
+        known = [p for p in asked if p in self.older]
+        self._keep(known, [self.older[p] for p in known])
+        self._learn(asked.difference(known))
         for i in new:
             ids[i] = self[parts[i]]
         at = 0

@@ -56,7 +56,8 @@ def test_cache_is_bounded(monkeypatch):
     texts = [" ".join(f"W{i * j}, <|endoftext|>"[: 9 + i] for i in range(40)) for j in range(5)]
     for text, got in zip(texts, cache.of([t.encode() for t in texts])):
         assert np.frombuffer(got, "<u4").tolist() + [1] == plain_ids(text)
-    assert len(cache) <= 30
+    # A generation ends with the stretch that fills it.
+    assert len(cache) + len(cache.older) < 80 and cache.older
 
 
 @pytest.mark.parametrize("length", [64, 4096])
