@@ -41,6 +41,11 @@ def _parser() -> argparse.ArgumentParser:
     p = job("fundamentals", "processed", "prices", "output")
     p.add_argument("--period", required=True, choices=["annual", "quarterly"])
     p.add_argument("--years", nargs="+", type=int, default=list(analytics.YEARS))
+    p.add_argument("--buckets", type=int, help="read what co-partition wrote in so many buckets")
+    p = job("co-partition", "processed")
+    p.add_argument("--period", required=True, choices=["annual", "quarterly"])
+    p.add_argument("--years", nargs="+", type=int, default=list(analytics.YEARS))
+    p.add_argument("--buckets", type=int, required=True)
     return parser
 
 
@@ -51,6 +56,9 @@ def main(argv: list[str] | None = None) -> None:
         kinds = [a.kind] if a.kind else list(JOBS)
         preprocess_lake(spark, Lake(a.raw, a.processed), a.years, a.execution_date, kinds)
         return
+    if a.job == "co-partition":
+        analytics.co_partition(spark, Lake("", a.processed), a.period == "annual", a.buckets, a.years)
+        return
     if a.job == "append-prices":
         lake.append_days(spark.read.schema(schemas.DAILY_PRICES).parquet(a.day), a.prices)
         return
@@ -67,7 +75,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "fundamentals":
         prices = spark.read.parquet(a.prices)
         df = analytics.fundamentals_table(
-            spark, Lake("", a.processed), prices, a.period == "annual", a.years
+            spark, Lake("", a.processed), prices, a.period == "annual", a.years, a.buckets
         )
     else:
         df = analytics.income_union(spark, Lake("", a.processed), a.years)

@@ -34,6 +34,10 @@ class Lake:
     def table(self, kind: str) -> str:
         return f"{self.processed}/pp_{kind}"
 
+    def bucketed(self, kind: str) -> str:
+        """The same rows laid out by company and year."""
+        return f"{self.processed}/pb_{kind}"
+
 
 def source_years(spark: SparkSession, lake_: Lake, kind: str, years: Iterable[int]) -> list[int]:
     """Those of ``years`` for which the kind has a file."""

@@ -102,6 +102,9 @@ def test_integrated_table(spark, company):
     got = {r.dt_quarter: (r.amt_adj_close, r.amt_current_assets, r.amt_current_liabilities,
                           r.amt_net_cash_operating_activities) for r in df.collect()}
     assert got == {1: (10, 7, 7, 5), 2: (11, 7, 7, 7), 3: (None, 7, 7, -3)}
+    analytics.co_partition(spark, company, False, 3)
+    again = analytics.fundamentals_table(spark, company, quoted, annual=False, bucketed=3)
+    assert sorted(map(str, again.select(df.columns).collect())) == sorted(map(str, df.collect()))
     union = analytics.income_union(spark, company, range(2015, 2025))
     assert union.count() == 4
     features = analytics.income_features(union).orderBy("dt_quarter").collect()

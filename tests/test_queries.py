@@ -14,7 +14,9 @@ FOLDER = "/root/testdata/sf0.001"
 SAMPLE = [
     "income_statement", "balance_liabilities", "cash_flow_table", "dedupe_running_count",
     "price_features_2", "features_long_entities", "ticker_units", "label_slug",
-    "price_append_stream", "typed_quotes",
+    "price_append_stream", "typed_quotes", "scan_quarantine", "missing_years", "stream_dedupe_state",
+    "null_fill_by_type", "quotes_many_tickers", "income_union_legacy", "fundamentals_quarterly",
+    "preprocess_lake",
 ]
 
 
