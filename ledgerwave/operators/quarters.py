@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerwave.functions.money import exact
 from ledgerwave.sources.schemas import LEGACY_QUARTER_AMOUNTS
@@ -31,32 +31,37 @@ def complete_years(itr: DataFrame, dfp: DataFrame, also: Sequence[str] = ()) ->
     return three.join(dfp.select(*keys), keys, "left_semi")
 
 
+_ANNUAL = "_annual"
+
+
+def _both(itr: DataFrame, dfp: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Quarterly and annual rows, marked."""
+    return itr.select(*columns, F.lit(False).alias(_ANNUAL)).unionByName(
+        dfp.select(*columns, F.lit(True).alias(_ANNUAL))
+    )
+
+
 def _annual_less_quarters(
-    itr: DataFrame, dfp: DataFrame, keys: list[str], amounts: list[str], typed: bool
+    both: DataFrame, keys: list[str], amounts: list[str], typed: bool
 ) -> DataFrame:
     """Annual rows and negated quarterly rows, added up per key.
 
     The dates ride along from the annual row, so no join has to bring them
     back; ``typed`` leaves them out for rows with a null key.
     """
-    annual = dfp.select(
-        *keys, *DATES, "dt_quarter", *[exact(F.col(a)).alias(a) for a in amounts]
-    )
-    negated = itr.select(
-        *keys,
-        *[F.lit(None).cast("date").alias(d) for d in DATES],
-        F.lit(None).cast("int").alias("dt_quarter"),
-        *[(-exact(F.col(a))).cast("decimal(20,2)").alias(a) for a in amounts],
-    )
-    carried = [F.max(c).alias(c) for c in [*DATES, "dt_quarter"]]
-    summed = annual.unionByName(negated).groupBy(*keys).agg(
-        *carried, *[F.sum(a).cast("double").alias(a) for a in amounts]
+    annual, carried = F.col(_ANNUAL), [*DATES, "dt_quarter"]
+
+    def signed(a: str) -> Column:
+        value = exact(F.col(a))
+        return F.when(annual, value).otherwise((-value).cast("decimal(20,2)"))
+
+    summed = both.groupBy(*keys).agg(
+        *[F.max(F.when(annual, F.col(c))).alias(c) for c in carried],
+        *[F.sum(signed(a)).cast("double").alias(a) for a in amounts],
     )
     if typed:
         whole_key = reduce(and_, [F.col(k).isNotNull() for k in keys])
-        summed = summed.withColumns(
-            {c: F.when(whole_key, F.col(c)) for c in [*DATES, "dt_quarter"]}
-        )
+        summed = summed.withColumns({c: F.when(whole_key, F.col(c)) for c in carried})
     return summed
 
 
@@ -64,16 +69,21 @@ def last_quarter(itr: DataFrame, dfp: DataFrame, also: Sequence[str] = ()) -> Da
     """Quarters 1-3 plus, for complete years, the fourth: annual minus their sum.
 
     Sums skip nulls: a missing annual amount leaves minus the sum of quarters.
+    Quarterly and annual rows are dealt once by company and year; whether a year is
+    complete is counted, and the fourth quarter summed, inside that layout.
     """
     itr, dfp = itr.drop("processed_at"), dfp.drop("processed_at")
-    years = complete_years(itr, dfp, also)
-    of = ["id_cvm", "dt_year", *also]
-    keys = [*COMPANY_YEAR, "cat_type_dre", *also]
-    fourth = _annual_less_quarters(
-        itr.join(years, of, "left_semi"),
-        dfp.join(years, of, "left_semi"),
-        keys, _amounts(itr), typed=True,
+    company = ["id_cvm", "dt_year", *also]
+    annual = F.col(_ANNUAL)
+    both = _both(itr, dfp, itr.columns).repartition(*company)
+    three = F.sum((~annual).cast("int")).over(Window.partitionBy(*COMPANY_YEAR, *also)) == 3
+    year = Window.partitionBy(*company)
+    known = reduce(and_, [F.col(c).isNotNull() for c in company])
+    marked = both.withColumn("_three", three & ~annual).withColumn(
+        "_complete", known & F.max("_three").over(year) & F.max("_annual").over(year)
     )
+    keys = [*COMPANY_YEAR, "cat_type_dre", *also]
+    fourth = _annual_less_quarters(marked.filter("_complete"), keys, _amounts(itr), typed=True)
     return itr.unionByName(fourth)
 
 
@@ -82,7 +92,7 @@ def last_quarter_legacy(itr: DataFrame, dfp: DataFrame) -> DataFrame:
     only rows processed on the same day meet."""
     keys = ["processed_at", *COMPANY_YEAR]
     columns = [*keys, *DATES, "dt_quarter", *LEGACY_QUARTER_AMOUNTS]
-    fourth = _annual_less_quarters(itr, dfp, keys, LEGACY_QUARTER_AMOUNTS, typed=False)
+    fourth = _annual_less_quarters(_both(itr, dfp, columns), keys, LEGACY_QUARTER_AMOUNTS, typed=False)
     return itr.select(*columns).unionByName(fourth.select(*columns))
 
 
