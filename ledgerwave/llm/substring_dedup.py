@@ -43,7 +43,7 @@ LONGEST = 256  # words of a paragraph; longer stretches without a cut are cut ev
 BANDS = 3
 PASSAGE = 20
 SMALL = 8  # sets of fewer values have no similar ones that differ in two
-HELD = 300_000  # words that a task cuts at once
+HELD = 100_000  # words that a task cuts at once
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _SALTS = [np.uint64(0xD6E8FEB86659FD93 * (i + 1) % 2**64) for i in range(BANDS)]
@@ -83,8 +83,8 @@ def bands(shingles: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
 
 @dataclass
 class Paragraphs:
-    """The paragraphs of some lines. The set of paragraph i is
-    ``shingles[begin[i] : begin[i + 1]]``, sorted."""
+    """The paragraphs of some lines. The shingles of paragraph i are
+    ``shingles[begin[i] : begin[i + 1]]``, as they follow in the text."""
 
     line: np.ndarray  # number of the line
     first: np.ndarray  # first word in the line
@@ -93,9 +93,13 @@ class Paragraphs:
     begin: np.ndarray
 
     def names(self) -> np.ndarray:
-        """A hash of each set."""
+        """A hash of the shingles of each, whatever their order."""
         sizes = np.diff(self.begin, append=len(self.shingles)).astype(np.uint64)
-        return mixed(np.bitwise_xor.reduceat(mixed(self.shingles), self.begin) + sizes)
+        return mixed(np.add.reduceat(mixed(self.shingles), self.begin) + sizes)
+
+    def set_of(self, i: int) -> np.ndarray:
+        end = self.begin[i + 1] if i + 1 < len(self.begin) else len(self.shingles)
+        return np.unique(self.shingles[self.begin[i] : end])
 
 
 def paragraphs(lines: list[list[bytes]], least: int = WORDS) -> Paragraphs:
@@ -107,14 +111,10 @@ def paragraphs(lines: list[list[bytes]], least: int = WORDS) -> Paragraphs:
     first, words = limits[:-1], np.diff(limits)
     first, words = first[words >= max(least, WORDS)], words[words >= max(least, WORDS)]
     held = words - WORDS + 1
-    owner = np.repeat(np.arange(len(first)), held)
-    s = _rolling(h, WORDS)[np.arange(held.sum()) + np.repeat(first - np.cumsum(held) + held, held)]
-    s = s[np.lexsort((s, owner))]
-    fresh = np.append(True, (s[1:] != s[:-1]) | (owner[1:] != owner[:-1]))[: len(s)]
+    begin = np.cumsum(held) - held
+    s = _rolling(h, WORDS)[np.arange(held.sum()) + np.repeat(first - begin, held)]
     line = np.searchsorted(starts, first, "right") - 1
-    return Paragraphs(
-        line, first - starts[line], words, s[fresh], np.searchsorted(owner[fresh], np.arange(len(first)))
-    )
+    return Paragraphs(line, first - starts[line], words, s, begin)
 
 
 def _parsed(batch: pa.RecordBatch, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, Paragraphs]]:
@@ -171,12 +171,13 @@ def _colliding(docs: DataFrame, met: DataFrame, least: int) -> DataFrame:
                 hit = np.zeros(len(rows), bool)
                 for band in bands(cut.shingles, cut.begin):
                     hit |= passages.marked(shared.value, band)
+                if not hit.any():
+                    continue
                 names = cut.names().view(np.int64)
-                ends = np.append(cut.begin[1:], len(cut.shingles))
                 sets = []
                 for k in np.flatnonzero(hit):
                     name = int(names[k])
-                    sets.append(None if name in seen else cut.shingles[cut.begin[k] : ends[k]].view(np.int64))
+                    sets.append(None if name in seen else cut.set_of(k).view(np.int64))
                     seen.add(name)
                 yield pa.RecordBatch.from_arrays(
                     [

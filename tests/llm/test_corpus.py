@@ -317,8 +317,8 @@ def test_passage_links_against_brute_force(spark):
     ).where("n > 1").select("band", "low", "high")
     sets = {}
     cut = substring_dedup.paragraphs([t.encode().lower().split() for t in texts if t])
-    for name, values in zip(cut.names().astype("int64").tolist(), np.split(cut.shingles, cut.begin[1:]), strict=True):
-        sets[name] = values
+    for k, name in enumerate(cut.names().astype("int64").tolist()):
+        sets[name] = cut.set_of(k)
     stored_sets = spark.createDataFrame(
         [(n, v.astype("int64").tolist()) for n, v in sets.items()], "name bigint, shingles array<bigint>"
     )
