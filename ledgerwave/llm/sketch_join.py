@@ -39,7 +39,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
-from ledgerwave.llm.common import maybe_broadcast
 from ledgerwave.llm.graph import components, verified
 from ledgerwave.llm.shingles import ALIKE, OF, mixed, shingles, similar
 from ledgerwave.session import stored

@@ -8,13 +8,12 @@ import random
 import re
 import zlib
 
-import numpy as np
 import pytest
 import regex
-from pyspark.sql import functions as F
+
 
 import corpus_pipeline
-from ledgerwave.llm import license_scan, mixing, pii, secrets, toxicity
+from ledgerwave.llm import license_scan, pii, secrets, toxicity
 
 COLUMNS = "doc_id bigint, text string, lang string, source string"
 R = random.Random(11)

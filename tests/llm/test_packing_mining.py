@@ -3,7 +3,6 @@
 import random
 import zlib
 from collections import Counter, defaultdict
-from itertools import groupby
 
 import numpy as np
 import pytest
