@@ -23,8 +23,3 @@ def exact(value: Column) -> Column:
 def sum_amount(value: Column) -> Column:
     """Null-skipping exact sum, as double; null when nothing was summed."""
     return F.sum(exact(value)).cast("double")
-
-
-def change_ratio(value: Column, before: Column) -> Column:
-    """Change relative to the size of the earlier value; null on 0 or null."""
-    return F.try_divide(value - before, F.abs(before))
