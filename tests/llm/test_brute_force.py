@@ -232,6 +232,61 @@ def test_the_sample_is_bounded_by_rows(spark):
     assert len(toxicity.labelled_sample(df, labels, 1, 10).collect()) == 2
 
 
+def test_every_labelled_row_teaches(spark):
+    """The last of more than 4,000 toxic ids, by hash, are the only ones with a word."""
+    ids = [r.id for r in spark.range(4_700).selectExpr("id", "xxhash64(id) as h").orderBy("h").collect()]
+    texts = {i: prose(2, i) + (" snarlbit" if n < 4_300 else " grumblefoe") for n, i in enumerate(ids)}
+    clean = {5_000 + i: prose(3, 5_000 + i) for i in range(1_500)}
+    rows = [(i, t, "en", "s") for i, t in (texts | clean).items()]
+    labels = spark.createDataFrame([(i, 1) for i in texts] + [(i, 0) for i in clean], LABELS)
+    model = pickle.loads(toxicity.train_model(spark.createDataFrame(rows, COLUMNS), labels))
+    score = lambda text: model.score(toxicity.word_ids(text))
+    assert min(score(prose(2, i) + " grumblefoe") for i in range(20)) > 0.9
+    assert max(score(prose(3, i)) for i in range(20)) < 0.3
+
+
+def test_labelled_rows_are_all_there(spark):
+    rows = [(i % 90, f"t{i % 180} a", "en", "s") for i in range(360)] + [(None, "x", "en", "s"), (500, None, None, "s")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)] + [(0, 1), (500, 1), (501, 0), (None, 1), (3, None)], LABELS)
+    found = toxicity.labelled_rows(spark.createDataFrame(rows, COLUMNS), labels, 50)
+    assert found.rdd.getNumPartitions() == 7  # 321 labelled rows, repeats counted
+    want = {(d, toxicity.word_hashes(t).tobytes(), 1 if d in (0, 500) else d % 2) for d, t, _, _ in rows if d is not None and (d < 80 or d == 500)}
+    assert sorted((r.doc_id, bytes(r.hashes), r.toxic) for r in found.collect()) == sorted(want)
+
+
+def plain_threshold(scores, labels):
+    best = None
+    points = sorted(set(scores), reverse=True) + [0.0]
+    for s, after in zip(points, points[1:]):
+        taken = [y for x, y in zip(scores, labels) if x >= s]
+        key = (round(2 * sum(taken) / (len(taken) + sum(labels)), 6), s - after, s)
+        best = max(best or key, key)
+    return best[2] - best[1] / 2
+
+
+def test_thresholds_against_brute_force(spark):
+    r = random.Random(5)
+    rows = [(lang, int(r.random() < 0.3), r.choice([0.25, r.random()])) for lang in ("en", "de", None) for _ in range(700)]
+    rows = [(x, y, round(min(1.0, s + 0.2 * y), 3)) for x, y, s in rows] + [("fr", i % 2, 0.5) for i in range(30)]
+    got = toxicity._best_thresholds(spark.createDataFrame(rows, "lang string, toxic int, score double"))
+    assert set(got) == {"en", "de"}
+    for lang in got:
+        want = plain_threshold([s for x, _, s in rows if x == lang], [y for x, y, _ in rows if x == lang])
+        assert abs(got[lang] - want) < 1e-9
+
+
+def test_shards_and_reruns(spark):
+    rows = [(i, prose(30, i) + (" grumblefoe" if i % 3 == 0 else ""), "en", "s") for i in range(400)]
+    df = spark.createDataFrame(rows, COLUMNS)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], LABELS)
+    models = [pickle.loads(toxicity.train_model(df.repartition(n), labels, 60)) for n in (3, 8)]
+    assert (models[0].state == models[1].state).all() and models[0].scale == models[1].scale
+    assert models[0].thresholds == models[1].thresholds
+    asked = [prose(30, 1000 + i) + (" grumblefoe" if i % 2 else "") for i in range(100)]
+    right = sum((models[0].score(toxicity.word_ids(t)) >= 0.3) == bool(i % 2) for i, t in enumerate(asked))
+    assert right >= 90
+
+
 # --- pipeline ----------------------------------------------------------------
 
 def plain_line_dedup(rows):
