@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerwave.sources import lake, schemas
+from ledgerwave.session import drop_shuffles
+from ledgerwave.sources import lake
 from ledgerwave.sources.runs import Files
 
 # Account lines by statement; one list per kind of company (general, bank,
@@ -139,9 +140,8 @@ def company_id(supplier: Column) -> Column:
     )
 
 
-def _account(kind: str, pick: Column, supplier: Column, part: int) -> Column:
-    """Code (part 0) or label (part 1) of the account that ``pick`` points to."""
-    values = [a[part] for accounts in ACCOUNTS[kind] for a in accounts]
+def _account_index(kind: str, pick: Column, supplier: Column) -> Column:
+    """Place of the account that ``pick`` points to in the list of all of a kind."""
     sizes = [len(accounts) for accounts in ACCOUNTS[kind]]
     start, others, offset = F.lit(0), F.lit(1), 0
     for company_kind, size in enumerate(sizes):
@@ -149,18 +149,20 @@ def _account(kind: str, pick: Column, supplier: Column, part: int) -> Column:
         start, others = F.when(mine, offset).otherwise(start), F.when(mine, size - 1).otherwise(others)
         offset += size
     index = start + F.when(F.col("l_linenumber") == 1, 1).otherwise(2 + pick % others)
+    return index.cast("int")
+
+
+def _account_text(kind: str, index: Column, part: int) -> Column:
+    """Code (part 0) or label (part 1) of an account."""
+    values = [a[part] for accounts in ACCOUNTS[kind] for a in accounts]
     # One constant array and one lookup keep the generated code small.
     literals = ", ".join("null" if v is None else f"'{v}'" for v in values)
-    return F.element_at(F.expr(f"array({literals})"), index.cast("int"))
+    return F.element_at(F.expr(f"array({literals})"), index)
 
 
-def statement_lines(spark: SparkSession, folder: str, kind: str, annual: bool) -> DataFrame:
-    """Raw statement lines under the file schema's names.
-
-    Quarterly files hold quarters 1-3, some lines as year to date; annual files
-    hold every line, some with a half-year exercise. Lines of returned items
-    play the prior-year comparison.
-    """
+def _line_parts(spark: SparkSession, folder: str, kind: str, annual: bool) -> DataFrame:
+    """What statement lines are made of, without their text: company, dates, place of
+    the account, value and two marks."""
     df = spread(table(spark, folder, "lineitem"))
     year, quarter = F.year("l_shipdate"), F.quarter("l_shipdate")
     supplier, number = F.col("l_suppkey"), F.col("l_linenumber")
@@ -180,38 +182,70 @@ def statement_lines(spark: SparkSession, folder: str, kind: str, annual: bool) -
         .when(number % 3 == 2, -F.col("l_extendedprice"))
         .otherwise(F.col("l_extendedprice"))
     )
+    return df.select(
+        supplier.alias("supplier"), start.alias("start"), end.alias("end"),
+        _account_index(kind, pick, supplier).alias("account"), value.alias("value"),
+        F.coalesce(F.col("l_linestatus") == "O", F.lit(False)).alias("is_thousands"),
+        F.coalesce(F.col("l_returnflag") == "R", F.lit(False)).alias("is_prior"),
+    )
+
+
+def _line_text(parts: DataFrame, kind: str, *also: str) -> DataFrame:
+    """Parts of lines under the file schema's names."""
+    supplier, end, account = F.col("supplier"), F.col("end").cast("string"), F.col("account")
     columns = {
         "CNPJ_CIA": company_id(supplier),
-        "DT_REFER": end.cast("string"),
+        "DT_REFER": end,
         "VERSAO": F.lit(1),
         "DENOM_CIA": F.concat(F.lit("Companhia "), supplier.cast("string")),
         "CD_CVM": F.lpad(supplier.cast("string"), 10, "0"),
         "GRUPO_DFP": F.lit("DF Consolidado"),
         "MOEDA": F.lit("REAL"),
-        "ESCALA_MOEDA": F.when(F.col("l_linestatus") == "O", "MIL").otherwise("UNIDADE"),
-        "ORDEM_EXERC": F.when(F.col("l_returnflag") == "R", PRIOR).otherwise(CURRENT),
-        "DT_INI_EXERC": start.cast("string"),
-        "DT_FIM_EXERC": end.cast("string"),
-        "CD_CONTA": _account(kind, pick, supplier, 0),
-        "DS_CONTA": _account(kind, pick, supplier, 1),
-        "VL_CONTA": value,
+        "ESCALA_MOEDA": F.when(F.col("is_thousands"), "MIL").otherwise("UNIDADE"),
+        "ORDEM_EXERC": F.when(F.col("is_prior"), PRIOR).otherwise(CURRENT),
+        "DT_INI_EXERC": F.col("start").cast("string"),
+        "DT_FIM_EXERC": end,
+        "CD_CONTA": _account_text(kind, account, 0),
+        "DS_CONTA": _account_text(kind, account, 1),
+        "VL_CONTA": F.col("value"),
         "ST_CONTA_FIXA": F.lit("S"),
     }
     if kind in ("assets", "liabilities"):
         del columns["DT_INI_EXERC"]
-    return df.select(*[c.alias(n) for n, c in columns.items()])
+    return parts.select(*[c.alias(n) for n, c in columns.items()], *also)
+
+
+def statement_lines(spark: SparkSession, folder: str, kind: str, annual: bool) -> DataFrame:
+    """Raw statement lines under the file schema's names.
+
+    Quarterly files hold quarters 1-3, some lines as year to date; annual files
+    hold every line, some with a half-year exercise. Lines of returned items
+    play the prior-year comparison.
+    """
+    return _line_text(_line_parts(spark, folder, kind, annual), kind)
+
+
+def _filing_parts(spark: SparkSession, folder: str, annual: bool) -> DataFrame:
+    """Parts of cash-flow lines, each account once per company and period. Company,
+    day and account stand for all the texts made of them, so only they are exchanged."""
+    lines = _line_parts(spark, folder, "cash_flow", annual)
+    codes = F.array(*[F.lit(a[0]) for accounts in ACCOUNTS["cash_flow"] for a in accounts])
+    # The lists repeat their accounts: the first place of the code stands for all.
+    first = F.array_position(codes, _account_text("cash_flow", F.col("account"), 0)).cast("int")
+    cents = F.col("value").cast("decimal(20,2)")
+    return lines.groupBy("supplier", "end", first.alias("account"), "is_prior").agg(
+        F.sum(cents).cast("double").alias("value"),
+        # UNIDADE comes after MIL.
+        F.min("is_thousands").alias("is_thousands"),
+        F.min("start").alias("start"),
+    )
 
 
 def cash_flow_filings(spark: SparkSession, folder: str, annual: bool) -> DataFrame:
     """Cash-flow lines with each account once per company and period."""
-    lines = statement_lines(spark, folder, "cash_flow", annual)
-    keys = [c for c in lines.columns if c not in ("VL_CONTA", "ESCALA_MOEDA", "DT_INI_EXERC")]
-    cents = F.col("VL_CONTA").cast("decimal(20,2)")
-    return lines.groupBy(*keys).agg(
-        F.sum(cents).cast("double").alias("VL_CONTA"),
-        F.max("ESCALA_MOEDA").alias("ESCALA_MOEDA"),
-        F.min("DT_INI_EXERC").alias("DT_INI_EXERC"),
-    )
+    lines = _line_text(_filing_parts(spark, folder, annual), "cash_flow")
+    last = ["VL_CONTA", "ESCALA_MOEDA", "DT_INI_EXERC"]
+    return lines.select(*[c for c in lines.columns if c not in last], *last)
 
 
 def daily_prices(spark: SparkSession, folder: str) -> DataFrame:
@@ -358,36 +392,47 @@ def security_register(spark: SparkSession, folder: str, half: int | None = None)
 RAW_STATEMENTS = {"dre": "income", "bpa": "assets", "bpp": "liabilities"}
 
 
+FILE_YEAR = "file_year"
+
+
+def _by_file(parts: DataFrame) -> DataFrame:
+    """Parts of lines in the order in which each task writes them: year by year and,
+    as published files are, company by company, which also packs best."""
+    year = F.substring(F.col("end").cast("string"), 1, 4).try_cast("int")
+    return parts.withColumn(FILE_YEAR, year).sortWithinPartitions(
+        FILE_YEAR, "supplier", "end", "is_prior", "account"
+    )
+
+
 def raw_files(spark: SparkSession, folder: str, root: str) -> None:
     """The published files of all kinds: one Latin-1 text file per kind and year,
-    named as ``lake.FILE_STEM`` says."""
+    named as ``lake.FILE_STEM`` says. The text is packed, and lines go to their files
+    from where they are read: no exchange holds a second copy of them."""
     made = {}
     for annual, kind in ((False, "itr"), (True, "dfp")):
         for part, statement in RAW_STATEMENTS.items():
-            made[f"{kind}_{part}"] = statement_lines(spark, folder, statement, annual)
-        filings = cash_flow_filings(spark, folder, annual)
-        fields = [f for f in schemas.STATEMENT_LINES.names]
-        made[f"{kind}_dfc"] = filings.select(
-            *[F.col(c) if c in filings.columns else F.lit("1").alias(c) for c in fields]
-        )
-    made = {k: df.withColumn("file_year", F.substring("DT_REFER", 1, 4)) for k, df in made.items()}
+            lines = _by_file(_line_parts(spark, folder, statement, annual))
+            made[f"{kind}_{part}"] = _line_text(lines, statement, FILE_YEAR)
+        filings = _by_file(_filing_parts(spark, folder, annual))
+        made[f"{kind}_dfc"] = _line_text(filings, "cash_flow", FILE_YEAR)
     text = F.regexp_replace("Descricao_Atividade", "[\r\n]", " ")
     made["fca_aberta_geral"] = company_register(spark, folder).withColumns({
-        "Descricao_Atividade": text, "file_year": F.substring("Data_Constituicao", 1, 4),
+        "Descricao_Atividade": text, FILE_YEAR: F.substring("Data_Constituicao", 1, 4),
     })
     made["fca_valor_mobiliario"] = security_register(spark, folder).withColumn(
-        "file_year", F.concat(F.lit("202"), F.col("Versao").cast("int") % 3)
+        FILE_YEAR, F.concat(F.lit("202"), F.col("Versao").cast("int") % 3)
     )
     files = Files(spark, root)
     for kind, df in made.items():
         aside = f"{root}/_{kind}"
-        writer = df.hint("rebalance", F.col("file_year")).write.partitionBy("file_year")
         (
-            writer.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1")
+            df.write.partitionBy(FILE_YEAR)
+            .option("header", True).option("sep", ";").option("encoding", "ISO-8859-1")
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .csv(aside)
+            .option("compression", "gzip").csv(aside)
         )
+        drop_shuffles(spark)
         for name in files.children(aside):
-            if name.startswith("file_year="):
-                year = name.removeprefix("file_year=")
+            if name.startswith(f"{FILE_YEAR}="):
+                year = name.removeprefix(f"{FILE_YEAR}=")
                 files.move(f"{aside}/{name}", f"{root}/{lake.FILE_STEM[kind]}_{year}.csv")

@@ -15,6 +15,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ledgerwave.session import drop_shuffles
+
 RUNS, SLICES, MARK = "_runs", "slices", "committed"
 SLICE = "table_name string, by string, value string, filled boolean"
 
@@ -65,7 +67,8 @@ class Run:
         """Write the slices of ``df``, one per value of ``by``. ``values`` are all
         slices that this run replaces; those without rows will be emptied."""
         target = f"{self.path}/{table}"
-        df.hint("rebalance", F.col(by)).write.partitionBy(by).parquet(target)
+        df.hint("rebalance", F.col(by)).write.partitionBy(by).option("compression", "zstd").parquet(target)
+        drop_shuffles(self.spark)
         there = set(Files(self.spark, self.root).children(target))
         for value in values:
             self.slices.append((table, by, str(value), f"{by}={value}" in there))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerwave.operators import columns, fundamentals
+from ledgerwave.plans import standins
 from ledgerwave.plans.preprocess import Lake, preprocess, preprocess_lake
 from ledgerwave.session import scratch_path
 from ledgerwave.sources import buckets, lake, quotes, runs, schemas
@@ -161,3 +162,49 @@ def test_two_thousand_tickers_are_planned_quickly(spark, tmp_path):
     assert time.perf_counter() - begin < 5
     got = sorted((r.date, r.ticker_list, r.high, r.volume) for r in long.collect())
     assert got == sorted((str(d), f"T{k}'`.{k}", float(d), None) for d in range(3) for k in range(2))
+
+
+def star(spark, folder):
+    """A few line items, parts, suppliers and documents."""
+    spark.range(400).selectExpr(
+        "id as l_orderkey", "id % 7 + 1 as l_partkey", "if(id % 50 = 0, null, id % 9) as l_suppkey",
+        "cast(id % 4 + 1 as int) as l_linenumber", "cast(id % 5 + 1 as double) as l_quantity",
+        "if(id % 11 = 0, null, id * 1.25D) as l_extendedprice", "(id % 11) / 100D as l_discount",
+        "(id % 9) / 100D as l_tax", "if(id % 3 = 0, 'R', 'N') as l_returnflag",
+        "if(id % 2 = 0, 'O', 'F') as l_linestatus",
+        "if(id % 40 = 0, null, cast(date_add(date'1995-01-05', cast(id * 2 as int)) as timestamp)) as l_shipdate",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(9).selectExpr("id as s_suppkey", "concat('S', id) as s_name").write.parquet(f"{folder}/supplier.parquet")
+    spark.range(8).selectExpr(
+        "id as p_partkey", "concat('Brand#', id) as p_brand", "'TYPE' as p_type", "cast(id as int) as p_size"
+    ).write.parquet(f"{folder}/part.parquet")
+    spark.range(9).selectExpr(
+        "id as doc_id", "'um; dois' as text", "'pt' as lang", "'web' as source"
+    ).write.parquet(f"{folder}/documents.parquet")
+
+
+def test_raw_files_are_packed_and_hold_every_line(spark, tmp_path):
+    folder, root = str(tmp_path / "in"), str(tmp_path / "raw")
+    star(spark, folder)
+    standins.raw_files(spark, folder, root)
+    parts = [p.name for p in (tmp_path / "raw").glob("*.csv/part-*")]
+    assert parts and all(p.endswith(".csv.gz") for p in parts)
+    made = {
+        "itr_dre": standins.statement_lines(spark, folder, "income", False),
+        "dfp_bpa": standins.statement_lines(spark, folder, "assets", True),
+        "itr_dfc": standins.cash_flow_filings(spark, folder, False),
+    }
+    for kind, lines in made.items():
+        schema = schemas.BALANCE_LINES if kind.endswith("bpa") else schemas.STATEMENT_LINES
+        read = lake.scan_delimited(spark, lake.raw_file_glob(root, kind, range(1990, 2000)), schema)
+        wanted = lines.filter("DT_REFER is not null").select(*[F.col(f.name).cast(f.dataType) for f in schema])
+        assert read.count() == wanted.count() > 0
+        assert read.exceptAll(wanted).isEmpty() and wanted.exceptAll(read).isEmpty()
+
+
+def test_raw_files_and_filings_exchange_no_text(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    star(spark, folder)
+    plan = standins.cash_flow_filings(spark, folder, True)._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(dealt) == 1 and "CNPJ_CIA" not in dealt[0] and "DENOM_CIA" not in dealt[0]
