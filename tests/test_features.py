@@ -167,3 +167,76 @@ def test_long_entities_with_text_order_ties_and_many_blocks(spark):
     many = spark.range(30_000).selectExpr("'x' as k", "cast(id % 10 = 0 as int) as d", "id as i")
     assert over_series(many, ["k"], ["d", "i"], 7, measured, 100).count() == 30_000
     assert len(sizes) == 300 and max(sizes) <= 107
+
+
+def odd_series(spark):
+    """Nulls, NaN, infinities, zeros and constant stretches; entities of every length,
+    one of them null."""
+    rng = random.Random(11)
+    odd = [None, None, math.nan, math.inf, -math.inf, 0.0, 0.0, -0.0, 1e12, 1e-12]
+    rows = []
+    for key, n in (("long", 230), ("clean", 90), (None, 47), ("two", 2), ("one", 1), ("none", 6), ("flat", 50)):
+        for i in range(n):
+            value = rng.choice(odd) if rng.random() < 0.08 else rng.uniform(-20, 300)
+            value = {"none": None, "flat": 0.1, "clean": rng.uniform(1, 9)}.get(key, value)
+            rows.append((key, dt.datetime(2020, 1, 1) + dt.timedelta(i), value, rng.uniform(1, 5), f"t{i}"))
+    schema = "k string, d timestamp, v double, w double, label string"
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+EVERY = [
+    *[ft.moving("v", n, m) for n in (1, 5, 60) for m in ("mean", "std", "var", "min", "max")],
+    *[ft.pct_change(x, n, "d") for x in ("v", "w") for n in (1, 40)], ft.lag_feature("v", 3, "d"),
+]
+
+
+@pytest.mark.parametrize("max_rows", [None, 40])
+def test_batches_give_the_bits_of_native_frames(spark, monkeypatch, max_rows):
+    df = odd_series(spark)
+    done = []
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        for least in (0, 10**9):
+            monkeypatch.setattr(ft, "LONG_FRAMES", least)
+            made = ft.with_features(df, EVERY, ["k"], ["d"], max_rows)
+            assert ("MapInArrow" in made._jdf.queryExecution().executedPlan().toString()) == (least == 0)
+            done.append((made.dtypes, sorted(
+                [[(str(r.k), r.d)] + [0.0 if v == 0 else str(v) for v in r] for r in made.collect()],
+                key=lambda r: r[0],
+            )))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert done[0] == done[1]
+
+
+def test_rounding_in_batches_is_that_of_sql(spark):
+    import numpy as np
+
+    from ledgerwave.operators.frames import Values, rounded
+
+    rng = random.Random(2)
+    values = [None, math.nan, math.inf, -math.inf, 0.0, -0.0, 0.5, -0.5, 1.5, 2.5, 0.0000005, -0.0000015]
+    values += [0.285, 1.005, 2.675, 1.0078125, 1234.0234375, 499.9999999, 500.0, 1500.0, -2500.0, 4.5e15, 1e300]
+    values += [1e-300, 123456789012.3456785, -987654321.5, 2.0**51 + 0.5, 0.49999999999999994, -1e-9]
+    values += [rng.uniform(-10, 10) * 10.0 ** rng.randint(-8, 14) for _ in range(2000)]
+    values += [k / 128 for k in range(-300, 300)] + [k / 20 for k in range(-100, 100)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").orderBy("i")
+    known = np.array([v is not None for v in values])
+    data = np.array([0.0 if v is None else v for v in values])
+    for digits in (6, 4, 1, 0, -3):
+        wanted = [r[0] for r in df.select(F.expr(ft.round_sql("v", digits))).collect()]
+        with np.errstate(all="ignore"):
+            got = rounded(Values(data, known), digits)
+        got = [float(x) if k else None for x, k in zip(got.data, got.known)]
+        assert list(map(str, got)) == list(map(str, wanted)), digits
+
+
+def test_long_price_frames_are_read_in_batches(spark):
+    """A native frame of 361 rows feeds each of them anew to each statistic, row by row."""
+    schema = "id_cnpj string, ticker string, date date, adj_close double, high_price double, " \
+        "low_price double, amplitude_close_high_price double"
+    df = spark.createDataFrame([], schema)
+    for features in (fs.price_features_1(),):
+        done = ft.with_features(df, features, fs.PRICE_KEYS, fs.PRICE_ORDER, None)
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "stddev_samp" not in plan and "avg(" not in plan
