@@ -16,8 +16,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ledgerwave.operators.frames import Frames, Values, Vector, in_batches
 from ledgerwave.operators.moving import Moving, add_moving
@@ -65,6 +66,7 @@ class Feature:
     # The same value over arrays of doubles, and the columns that it reads.
     vector: Vector | None = None
     reads: tuple[str, ...] = ()
+    is_flag: bool = False
 
 
 _MEASURES = {"mean": "avg", "std": "std", "var": "var", "min": "min", "max": "max"}
@@ -79,6 +81,10 @@ def _changed(frames: Frames, variable: str, n: int) -> Values:
     return (frames[variable] - before).over(abs(before))
 
 
+def _flag(rows: np.ndarray) -> Values:
+    return Values(rows.astype(np.int32), np.ones(len(rows), bool))
+
+
 def lag_feature(
     variable: str, n: int, period: str = "", period_text: str | None = None,
     kind: str = "amt", measure: str = "tot",
@@ -129,13 +135,23 @@ def beta(variable: str, n: int, fixed: bool = False) -> Feature:
         )
     own, earlier = Moving("avg", variable, n + 1), Moving("avg", variable, n + 1, 1)
     x, y = f"({variable} - {own.name})", f"({variable} - {earlier.name})"
-    return Feature(name, f"try_divide({x} * {y}, {x} * {x})", n + 1, moving=(own, earlier))
+
+    def vector(frames: Frames) -> Values:
+        x, y = (frames[variable] - frames.moving(m) for m in (own, earlier))
+        return (x * y).over(x * x)
+
+    return Feature(
+        name, f"try_divide({x} * {y}, {x} * {x})", n + 1, moving=(own, earlier),
+        vector=vector, reads=(variable,),
+    )
 
 
 def broke_high(variable: str, n: int) -> Feature:
     high = Moving("max", variable, n, 1)
     return Feature(
-        f"cat_{variable}_broke_high_{n}", f"if({variable} > {high.name}, 1, 0)", n, moving=(high,)
+        f"cat_{variable}_broke_high_{n}", f"if({variable} > {high.name}, 1, 0)", n, moving=(high,),
+        vector=lambda frames: _flag(frames[variable].above(frames.moving(high))), reads=(variable,),
+        is_flag=True,
     )
 
 
@@ -144,7 +160,15 @@ def broke_low(variable: str, n: int, fixed: bool = False) -> Feature:
     fixed variant is set when below it."""
     low, sign = Moving("min", variable, n, 1), "<" if fixed else ">"
     name = f"cat_{variable}_broke_low_{n}" + ("_fixed" if fixed else "")
-    return Feature(name, f"if({variable} {sign} {low.name}, 1, 0)", n, moving=(low,))
+
+    def vector(frames: Frames) -> Values:
+        value, lowest = frames[variable], frames.moving(low)
+        return _flag(lowest.above(value) if fixed else value.above(lowest))
+
+    return Feature(
+        name, f"if({variable} {sign} {low.name}, 1, 0)", n, moving=(low,),
+        vector=vector, reads=(variable,), is_flag=True,
+    )
 
 
 def ifr(variable: str, n: int, fixed: bool = False) -> Feature:
@@ -168,8 +192,22 @@ def ifr(variable: str, n: int, fixed: bool = False) -> Feature:
     up = FrameSum(f"_up_{v}_{n}{suffix}", gain, n, shift)
     down = FrameSum(f"_down_{v}_{n}{suffix}", loss, n, shift)
     value = f"100D - try_divide(100D, 1D + try_divide({up.name}, {down.name}))"
+
+    def vector(frames: Frames) -> Values:
+        price, change = frames.moving(helpers[0]), _changed(frames, v, 1)
+        none = Values(np.zeros(len(price.data)), np.ones(len(price.data), bool))
+        booked = np.where(price.known & ~np.isnan(price.data), price.data, 0.0)
+        ups, downs = (
+            frames.total(Values(np.where(rows, booked, 0.0), none.known), n, 1)
+            for rows in (change.above(none), none.above(change))
+        )
+        ratio = ups.over(downs)
+        rest = Values(np.full(len(ratio.data), 100.0), ratio.known).over(Values(1.0 + ratio.data, ratio.known))
+        return Values(100.0 - rest.data, rest.known)
+
     return Feature(
-        f"amt_IFR_{v}_{n}{suffix}", value, lookback, lags=(lag,), moving=helpers, sums=(up, down)
+        f"amt_IFR_{v}_{n}{suffix}", value, lookback, lags=(lag,), moving=helpers, sums=(up, down),
+        vector=None if fixed else vector, reads=(v,),
     )
 
 
@@ -244,7 +282,7 @@ def with_features(
     def compute_in_batches(data: DataFrame, series: Series) -> DataFrame:
         # The window numbers the rows of each entity and leaves them dealt and sorted.
         placed = data.withColumn(_PLACE, F.expr(f"row_number() over ({series.sql})"))
-        made = [StructField(f.name, DoubleType()) for f in features]
+        made = [StructField(f.name, IntegerType() if f.is_flag else DoubleType()) for f in features]
         wanted = [(f.name, f.vector, digits.get(f.name)) for f in features]
         run = in_batches(reads, _PLACE, wanted, stats, depth)
         done = placed.mapInArrow(run, StructType([*data.schema.fields, *made]))

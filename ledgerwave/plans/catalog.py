@@ -703,9 +703,7 @@ def price_features_1(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def price_features_2(spark: SparkSession, folder: str) -> DataFrame:
-    return round_features(ft.with_features(
-        _bars(spark, folder), fs.price_features_2(), fs.PRICE_KEYS, fs.PRICE_ORDER, SHORT
-    ))
+    return _price_features(spark, folder, fs.price_features_2())
 
 
 @query

@@ -187,6 +187,9 @@ def odd_series(spark):
 EVERY = [
     *[ft.moving("v", n, m) for n in (1, 5, 60) for m in ("mean", "std", "var", "min", "max")],
     *[ft.pct_change(x, n, "d") for x in ("v", "w") for n in (1, 40)], ft.lag_feature("v", 3, "d"),
+    *[ft.beta("v", n) for n in (2, 30)], *[ft.broke_high(x, n) for x in ("v", "w") for n in (1, 33)],
+    *[ft.broke_low("v", n, fixed=f) for n in (2, 33) for f in (False, True)],
+    *[ft.ifr(x, n) for x in ("v", "w") for n in (2, 25)],
 ]
 
 
@@ -236,7 +239,7 @@ def test_long_price_frames_are_read_in_batches(spark):
     schema = "id_cnpj string, ticker string, date date, adj_close double, high_price double, " \
         "low_price double, amplitude_close_high_price double"
     df = spark.createDataFrame([], schema)
-    for features in (fs.price_features_1(),):
+    for features in (fs.price_features_1(), fs.price_features_2()):
         done = ft.with_features(df, features, fs.PRICE_KEYS, fs.PRICE_ORDER, None)
         plan = done._jdf.queryExecution().executedPlan().toString()
         assert "MapInArrow" in plan and "stddev_samp" not in plan and "avg(" not in plan
